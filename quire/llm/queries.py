@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from .linededup import ORACLE as LINE_DEDUP
+from .linededup import op7
 from .packing import op9
 from .repair import op1
+from .toxicity import op6
 
 QUERIES = {
     "op1_repair_token_ids": op1,
+    "op6_toxic_segments": op6,
+    "op7_line_spread": op7,
     "op9_best_fit_packing": op9,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op7_line_spread": LINE_DEDUP,
+}

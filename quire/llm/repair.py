@@ -37,7 +37,7 @@ from .tokens import encoder
 
 END = 0xFFFF
 SHARD_TOKENS = 1 << 20
-ROUNDS, RULES_A_ROUND, LEAST_COUNT = 6, 4096, 8
+ROUNDS, RULES_A_ROUND, LEAST_COUNT = 4, 4096, 8
 SHARDS = "part int, shard int, n_docs int, n_tokens long, base int, doc_ids binary, null_ids binary, doc_lens binary, rules binary, lengths binary, symbols binary"
 RESULT = "doc_id long, start long, n_tokens long, ids_crc32 long"
 SLOTS = 16
@@ -179,7 +179,7 @@ def decode_partition(end_id: int):
     return run
 
 
-def write_ids(docs: DataFrame, scratch: Scratch, vocabulary: str = "word_bpe_49k.json", end_id: int = 2, shard_tokens: int = SHARD_TOKENS, bytes_a_part: int = 48 << 20) -> DataFrame:
+def write_ids(docs: DataFrame, scratch: Scratch, vocabulary: str = "word_bpe_49k.json", end_id: int = 2, shard_tokens: int = SHARD_TOKENS, bytes_a_part: int = 24 << 20) -> DataFrame:
     """Encode docs (doc_id, text) and write the shards; the table of shards as read back.
 
     Null text is empty (the end id alone); null doc_ids come first; rows with
@@ -187,8 +187,8 @@ def write_ids(docs: DataFrame, scratch: Scratch, vocabulary: str = "word_bpe_49k
     empty table gives an empty table.
     """
     spark = docs.sparkSession
-    stats = docs.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
-    parts = max(int(stats // bytes_a_part) + 1, 2 * spark.sparkContext.defaultParallelism if stats > 8 << 20 else 1)
+    size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())  # of the files
+    parts = min(max(size // bytes_a_part, 2 * spark.sparkContext.defaultParallelism), 1 << 20) if size > 1 << 20 else 1
     ordered = docs.select("doc_id", "text").repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
     return scratch.keep("shards", ordered.mapInArrow(encode_partition(vocabulary, end_id, shard_tokens), SHARDS))
 

@@ -70,19 +70,16 @@ class Encoder:
         else:
             chunks = text.split()
         known = self.known
-        if new := set(chunks).difference(known):
-            todo = list(new)
-            got = self.whole([f" {x.decode()}" for x in todo] if self.spaced else [x.decode() for x in todo])
-            if len(known) + len(todo) > REMEMBERED:
-                known.clear()
-                known.update(zip(keys := list(set(chunks).difference(new)), self.whole([f" {x.decode()}" for x in keys] if self.spaced else [x.decode() for x in keys])))
-            known.update(zip(todo, got))
-            out = b"".join([first, *map(known.__getitem__, chunks)])
-            for x in todo:
-                if len(x) > LONGEST:
-                    del known[x]
-            return out
-        return b"".join([first, *map(known.__getitem__, chunks)])
+        found = list(map(known.get, chunks))
+        if None not in found:
+            return b"".join([first, *found])
+        new = list({c for c, x in zip(chunks, found) if x is None})
+        got = dict(zip(new, self.whole([f" {x.decode()}" for x in new] if self.spaced else [x.decode() for x in new])))
+        out = b"".join([first, *(got[c] if x is None else x for c, x in zip(chunks, found))])
+        if len(known) + len(new) > REMEMBERED:
+            known.clear()
+        known.update(got if all(len(x) <= LONGEST for x in new) else {k: v for k, v in got.items() if len(k) <= LONGEST})
+        return out
 
 
 @lru_cache(4)
