@@ -2,19 +2,27 @@
 
 from __future__ import annotations
 
+from .decontam import op8
+from .edits import op4
 from .linededup import ORACLE as LINE_DEDUP
 from .linededup import op7
 from .packing import op9
 from .repair import op1
+from .topk import ORACLE as TOP_K
+from .topk import op5
 from .toxicity import op6
 
 QUERIES = {
     "op1_repair_token_ids": op1,
+    "op4_edit_aware_counts": op4,
+    "op5_uniform_threshold": op5,
     "op6_toxic_segments": op6,
     "op7_line_spread": op7,
+    "op8_template_leaks": op8,
     "op9_best_fit_packing": op9,
 }
 
 ORACLES: dict[str, str] = {
+    "op5_uniform_threshold": TOP_K,
     "op7_line_spread": LINE_DEDUP,
 }
