@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .decontam import op8
 from .edits import op4
+from .lattice import op10
 from .linededup import ORACLE as LINE_DEDUP
 from .linededup import op7
 from .packing import op9
@@ -20,6 +21,7 @@ QUERIES = {
     "op7_line_spread": op7,
     "op8_template_leaks": op8,
     "op9_best_fit_packing": op9,
+    "op10_subword_lattice": op10,
 }
 
 ORACLES: dict[str, str] = {
