@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .decontam import op8
 from .edits import op4
+from .jaccard import op3
 from .lattice import op10
 from .linededup import ORACLE as LINE_DEDUP
 from .linededup import op7
@@ -15,6 +16,7 @@ from .toxicity import op6
 
 QUERIES = {
     "op1_repair_token_ids": op1,
+    "op3_jaccard_fragments": op3,
     "op4_edit_aware_counts": op4,
     "op5_uniform_threshold": op5,
     "op6_toxic_segments": op6,
