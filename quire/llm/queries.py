@@ -10,12 +10,14 @@ from .linededup import ORACLE as LINE_DEDUP
 from .linededup import op7
 from .packing import op9
 from .repair import op1
+from .suffix import op2
 from .topk import ORACLE as TOP_K
 from .topk import op5
 from .toxicity import op6
 
 QUERIES = {
     "op1_repair_token_ids": op1,
+    "op2_pointer_refinement": op2,
     "op3_jaccard_fragments": op3,
     "op4_edit_aware_counts": op4,
     "op5_uniform_threshold": op5,
