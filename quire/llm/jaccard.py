@@ -127,7 +127,7 @@ class Order:
         return out
 
 
-PROFILE = "bucket int, docs binary, nulls binary, nodes binary, sizes binary, grams binary, owners binary"
+PROFILE = "bucket int, docs binary, nulls binary, hashes binary, nodes binary, sizes binary, grams binary, owners binary"
 
 
 def profile(words: int, percent: int, buckets: int, order):
@@ -138,8 +138,8 @@ def profile(words: int, percent: int, buckets: int, order):
         held: list[np.ndarray] = []
         owners: list[int] = []
         size = 0
-        names = ["bucket", "docs", "nulls", "nodes", "sizes", "grams", "owners"]
-        binary = lambda rows: [pa.array([x[i] for x in rows], pa.int32() if not i else pa.binary()) for i in range(7)]
+        names = ["bucket", "docs", "nulls", "hashes", "nodes", "sizes", "grams", "owners"]
+        binary = lambda rows: [pa.array([x[i] for x in rows], pa.int32() if not i else pa.binary()) for i in range(8)]
 
         def flush() -> pa.RecordBatch:
             nonlocal held, owners, size
@@ -147,7 +147,7 @@ def profile(words: int, percent: int, buckets: int, order):
             bucket = (all_grams % np.uint64(buckets)).astype(np.int32)
             at = np.argsort(bucket, kind="stable")
             edges = np.searchsorted(bucket[at], np.arange(buckets + 1))
-            rows = [(b, None, None, None, None, all_grams[at[x:y]].tobytes(), all_owners[at[x:y]].tobytes()) for b, (x, y) in enumerate(zip(edges, edges[1:])) if y > x]
+            rows = [(b, None, None, None, None, None, all_grams[at[x:y]].tobytes(), all_owners[at[x:y]].tobytes()) for b, (x, y) in enumerate(zip(edges, edges[1:])) if y > x]
             held, owners, size = [], [], 0
             return pa.RecordBatch.from_arrays(binary(rows), names=names)
 
@@ -164,7 +164,7 @@ def profile(words: int, percent: int, buckets: int, order):
                     held.append(global_order.first(g, len(g) - (percent * len(g) + 99) // 100 + 1))
                     owners.append(nodes[-1])
                     size += len(held[-1])
-            rows = [(-1, np.array([x or 0 for x in docs], np.int64).tobytes(), bytes(x is None for x in docs), np.array(nodes, np.int64).tobytes(), np.array(sizes, np.int64).tobytes(), None, None)]
+            rows = [(-1, np.array([x or 0 for x in docs], np.int64).tobytes(), bytes(x is None for x in docs), batch.column("t").to_numpy().tobytes(), np.array(nodes, np.int64).tobytes(), np.array(sizes, np.int64).tobytes(), None, None)]
             yield pa.RecordBatch.from_arrays(binary(rows), names=names)
             if size >= COUNTED_AT_ONCE:
                 yield flush()
@@ -178,8 +178,8 @@ def unpack_docs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
             nulls = np.frombuffer(row["nulls"], np.uint8).astype(bool)
-            docs, nodes, sizes = (np.frombuffer(row[c], np.int64) for c in ("docs", "nodes", "sizes"))
-            yield pa.RecordBatch.from_arrays([pa.array(docs, mask=nulls), pa.array(nodes, mask=sizes == 0), pa.array(sizes)], names=["doc_id", "node", "n_shingles"])
+            docs, hashes, nodes, sizes = (np.frombuffer(row[c], np.int64) for c in ("docs", "hashes", "nodes", "sizes"))
+            yield pa.RecordBatch.from_arrays([pa.array(docs, mask=nulls), pa.array(hashes), pa.array(nodes, mask=sizes == 0), pa.array(sizes)], names=["doc_id", "t", "node", "n_shingles"])
 
 
 def shared_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -296,7 +296,7 @@ def components(edges: DataFrame, scratch: Scratch, name: str, in_one_task: int =
 
 
 def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, frequent: int = FREQUENT, fragments: int = FRAGMENTS) -> DataFrame:
-    """Per row of docs (doc_id, text): doc_id, n_shingles and component_id, the smallest doc_id reachable by links.
+    """Per row of docs (doc_id, text): doc_id, n_shingles, component_id (the smallest doc_id reachable by links), t (the text's hash) and component (a node).
 
     A text of fewer words than the n-gram is one n-gram; a null or empty text
     or one of white space has none and is its own component. Rows with equal
@@ -311,8 +311,8 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     counted = counted.toArrow()  # at most frequent rows of 16 bytes; whichever these are, the result is the same
     order = spark.sparkContext.broadcast(Order(counted["gram"].to_numpy().view(np.uint64), counted["n"].to_numpy()))
     buckets = max(12, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    profiles = scratch.keep("profiles", docs.select("doc_id", "text").mapInArrow(profile(words, percent, buckets, order), PROFILE))
-    rows = scratch.keep("rows", profiles.where("bucket = -1").select("docs", "nulls", "nodes", "sizes").mapInArrow(unpack_docs, "doc_id long, node long, n_shingles long"))
+    profiles = scratch.keep("profiles", docs.select("doc_id", "text", F.xxhash64("text").alias("t")).mapInArrow(profile(words, percent, buckets, order), PROFILE))
+    rows = scratch.keep("rows", profiles.where("bucket = -1").select("docs", "nulls", "hashes", "nodes", "sizes").mapInArrow(unpack_docs, "doc_id long, t long, node long, n_shingles long"))
     dealt = profiles.where("bucket >= 0").select("bucket", "grams", "owners").repartitionByRange(buckets, "bucket")
     groups = scratch.keep("groups", dealt.mapInArrow(shared_grams, "gram long, node long"))
     scratch.drop("profiles")
@@ -345,9 +345,27 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
 
     named = sizes.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("doc").alias("component_id"))
-    named = named.join(least, "component").select("node", "component_id")
-    return rows.join(named, "node", "left").select("doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    named = named.join(least, "component").select("node", "component", "component_id")
+    return rows.join(named, "node", "left").select("doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "t", "component")
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """docs without all but one row of each component: the one of the smallest doc_id stays (null last), then of the smallest text hash.
+
+    Rows without n-grams stay. Only the keys of rows that go are joined to docs.
+    """
+    scratch = Scratch(docs.sparkSession, "keep_one")
+    found = scratch.keep("found", jaccard_components(docs).where("component is not null").select("doc_id", "t", "component"))
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("doc"), F.col("t"))
+    best = found.groupBy("component").agg(F.min(rank).alias("best"))
+    gone = found.join(best, "component").where(rank != F.col("best")).select(F.col("doc_id").alias("__d"), F.col("t").alias("__h")).distinct()
+    keyed = docs.withColumn("__t", F.xxhash64("text"))
+    kept = keyed.join(small_side(gone), F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("__t") == F.col("__h")), "left_anti")
+    if found.groupBy("doc_id", "t").count().where("count > 1").limit(1).count():  # rows repeated as a whole; those without n-grams stay
+        blank = F.length(F.btrim("text", F.lit(" \t\n\r\x0b\x0c"))) == 0
+        kept = kept.where(~blank).dropDuplicates(["doc_id", "__t"]).unionByName(kept.where(blank | F.col("text").isNull()))
+    return kept.drop("__t")
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "n_shingles", "component_id")
