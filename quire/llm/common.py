@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import uuid
 from pathlib import Path
@@ -60,6 +61,11 @@ class Scratch:
             path = jvm.org.apache.hadoop.fs.Path(self.path(name))
             path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
+    def forget(self) -> None:
+        """Let the driver find plans that nothing refers to any more, so that executors delete their shuffle files."""
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
 
 def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """df with a broadcast hint if it has at most so many rows; the count is taken first, larger tables are shuffled."""

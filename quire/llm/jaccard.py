@@ -6,10 +6,12 @@ frequent ones by how often they were counted. The order decides two things.
 Candidates. Two sets that reach the similarity share one of the first
 n - ceil(0.8 n) + 1 of each (prefix filter), so only those are grouped. A group
 names pairs with one of its members, chosen by one of ORDERS fixed orders, not
-all pairs; after these are verified and joined to components, groups that
-still hold members of different components name the pairs across components
-and only those. Pairs inside a component cannot change the result, so no link
-between components is lost.
+all pairs. After these are verified and joined to components, only groups that
+still hold several components matter, and in them only links across
+components, since others cannot change the result. Small groups name those
+pairs. Groups of more than SMALL nodes are joined to clusters; a cluster is cut
+into blocks of some BLOCK nodes, and each two blocks are counted in one task
+that gives the links it finds as a forest, never the pairs.
 
 Verification. The order is cut into FRAGMENTS. Each candidate pair is counted
 in each fragment apart, from the parts of the two sets that fall into it, and
@@ -23,6 +25,7 @@ N-grams are 64-bit hashes of words; equal sets are one node, whose id is a
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +37,9 @@ from pyspark.sql import functions as F
 from .common import BROADCAST_ROWS, Scratch, mix64, small_side, utf8
 
 WORDS, PERCENT, ORDERS, FRAGMENTS = 5, 80, 2, 8
+SMALL, BLOCK, COLUMNS = 16, 1024, 2048
 #: N-grams that are put last in the order: those counted most often, from SEEN times on.
-FREQUENT, SEEN, COUNTED_AT_ONCE = 1 << 20, 3, 4_000_000
+FREQUENT, SEEN, COUNTED_AT_ONCE = 1 << 20, 2, 6_000_000
 REMEMBERED = 1_000_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -131,13 +135,14 @@ PROFILE = "bucket int, docs binary, nulls binary, hashes binary, nodes binary, s
 
 
 def profile(words: int, percent: int, buckets: int, order):
-    """Rows of two kinds. bucket -1: doc_ids, nodes and sizes of a batch. Others: prefix n-grams of that bucket and their nodes."""
+    """Rows of two kinds: doc_ids, nodes and sizes of a batch; and the prefix n-grams of a bucket and their nodes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets, global_order, seen = Grams(words), order.value, set()
         held: list[np.ndarray] = []
         owners: list[int] = []
         size = 0
+        batches_seen = 0
         names = ["bucket", "docs", "nulls", "hashes", "nodes", "sizes", "grams", "owners"]
         binary = lambda rows: [pa.array([x[i] for x in rows], pa.int32() if not i else pa.binary()) for i in range(8)]
 
@@ -164,7 +169,8 @@ def profile(words: int, percent: int, buckets: int, order):
                     held.append(global_order.first(g, len(g) - (percent * len(g) + 99) // 100 + 1))
                     owners.append(nodes[-1])
                     size += len(held[-1])
-            rows = [(-1, np.array([x or 0 for x in docs], np.int64).tobytes(), bytes(x is None for x in docs), batch.column("t").to_numpy().tobytes(), np.array(nodes, np.int64).tobytes(), np.array(sizes, np.int64).tobytes(), None, None)]
+            batches_seen += 1  # rows of documents go with any bucket
+            rows = [((TaskContext.get().partitionId() + batches_seen) % buckets, np.array([x or 0 for x in docs], np.int64).tobytes(), bytes(x is None for x in docs), batch.column("t").to_numpy().tobytes(), np.array(nodes, np.int64).tobytes(), np.array(sizes, np.int64).tobytes(), None, None)]
             yield pa.RecordBatch.from_arrays(binary(rows), names=names)
             if size >= COUNTED_AT_ONCE:
                 yield flush()
@@ -174,20 +180,24 @@ def profile(words: int, percent: int, buckets: int, order):
     return run
 
 
-def unpack_docs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+GROUPED = "doc_id long, t long, node long, n_shingles long, gram long"
+
+
+def shared_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From all rows of the buckets that a task holds: documents, one a row; and prefix n-grams of at least two nodes with those nodes (n_shingles null)."""
+    names = ["doc_id", "t", "node", "n_shingles", "gram"]
+    held: list[tuple[bytes, bytes]] = []
     for batch in batches:
         for row in batch.to_pylist():
+            if row["docs"] is None:
+                held.append((row["grams"], row["owners"]))
+                continue
             nulls = np.frombuffer(row["nulls"], np.uint8).astype(bool)
             docs, hashes, nodes, sizes = (np.frombuffer(row[c], np.int64) for c in ("docs", "hashes", "nodes", "sizes"))
-            yield pa.RecordBatch.from_arrays([pa.array(docs, mask=nulls), pa.array(hashes), pa.array(nodes, mask=sizes == 0), pa.array(sizes)], names=["doc_id", "t", "node", "n_shingles"])
-
-
-def shared_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From one bucket's rows, all in one task: the prefix n-grams that stand in at least two nodes, and those nodes."""
-    rows = [r for batch in batches for r in batch.to_pylist()]
-    if not rows:
+            yield pa.RecordBatch.from_arrays([pa.array(docs, mask=nulls), pa.array(hashes), pa.array(nodes, mask=sizes == 0), pa.array(sizes), pa.nulls(len(docs), pa.int64())], names=names)
+    if not held:
         return
-    grams, owners = (np.concatenate([np.frombuffer(r[c], t) for r in rows]) for c, t in (("grams", np.uint64), ("owners", np.int64)))
+    grams, owners = (np.concatenate([np.frombuffer(x[i], t) for x in held]) for i, t in ((0, np.uint64), (1, np.int64)))
     at = np.lexsort((owners, grams))
     grams, owners = grams[at], owners[at]
     new = np.r_[True, (grams[1:] != grams[:-1]) | (owners[1:] != owners[:-1])]
@@ -195,18 +205,20 @@ def shared_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     alone = np.r_[True, grams[1:] != grams[:-1]] & np.r_[grams[1:] != grams[:-1], True]
     grams, owners = grams[~alone], owners[~alone]
     for i in range(0, len(grams), 200_000):
-        yield pa.RecordBatch.from_arrays([pa.array(grams[i : i + 200_000].view(np.int64)), pa.array(owners[i : i + 200_000])], names=["gram", "node"])
+        some = owners[i : i + 200_000]
+        none = pa.nulls(len(some), pa.int64())
+        yield pa.RecordBatch.from_arrays([none, none, pa.array(some), none, pa.array(grams[i : i + 200_000].view(np.int64))], names=names)
 
 
-def parts_of_sets(words: int, fragments: int, wanted):
-    """The parts of each wanted node's set by fragment of the order; each node once a task."""
+def parts_of_sets(words: int, fragments: int):
+    """The parts of each text's set by fragment of the order; each node once a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets, seen = Grams(words), set()
         for batch in batches:
             rows = []
-            for text, want in zip(utf8(batch, "text"), batch.column(1).to_pylist() if wanted else [True] * batch.num_rows):
-                g = sets.of(text) if want else ()
+            for text in utf8(batch, "text"):
+                g = sets.of(text)
                 if len(g) and (node := node_of(g)) not in seen:
                     seen.add(node)
                     cuts = np.searchsorted(g, np.arange(1, fragments, dtype=np.uint64) * np.uint64((1 << 64) // fragments))
@@ -230,9 +242,7 @@ def overlaps(key, pairs: pa.Table, sets: pa.Table) -> pa.Table:
 
 def verify(pairs: DataFrame, sets: DataFrame, sizes: DataFrame, scratch: Scratch, name: str, percent: int, fragments: int) -> DataFrame:
     """The pairs (a, b) that reach the similarity: overlaps are counted by fragment and summed for each pair."""
-    spark = pairs.sparkSession
-    pairs = scratch.keep(f"{name}_pairs", pairs)
-    groups = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    groups = max(1, int(scratch.spark.conf.get("spark.sql.shuffle.partitions")))
     group = F.pmod(F.xxhash64("a"), F.lit(groups)).cast("int")
     dealt = pairs.select(group.alias("g"), F.explode(F.sequence(F.lit(0), F.lit(fragments - 1))).alias("fragment"), "a", "b")
     ends = pairs.select(group.alias("g"), F.explode(F.array("a", "b")).alias("node")).distinct()
@@ -244,6 +254,38 @@ def verify(pairs: DataFrame, sets: DataFrame, sizes: DataFrame, scratch: Scratch
     return scratch.keep(name, kept.select("a", "b"))
 
 
+def count_cell(percent: int):
+    """The links across components between two blocks of a cluster: overlaps are counted by fragment and summed."""
+
+    def run(key, rows):
+        _, x, y = (k.as_py() for k in key)
+        block, n, component = (rows[c].to_numpy() for c in ("block", "n", "component"))
+        parts = [{p["fragment"]: np.frombuffer(p["grams"], np.uint64) for p in r} for r in rows["parts"].to_pylist()]
+        a, b = np.flatnonzero(block == x), np.flatnonzero(block == y)
+        total = np.zeros((len(a), len(b)), np.float32)
+        for f in sorted({f for p in parts for f in p}):
+            mine, theirs = ([parts[i].get(f, np.zeros(0, np.uint64)) for i in side.tolist()] for side in (a, b))
+            common = np.intersect1d(np.concatenate(mine), np.concatenate(theirs)) if len(a) and len(b) else []
+            for i in range(0, len(common), COLUMNS):
+                some = common[i : i + COLUMNS]
+                total += incidence(mine, some) @ incidence(theirs, some).T  # whole numbers under 2**24: exact
+        linked = (100 * total >= percent * (n[a][:, None] + n[b][None, :] - total)) & (component[a][:, None] != component[b][None, :])
+        pairs = np.unique(np.stack([component[a][np.nonzero(linked)[0]], component[b][np.nonzero(linked)[1]]], 1), axis=0)
+        edges = list(forest(iter([pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pairs[:, i])) for i in (0, 1)], names=["a", "b"])])))
+        return pa.Table.from_batches(edges, pa.schema([("node", pa.int64()), ("component", pa.int64())])).rename_columns(["a", "b"])
+
+    return run
+
+
+def incidence(sets: list[np.ndarray], columns: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(sets), len(columns)), np.float32)
+    every, row = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    at = np.minimum(np.searchsorted(columns, every), len(columns) - 1)
+    hit = columns[at] == every
+    out[row[hit], at[hit]] = 1
+    return out
+
+
 def forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Components of a task's edges, each as edges to its smallest node."""
     up: dict[int, int] = {}
@@ -311,11 +353,11 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     counted = counted.toArrow()  # at most frequent rows of 16 bytes; whichever these are, the result is the same
     order = spark.sparkContext.broadcast(Order(counted["gram"].to_numpy().view(np.uint64), counted["n"].to_numpy()))
     buckets = max(12, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    profiles = scratch.keep("profiles", docs.select("doc_id", "text", F.xxhash64("text").alias("t")).mapInArrow(profile(words, percent, buckets, order), PROFILE))
-    rows = scratch.keep("rows", profiles.where("bucket = -1").select("docs", "nulls", "hashes", "nodes", "sizes").mapInArrow(unpack_docs, "doc_id long, t long, node long, n_shingles long"))
-    dealt = profiles.where("bucket >= 0").select("bucket", "grams", "owners").repartitionByRange(buckets, "bucket")
-    groups = scratch.keep("groups", dealt.mapInArrow(shared_grams, "gram long, node long"))
-    scratch.drop("profiles")
+    dealt = docs.select("doc_id", "text", F.xxhash64("text").alias("t")).mapInArrow(profile(words, percent, buckets, order), PROFILE).repartition(buckets, "bucket")
+    profiles = scratch.keep("profiles", dealt.mapInArrow(shared_grams, GROUPED))
+    del dealt
+    scratch.forget()
+    rows, groups = profiles.where("n_shingles is not null").drop("gram"), profiles.where("gram is not null").select("gram", "node")
     sizes = scratch.keep("sizes", rows.where("n_shingles > 0").groupBy("node").agg(F.first("n_shingles").alias("n_shingles"), F.min("doc_id").alias("doc")))
     sized = sizes.select("node", F.col("n_shingles").alias("n"))
     grouped = scratch.keep("grouped", groups.join(sized, "node"))
@@ -327,21 +369,43 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     ordered = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
     first = grouped.join(heads, "gram").where((F.col("node") != F.col("head")) & close(F.col("n"), F.col("n_head"))).select(*ordered(F.col("node"), F.col("head"))).distinct()
 
-    ids = rows.join(small_side(groups.select("node").distinct()), "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
-    wanted = docs.select("text", "doc_id").join(small_side(ids.where(F.col("doc_id").isNotNull()).distinct()), "doc_id", "left_semi").select("text")
-    nulls = docs.where(F.col("doc_id").isNull()).select("text")
-    sets = scratch.keep("sets", wanted.unionByName(nulls).mapInArrow(parts_of_sets(words, fragments, False), "node long, fragment int, grams binary"))
-    links = verify(first, sets, sizes, scratch, "links_1", percent, fragments)
+    def sets_of(nodes: DataFrame, name: str) -> DataFrame:
+        """The parts of the sets of nodes, from one text of each."""
+        ids = scratch.keep(f"{name}_ids", sizes.join(nodes, "node").select("doc").distinct())
+        some = docs.select("text", "doc_id").join(small_side(ids.where(F.col("doc").isNotNull()).withColumnRenamed("doc", "doc_id")), "doc_id", "left_semi")
+        if not ids.where(F.col("doc").isNull()).isEmpty():
+            some = some.unionByName(docs.where(F.col("doc_id").isNull()).select("text", "doc_id"))
+        return scratch.keep(name, some.select("text").mapInArrow(parts_of_sets(words, fragments), "node long, fragment int, grams binary"))
+
+    ends = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("node"))
+    first = scratch.keep("pairs_1", first)
+    links = verify(first, sets_of(ends(first).distinct(), "sets_1"), sizes, scratch, "links_1", percent, fragments)
     joined = components(links, scratch, "components_1")
 
     # round 2: groups that still hold several components pair across them
     placed = grouped.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = placed.groupBy("gram").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("gram")
     placed = scratch.keep("placed", placed.join(mixed, "gram", "left_semi"))
-    other = placed.select("gram", *(F.col(c).alias(f"{c}_2") for c in ("node", "n", "component")))
-    second = placed.join(other, "gram").where((F.col("component") < F.col("component_2")) & close(F.col("n"), F.col("n_2"))).select(*ordered(F.col("node"), F.col("node_2"))).distinct()
-    links = links.unionByName(verify(second.join(scratch.spark.read.parquet(scratch.path("links_1_pairs")), ["a", "b"], "left_anti"), sets, sizes, scratch, "links_2", percent, fragments))
-    joined = components(links, scratch, "components_2")
+    big = placed.groupBy("gram").agg(F.count("*").alias("m"), F.min("node").alias("head")).where(F.col("m") > SMALL).select("gram", "head")
+    star = placed.join(big, "gram").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
+    in_clusters = components(star.where("a <> b"), scratch, "clusters")
+    clusters = scratch.keep("members", star.select(F.col("a").alias("node")).distinct().join(in_clusters, "node", "left").select("node", F.coalesce("component", "node").alias("cluster")))
+    sides = placed.join(big, "gram", "left_anti").join(clusters, "node", "left")
+    other = sides.select("gram", *(F.col(c).alias(f"{c}_2") for c in ("node", "n", "component", "cluster")))
+    across = (F.col("component") < F.col("component_2")) & close(F.col("n"), F.col("n_2")) & ~F.coalesce(F.col("cluster") == F.col("cluster_2"), F.lit(False))
+    second = sides.join(other, "gram").where(across).select(*ordered(F.col("node"), F.col("node_2"))).distinct()
+    second = scratch.keep("pairs_2", second.join(first, ["a", "b"], "left_anti"))
+    left = scratch.keep("left", ends(second).unionByName(clusters.select("node")).distinct())
+    if not left.isEmpty():
+        scratch.drop("sets_1")
+        sets = sets_of(left, "sets_2")
+        found = [links, verify(second, sets, sizes, scratch, "links_2", percent, fragments)] if not second.isEmpty() else [links]
+        blocks = clusters.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+        dealt = clusters.join(blocks, "cluster").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        dealt = dealt.join(placed.select("node", "n", "component").distinct(), "node").join(sets.groupBy("node").agg(F.collect_list(F.struct("fragment", "grams")).alias("parts")), "node")
+        cells = dealt.withColumn("x", F.least("block", "other")).withColumn("y", F.greatest("block", "other")).select("cluster", "x", "y", "node", "block", "n", "component", "parts")
+        found.append(scratch.keep("links_3", cells.groupBy("cluster", "x", "y").applyInArrow(count_cell(percent), "a long, b long")))
+        joined = components(reduce(DataFrame.unionByName, found), scratch, "components_2")
 
     named = sizes.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("doc").alias("component_id"))

@@ -43,8 +43,7 @@ from .common import Scratch, mix64, utf8
 LENGTH, Q = 100, 32
 SPAN = LENGTH - Q + 1
 BLOCK, PLACE = 1 << 17, 18
-AT_ONCE = 1_000_000
-BROADCAST_BYTES = 48 << 20
+AT_ONCE = 300_000
 NULL_DOC = -(1 << 63)
 A = [np.uint64(pow(0x9E3779B97F4A7C15, 1 << k, 1 << 64)) for k in range(8)]
 A_POWER = lambda n: np.uint64(pow(0x9E3779B97F4A7C15, n, 1 << 64))
@@ -294,16 +293,19 @@ def resolve(windows: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blobs: list[bytes] = []
-        out: list[tuple] = []
+        spans: dict[tuple[int, int], bytes] = {}
+        asked_of: dict[tuple[int, int], bytes] = {}
         for batch in batches:
             for row in batch.to_pylist():
                 if row["packed"] is None:
-                    out.append((row["doc_id"], row["tie"], row["spans"], None))
+                    of = row["doc_id"], row["tie"]
+                    spans[of] = spans.get(of, b"") + row["spans"]
                 else:
                     blobs.append(row["packed"])
         rows = unpack(blobs, fields)
         at, kept = earliest(rows)
-        out += [(d, t, s, None) for d, t, s in repeats_of(rows, at, kept, windows)]
+        for d, t, x in repeats_of(rows, at, kept, windows):
+            spans[d, t] = spans.get((d, t), b"") + x
         if not windows:
             mine, least, most = open_starts(rows, at, kept)
             place = rows["at"][mine].astype(np.int64)
@@ -311,7 +313,8 @@ def resolve(windows: bool):
             asked = np.stack([place - most, place - least, place], 1)[order].astype(np.uint32)
             doc, tie = rows["doc"][mine][order], rows["tie"][mine][order]
             edges = np.r_[np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (tie[1:] != tie[:-1])]), len(doc)] if len(doc) else np.zeros(1, int)
-            out += [(int(doc[a]), int(tie[a].astype(np.int64)), None, asked[a:b].tobytes()) for a, b in zip(edges.tolist(), edges[1:].tolist())]
+            asked_of = {(int(doc[a]), int(tie[a].astype(np.int64))): asked[a:b].tobytes() for a, b in zip(edges.tolist(), edges[1:].tolist())}
+        out = [(*of, spans.get(of), asked_of.get(of)) for of in spans.keys() | asked_of.keys()]  # one row a document
         for i in range(0, len(out), 20_000):
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out[i : i + 20_000]), (pa.int64(), pa.int64(), pa.binary(), pa.binary()))], names=["doc_id", "tie", "spans", "pointers"])
 
@@ -319,14 +322,13 @@ def resolve(windows: bool):
 
 
 def with_lists(docs: DataFrame, lists: DataFrame, column: str, ties: bool, how: str) -> DataFrame:
-    """docs with the lists of their document: over a broadcast if the lists are at most BROADCAST_BYTES, else over a shuffle."""
-    size = lists.agg(F.sum(F.octet_length(column) + 40).alias("b")).first()["b"] or 0
+    """docs with the lists of their document, over a shuffle by doc_id at every size."""
     grouped = lists.groupBy("doc_id", "tie").agg(F.collect_list(column).alias(column)).withColumnsRenamed({"doc_id": "__d", "tie": "__t"})
     key = F.coalesce("doc_id", F.lit(NULL_DOC))
     if ties:
         docs = docs.mapInArrow(add_ties, "doc_id long, text string, tie long")
     on = (key == F.col("__d")) & (F.col("tie") == F.col("__t")) if ties else key == F.col("__d")
-    return docs.join(F.broadcast(grouped) if size <= BROADCAST_BYTES else grouped, on, how).select("doc_id", "text", column)
+    return docs.join(grouped, on, how).select("doc_id", "text", column)
 
 
 def add_ties(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -367,10 +369,14 @@ def remove_repeats(docs: DataFrame, keep_bytes: bool = False) -> DataFrame:
     buckets = max(12, int(spark.conf.get("spark.sql.shuffle.partitions")))
     dealt = long.mapInArrow(in_hand(read_pointers(ties), FIELDS, False, buckets), DEALT).repartition(buckets, "bucket")
     found = scratch.keep("found", dealt.mapInArrow(resolve(False), FOUND))
+    del dealt
+    scratch.forget()
     asked = with_lists(long, found.where(F.col("pointers").isNotNull()).select("doc_id", "tie", "pointers"), "pointers", ties, "inner")
     dealt = asked.mapInArrow(in_hand(read_windows(ties), WINDOWS, True, buckets), DEALT).repartition(buckets, "bucket")
     more = scratch.keep("more", dealt.mapInArrow(resolve(True), FOUND))
-    spans = found.where(F.col("spans").isNotNull()).unionByName(more).select("doc_id", "tie", "spans")
+    del dealt, asked
+    scratch.forget()
+    spans = found.unionByName(more).where(F.col("spans").isNotNull()).select("doc_id", "tie", "spans")
     return with_lists(docs, spans, "spans", ties, "left").mapInArrow(cut(keep_bytes), KEPT + ", kept binary" * keep_bytes)
 
 
