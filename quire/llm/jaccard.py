@@ -242,7 +242,7 @@ def overlaps(key, pairs: pa.Table, sets: pa.Table) -> pa.Table:
 
 def verify(pairs: DataFrame, sets: DataFrame, sizes: DataFrame, scratch: Scratch, name: str, percent: int, fragments: int) -> DataFrame:
     """The pairs (a, b) that reach the similarity: overlaps are counted by fragment and summed for each pair."""
-    groups = max(1, int(scratch.spark.conf.get("spark.sql.shuffle.partitions")))
+    groups = max(64, int(scratch.spark.conf.get("spark.sql.shuffle.partitions")))
     group = F.pmod(F.xxhash64("a"), F.lit(groups)).cast("int")
     dealt = pairs.select(group.alias("g"), F.explode(F.sequence(F.lit(0), F.lit(fragments - 1))).alias("fragment"), "a", "b")
     ends = pairs.select(group.alias("g"), F.explode(F.array("a", "b")).alias("node")).distinct()

@@ -366,7 +366,7 @@ def remove_repeats(docs: DataFrame, keep_bytes: bool = False) -> DataFrame:
     docs = docs.select("doc_id", "text")
     ties = bool(docs.groupBy("doc_id").count().where("count > 1").limit(1).count())
     long = docs.where(F.octet_length("text") >= LENGTH)
-    buckets = max(12, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    buckets = max(48, int(spark.conf.get("spark.sql.shuffle.partitions")))
     dealt = long.mapInArrow(in_hand(read_pointers(ties), FIELDS, False, buckets), DEALT).repartition(buckets, "bucket")
     found = scratch.keep("found", dealt.mapInArrow(resolve(False), FOUND))
     del dealt
