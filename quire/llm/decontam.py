@@ -36,7 +36,7 @@ from .common import Scratch, mix64, utf8
 
 WINDOW, SHORTEST, SOLID, SHARE = 8, 5, 4, 0.6
 BLOCK_BYTES = 32 << 20
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 EDGES = re.compile(r"^[^\w<>]+|[^\w<>%°]+$")
 NUMBER = re.compile(r"^[+-]?\d[\d.,:/]*%?$")
 MEASURE = re.compile(r"^([+-]?\d[\d.,]*)([A-Za-zµ°]{1,4})$")
@@ -75,27 +75,22 @@ class Reader:
 
     def __init__(self) -> None:
         self.known: dict[bytes, int] = {}
-        self.rows: list[tuple[int, int, int]] = []
-        self.plain, self.template, self.flags = np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.uint8)
+        self.plain, self.template, self.flags = np.zeros(1024, np.uint64), np.zeros(1024, np.uint64), np.zeros(1024, np.uint8)
 
     def read(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
         """Word hashes, template hashes, whether a token is a slot, and the words."""
         raw = text.split()
         at = list(map(self.known.get, raw))
         if None in at:
-            if len(self.known) > REMEMBERED:
-                self.known, self.rows = {}, []
-            for w in raw:
-                if w not in self.known:
-                    self.known[w] = len(self.rows)
-                    self.rows.append(describe(w))
-            plain, template, flags = zip(*self.rows[len(self.plain) :]) if len(self.rows) > len(self.plain) else zip(*self.rows)
-            if len(self.rows) > len(self.plain):
-                self.plain = np.r_[self.plain, np.array(plain, np.uint64)]
-                self.template = np.r_[self.template, np.array(template, np.uint64)]
-                self.flags = np.r_[self.flags, np.array(flags, np.uint8)]
-            else:
-                self.plain, self.template, self.flags = np.array(plain, np.uint64), np.array(template, np.uint64), np.array(flags, np.uint8)
+            new = list({w for w, i in zip(raw, at) if i is None})
+            if len(self.known) + len(new) > REMEMBERED:
+                self.known, new = {}, list(set(raw))
+            n = len(self.known)
+            while n + len(new) > len(self.plain):  # doubled, so that words are copied few times
+                self.plain, self.template, self.flags = (np.concatenate([x, np.zeros_like(x)]) for x in (self.plain, self.template, self.flags))
+            for i, w in enumerate(new, n):
+                self.plain[i], self.template[i], self.flags[i] = describe(w)
+                self.known[w] = i
             at = list(map(self.known.__getitem__, raw))
         at = np.array(at, np.int64)
         plain, template, flags = self.plain[at], self.template[at], self.flags[at]

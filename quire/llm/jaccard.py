@@ -40,7 +40,8 @@ WORDS, PERCENT, ORDERS, FRAGMENTS = 5, 80, 2, 8
 SMALL, BLOCK, COLUMNS = 16, 1024, 2048
 #: N-grams that are put last in the order: those counted most often, from SEEN times on.
 FREQUENT, SEEN, COUNTED_AT_ONCE = 1 << 20, 2, 6_000_000
-REMEMBERED = 1_000_000
+DEALT_AT_ONCE = 1_000_000
+REMEMBERED = 400_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -172,7 +173,7 @@ def profile(words: int, percent: int, buckets: int, order):
             batches_seen += 1  # rows of documents go with any bucket
             rows = [((TaskContext.get().partitionId() + batches_seen) % buckets, np.array([x or 0 for x in docs], np.int64).tobytes(), bytes(x is None for x in docs), batch.column("t").to_numpy().tobytes(), np.array(nodes, np.int64).tobytes(), np.array(sizes, np.int64).tobytes(), None, None)]
             yield pa.RecordBatch.from_arrays(binary(rows), names=names)
-            if size >= COUNTED_AT_ONCE:
+            if size >= DEALT_AT_ONCE:
                 yield flush()
         if held:
             yield flush()

@@ -187,7 +187,7 @@ def write_ids(docs: DataFrame, scratch: Scratch, vocabulary: str = "word_bpe_49k
     empty table gives an empty table.
     """
     spark = docs.sparkSession
-    size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())  # of the files
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))  # of the files
     parts = min(max(size // bytes_a_part, 2 * spark.sparkContext.defaultParallelism), 1 << 20) if size > 1 << 20 else 1
     ordered = docs.select("doc_id", "text").repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
     return scratch.keep("shards", ordered.mapInArrow(encode_partition(vocabulary, end_id, shard_tokens), SHARDS))

@@ -24,7 +24,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 #: Chunks remembered by a worker (about 200 bytes each); the memory is emptied when it is full.
-REMEMBERED = 1_500_000
+REMEMBERED = 1_200_000
 #: Longer chunks are not remembered.
 LONGEST = 64
 #: Two white-space characters in a row, as the Unicode property White_Space has them.

@@ -36,7 +36,7 @@ TRAIN_ROWS = 20_000
 PRIOR, MIN_G2, MIN_COUNT, GAP, MAX_P = 1000.0, 20.0, 5, 0.05, 0.01
 BEGINNINGS = (6, 5, 4)
 MAX_FEATURES = 50_000
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 
 
@@ -233,6 +233,7 @@ def score_texts(model):
         shared = model.value
         for batch in batches:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([shared.score(x) for x in utf8(batch, "text")], pa.float64())], names=[*batch.schema.names, "toxic_score"])
+        shared.memory.clear()
 
     return run
 
