@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import Scratch, utf8
-from .tokens import Encoder, encoder
+from .tokens import Encoder, double_space, encoder
 
 WHITE = "\t-\r \x85\xa0  -     　"
 CUT = re.compile(f"(?<=[^{WHITE}]) (?=[^{WHITE}])")
@@ -28,7 +28,18 @@ COUNTS = "doc_id long, n_tokens long, n_edits long, n_tokens_after long, n_segme
 Edit = tuple[int, int, str]  # first character, characters replaced, replacement
 
 
+def count_segments(raw: bytes) -> int:
+    """How many segments a UTF-8 text has; where no white space stands together, spaces inside the text are the cuts."""
+    if double_space(raw):
+        return len(CUT.findall(raw.decode())) + 1
+    return raw.count(b" ") - raw.startswith(b" ") - (raw.endswith(b" ") and len(raw) > 1) + bool(raw)
+
+
 def segments(text: str) -> list[str]:
+    raw = text.encode()
+    if raw and not double_space(raw) and not text.startswith(" ") and not text.endswith(" "):
+        first, *others = text.split(" ")
+        return [first, *(f" {x}" for x in others)]
     at = [0, *(m.start() for m in CUT.finditer(text)), len(text)]
     return [text[a:b] for a, b in zip(at, at[1:]) if b > a]
 
@@ -67,6 +78,8 @@ class CountedText:
         self.encoded_again = 0
 
     def count(self, segment: str) -> int:
+        if segment.startswith(" ") and (known := self.enc.known.get(segment[1:].encode())) is not None:
+            return len(known) // 2
         return len(self.enc.text(segment.encode())) // 2
 
     def apply(self, edits: list[Edit]) -> int:
@@ -130,7 +143,7 @@ def count_with_edits(docs: DataFrame, editor: Callable[[str], list[Edit]] | None
                     rows.append((doc, before, n, counted.tree.total, len(counted.segments), counted.encoded_again))
                 else:
                     n = len(enc.text(raw)) // 2
-                    rows.append((doc, n, 0, n, len(CUT.findall(text)) + bool(text), 0))
+                    rows.append((doc, n, 0, n, count_segments(raw), 0))
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*rows) if rows else [[]] * 6)], names=["doc_id", "n_tokens", "n_edits", "n_tokens_after", "n_segments", "n_encoded_again"])
 
     return docs.select(*columns).mapInArrow(run, COUNTS)

@@ -115,6 +115,10 @@ def test_edits(docs, rows, empty):
         text = text or ""
         assert got[doc]["n_tokens"] == len(e.tokenizer.encode(text, add_special_tokens=False).ids)
         assert got[doc]["n_tokens_after"] == len(e.tokenizer.encode(edits.DIGITS.sub("0", text), add_special_tokens=False).ids)
+    for text in (" ", "a", " a", "a ", " a b ", "a b\nc d", "a  b c", "a\n b c", "", "é\u2003b c", "x\u2003 y z"):
+        at = [0, *(m.start() for m in edits.CUT.finditer(text)), len(text)]
+        cut = [text[a:b] for a, b in zip(at, at[1:]) if b > a]
+        assert edits.segments(text) == cut and edits.count_segments(text.encode()) == len(cut), repr(text)
     text = "the cat  sat on\n the mat"
     some = edits.CountedText(text, e)
     assert some.apply([(4, 3, ""), (20, 3, "big  mat"), (5, 1, "no")]) == 2
