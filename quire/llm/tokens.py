@@ -9,6 +9,11 @@ ids of the chunks, joined, are the ids of the text:
   pre-tokenizer looks ahead, are encoded whole.
 
 Texts that hold the string of a special token are encoded whole too.
+
+A chunk that is a run of plain letters, with or without a few stops after it,
+is one or two pre-tokens whatever stands around it. It goes to the library's
+model at once, without the making of an encoding; the letters' normal forms are
+asked of the library, one by one, when an encoder is built.
 """
 
 from __future__ import annotations
@@ -24,12 +29,15 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 #: Chunks remembered by a worker (about 200 bytes each); the memory is emptied when it is full.
-REMEMBERED = 1_200_000
+REMEMBERED = 500_000
 #: Longer chunks are not remembered.
 LONGEST = 64
 #: Two white-space characters in a row, as the Unicode property White_Space has them.
 DOUBLE_SPACE = re.compile("[\t-\r \x85\xa0  -     　]{2}")
 #: Bytes that may belong to white space other than a space or a line feed.
+#: Letters whose normal form does not depend on their neighbours, and stops that stand together in one pre-token.
+LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
+PLAIN = re.compile(f"([{LETTERS}]+)([,.;:!?]*)")
 ODD_SPACE = (b"\t", b"\r", b"\x0b", b"\x0c", b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a", b"\xe2\x80", b"\xe2\x81", b"\xe3\x80")
 DOUBLE_ASCII = (b"  ", b"\n\n", b" \n", b"\n ")
 
@@ -48,6 +56,37 @@ class Encoder:
         self.specials = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.spaced = self.tokenizer.normalizer is None  # a space belongs to the word after it
         self.known: dict[bytes, bytes] = {}
+        self.forms = {ord(c): self.form(c) for c in map(chr, range(256)) if PLAIN.match(c)}
+        self.before = self.form(" ") if self.spaced else ""
+        self.stops: dict[str, list[int]] = {}
+
+    def form(self, letter: str) -> str:
+        """What the model is given for a character."""
+        normal = self.tokenizer.normalizer.normalize_str(letter) if self.tokenizer.normalizer else letter
+        return "".join(piece for piece, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(normal))
+
+    def new(self, chunks: list[bytes]) -> list[bytes]:
+        """Ids of chunks that stand between white space; with a space before each where it belongs to the word."""
+        tokenize, forms, before, stops = self.tokenizer.model.tokenize, self.forms, self.before, self.stops
+        out, rest = [], []
+        for i, chunk in enumerate(chunks):
+            text = chunk.decode()
+            if not (plain := PLAIN.fullmatch(text)):
+                rest.append((i, f" {text}" if self.spaced else text))
+                out.append(b"")
+                continue
+            word, stop = plain.groups()
+            ids = [t.id for t in tokenize(before + word.translate(forms))]
+            if stop:
+                if (more := stops.get(stop)) is None:
+                    if len(stops) > 4096:
+                        stops.clear()
+                    more = stops[stop] = [t.id for t in tokenize(stop)]
+                ids += more
+            out.append(array("H", ids).tobytes())
+        for (i, _), ids in zip(rest, self.whole([x for _, x in rest])):
+            out[i] = ids
+        return out
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [array("H", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -74,7 +113,7 @@ class Encoder:
         if None not in found:
             return b"".join([first, *found])
         new = list({c for c, x in zip(chunks, found) if x is None})
-        got = dict(zip(new, self.whole([f" {x.decode()}" for x in new] if self.spaced else [x.decode() for x in new])))
+        got = dict(zip(new, self.new(new)))
         out = b"".join([first, *(got[c] if x is None else x for c, x in zip(chunks, found))])
         if len(known) + len(new) > REMEMBERED:
             known.clear()

@@ -57,6 +57,16 @@ def test_token_ids_round_trip(spark, docs, rows, empty):
     assert repair.read_ids(repair.write_ids(empty, Scratch(spark, "t"))).count() == 0
 
 
+@pytest.mark.parametrize("file", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_chunks_encode_as_the_whole_text(file):
+    e = encoder(file)
+    odd = ["It's we'll I'M NAÏVE Straße,,, Über... what?! a,b x'ſ Ĳ ǅ ﬁ cafe\u0301 é N° ª º µ ß ÿ. Ÿ 12a a12 a. 'tis can't! İstanbul", "ab" * 5000, " Ab, cd.. EF! gh?? 'll' ;;", "a\u00a0b", "<|endoftext|> x", "ÀÉ,\n\nb"]
+    letters = np.array(list("aZéÉßøÿ,.!?'1 \n°\u0301ſ"))
+    rng = np.random.default_rng(3)
+    for text in [*odd, *("".join(rng.choice(letters, 60)) for _ in range(300))]:
+        assert e.text(text.encode()) == e.one(text.encode()), text
+
+
 def test_repeats(spark, docs, rows, empty):
     seen = set()
     got = {r["doc_id"]: r for r in suffix.remove_repeats(docs).collect()}
