@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import furniture, locators, structure
+from ..operators import cleanup, furniture, locators, navigation, structure
 
 ODD, LATER = "coalesce(try_cast(substr(source, 4) as int), 1) % 3 = 0", "n >= 30"
 FOLIO = f"case when n <= 3 then repeat('i', n) when n % 7 = 0 then '' when n = 23 then '999' when {ODD} and {LATER} then cast(n - 29 as string) when n >= 5 then cast(n - 4 as string) else '' end"
@@ -105,6 +105,48 @@ def line_slices(spark, sf_dir):
     return structure.slice_lines(d, d.selectExpr("doc_id", "'body' as name", "2 as first", "4 as last")).select("doc_id", "name", F.md5("text").alias("text_md5"))
 
 
+PICTURE = "concat('\\n\\n\\n\\n**---- Start of picture text ----**<br>\\n', case when doc_id % 2 = 0 then 'Index of Terms' else 'Noise' end, '\\n**---- End of picture text ----**<br>\\nEND')"
+
+
+def joined_words(spark, sf_dir):
+    """Documents with a joined word before and a block of picture text behind."""
+    return table(spark, sf_dir, "documents").selectExpr("doc_id", f"concat('the', regexp_extract(text, '[a-z]{{3,}}', 0), ' wWilliam ', text, {PICTURE}) as text")
+
+
+def dictionary(spark, sf_dir):
+    """Words of at least three letters that five documents use."""
+    words = cleanup.candidates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return words.groupBy(F.col("token").alias("word")).count().where("count >= 5").select("word")
+
+
+def join_splits(spark, sf_dir):
+    return cleanup.join_splits(cleanup.candidates(joined_words(spark, sf_dir)), dictionary(spark, sf_dir))
+
+
+def clean_markdown(spark, sf_dir):
+    cleaned = cleanup.clean_markdown(joined_words(spark, sf_dir), dictionary(spark, sf_dir))
+    return cleaned.select("doc_id", "n_joins", "n_stray", "n_kept", "n_dropped", F.md5("text").alias("text_md5"))
+
+
+def nav_maps(spark, sf_dir):
+    """A navigation map for each source: every third document opens a point that holds the next two."""
+    docs = table(spark, sf_dir, "documents").select("source", "doc_id", F.row_number().over(Window.partitionBy("source").orderBy("doc_id")).alias("n"))
+    entry = "concat('<navPoint id=\"p\"><navLabel><text>Part &amp; ', doc_id, '</text></navLabel><content src=\"../d', doc_id, '.xhtml#a', doc_id, '\"/>', case n % 3 when 1 then '' when 2 then '</navPoint>' else '</navPoint></navPoint>' end)"
+    parts = docs.selectExpr("source as book_id", "n", f"{entry} as part").groupBy("book_id").agg(F.array_sort(F.collect_list(F.struct("n", "part"))).alias("parts"))
+    return parts.select("book_id", F.lit("OEBPS").alias("base"), F.array_join(F.transform("parts", lambda x: x.part), "").alias("markup"))
+
+
+def classed(spark, sf_dir):
+    """Documents as marked-up pages of a book whose class for chapters depends on the source."""
+    markup = "concat('<p class=\"', case when source in ('src1', 'src2') then 'SectHead' else 'chaptitle' end, ' x\">Title <i>', doc_id, '</i></p><p>', substr(text, 1, 40), '</p><p class=\"other\">z</p>')"
+    return table(spark, sf_dir, "documents").selectExpr("source as book_id", "doc_id", f"{markup} as markup")
+
+
+def class_headings(spark, sf_dir):
+    d = classed(spark, sf_dir)
+    return navigation.class_headings(d, navigation.chapter_class(d)).select("doc_id", "n_injected", F.md5("markup").alias("markup_md5"))
+
+
 QUERIES = {
     "book_report": book_report,
     "running_heads": running_heads,
@@ -133,6 +175,11 @@ QUERIES = {
     "nav_links": lambda s, d: structure.links(table(s, d, "pages")).select("page_id", F.col("ord").cast("long").alias("ord"), "label", "href"),
     "cluster_1d": words_x,
     "line_slice": line_slices,
+    "join_splits": join_splits,
+    "clean_markdown": clean_markdown,
+    "ncx_entries": lambda s, d: navigation.ncx_entries(nav_maps(s, d)),
+    "chapter_class": lambda s, d: navigation.chapter_class(classed(s, d)),
+    "class_headings": class_headings,
 }
 
 _DUCK_FOLIO = FOLIO.replace("as string", "as varchar")
@@ -141,6 +188,17 @@ _PAGES = rf"""numbered AS (SELECT source, doc_id, text, row_number() OVER (PARTI
 pages AS (SELECT source AS book_id, n AS page_pdf, upper(source) || ' STUDIES' || chr(10) || text || chr(10) || {_DUCK_FOLIO} AS text FROM numbered)"""
 _PLAIN = r"regexp_replace(regexp_replace(text, '(?s)<!--.*?-->|[#*_`|]+', ' ', 'g'), '(?m)^-{3,}$', ' ', 'g')"
 _REFS = "refs AS (SELECT doc_id, 0 AS ref_no, 'figure ' || doc_id AS alt, 'doc' || doc_id || '.png' AS target, len(string_split(text, chr(10))) + 1 AS line FROM documents)"
+_IN = lambda words: "(" + ", ".join(f"'{w}'" for w in words) + ")"
+_JOINS = rf"""t AS (SELECT doc_id, 'the' || regexp_extract(text, '[a-z]{{3,}}') || ' wWilliam ' || text AS text FROM documents),
+dict AS (SELECT w FROM (SELECT doc_id, unnest(list_distinct(regexp_extract_all(text, '[\p{{L}}\p{{N}}_]+'))) AS w FROM documents) WHERE regexp_full_match(w, '[a-z]{{4,}}') GROUP BY w HAVING count(*) >= 5),
+tok AS (SELECT DISTINCT unnest(regexp_extract_all(text, '[\p{{L}}\p{{N}}_]+')) AS token FROM t),
+cut AS (SELECT token, unnest(range(1, length(token))) AS cut FROM tok WHERE regexp_full_match(token, '[a-z]{{4,}}') AND token NOT IN (SELECT w FROM dict)),
+hv AS (SELECT token, cut, left(token, cut) AS l, substr(token, cut + 1) AS r FROM cut),
+fl AS (SELECT *, l IN {_IN(cleanup.FUNCTION_WORDS)} AS lf, r IN {_IN(cleanup.FUNCTION_WORDS)} AS rf FROM hv),
+ok AS (SELECT *, least(length(l), length(r)) * 1000000 - cut AS score FROM fl WHERE (lf OR rf) AND r NOT IN {_IN(cleanup.NEVER_TRAILING)} AND (NOT lf OR l IN {_IN(cleanup.LEADING_WORDS)})
+ AND (lf OR length(l) >= 3 AND l IN (SELECT w FROM dict)) AND (rf OR length(r) >= 3 AND r IN (SELECT w FROM dict)) AND (r NOT IN ('a', 'an') OR lf OR length(l) >= 4)),
+sp AS (SELECT token, arg_max(l, score) AS "left", arg_max(r, score) AS "right" FROM ok GROUP BY token)"""
+_MARKUP = """m AS (SELECT source AS book_id, doc_id, CASE WHEN source IN ('src1', 'src2') THEN 'SectHead' ELSE 'chaptitle' END AS c, CASE WHEN source IN ('src1', 'src2') THEN '2' ELSE '1' END AS lv, text FROM documents)"""
 _LINES = "l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS line_no FROM documents)"
 
 _CONSENSUS = f"""{_PAGES},
@@ -202,5 +260,16 @@ v AS (SELECT doc_id, CAST(72 + (i % 5) * 90 + length(w) % 4 AS DOUBLE) AS v FROM
 b AS (SELECT doc_id, v, CASE WHEN v - lag(v) OVER (PARTITION BY doc_id ORDER BY v) < 15 THEN 0 ELSE 1 END AS b FROM v),
 c AS (SELECT doc_id, v, sum(b) OVER (PARTITION BY doc_id ORDER BY v) AS cluster FROM b)
 SELECT doc_id, CAST(cluster AS BIGINT) AS cluster, round(avg(v), 6) AS centre, count(*) AS n FROM c GROUP BY doc_id, cluster""",
+    "join_splits": f"WITH {_JOINS} SELECT * FROM sp",
+    "clean_markdown": rf"""WITH {_JOINS},
+pc AS (SELECT doc_id, unnest(regexp_extract_all(text, '[\p{{L}}\p{{N}}_]+|[^\p{{L}}\p{{N}}_]+')) AS p, generate_subscripts(regexp_extract_all(text, '[\p{{L}}\p{{N}}_]+|[^\p{{L}}\p{{N}}_]+'), 1) AS i FROM t),
+jn AS (SELECT doc_id, string_agg(CASE WHEN token IS NULL THEN p ELSE "left" || ' ' || "right" END, '' ORDER BY i) AS text, CAST(count(DISTINCT token) AS INTEGER) AS n_joins FROM pc LEFT JOIN sp ON p = token GROUP BY doc_id),
+st AS (SELECT doc_id, n_joins, CAST(len(regexp_extract_all(text, '\b[b-df-hj-np-tv-z][A-Z][a-z]{{2,}}\b')) AS INTEGER) AS n_stray, regexp_replace(text, '\b[b-df-hj-np-tv-z]([A-Z][a-z]{{2,}})\b', '\1', 'g') AS text FROM jn)
+SELECT doc_id, n_joins, n_stray, CAST(1 - doc_id % 2 AS INTEGER) AS n_kept, CAST(doc_id % 2 AS INTEGER) AS n_dropped,
+md5(regexp_replace(text || chr(10) || chr(10) || chr(10) || chr(10) || CASE WHEN doc_id % 2 = 0 THEN 'Index of Terms' ELSE '' END || chr(10) || 'END', '\n{{3,}}', chr(10) || chr(10), 'g')) AS text_md5 FROM st""",
+    "ncx_entries": """WITH n AS (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS n FROM documents)
+SELECT source AS book_id, CAST(n - 1 AS INTEGER) AS ord, CASE WHEN n % 3 = 1 THEN 1 ELSE 2 END AS depth, 'Part & ' || doc_id AS label, 'd' || doc_id || '.xhtml' AS doc, 'a' || doc_id AS anchor FROM n""",
+    "chapter_class": f"WITH {_MARKUP} SELECT book_id, lower(c) AS token, count(*) AS n FROM m GROUP BY book_id, c",
+    "class_headings": f"""WITH {_MARKUP} SELECT doc_id, 1 AS n_injected, md5('<h' || lv || '>Title ' || doc_id || '</h' || lv || '><p>' || substr(text, 1, 40) || '</p><p class="other">z</p>') AS markup_md5 FROM m""",
     "line_slice": f"WITH {_LINES} SELECT doc_id, 'body' AS name, md5(string_agg(line, chr(10) ORDER BY line_no)) AS text_md5 FROM l WHERE line_no BETWEEN 1 AND 3 GROUP BY doc_id",
 }
