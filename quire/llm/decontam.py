@@ -1,14 +1,16 @@
 """Benchmark passages in documents, also with other numbers, names and units.
 
 Tokens are words without punctuation at their ends. Their template form
-replaces numbers, units after numbers, and names (capitalised words inside a
-sentence) by typed placeholders. Windows of WINDOW tokens of the benchmark
-are hashed twice, as words and as templates; documents look their windows up.
+replaces numbers, units after numbers, and names (capitalised words) by typed
+placeholders. A capitalised word that opens a sentence may be a name or not, so
+there are two template forms: one leaves all openers as words, the other takes
+them for names. Windows of WINDOW tokens of the benchmark are hashed three
+times, as words and in either form; documents look their windows up.
 A document holds an item
 
 * verbatim if SHARE of the item's word windows stand in it, or
-* re-parameterised if SHARE of the item's template windows do along one
-  alignment and the slots agree: each value of the item's slots stands for one
+* re-parameterised if SHARE of the item's template windows of one form do along
+  one alignment and the slots agree: each value of the item's slots stands for one
   value of the document's, and the other way round.
 
 Items of fewer than WINDOW tokens are one window of their own length; items of
@@ -77,8 +79,8 @@ class Reader:
         self.known: dict[bytes, int] = {}
         self.plain, self.template, self.flags = np.zeros(1024, np.uint64), np.zeros(1024, np.uint64), np.zeros(1024, np.uint8)
 
-    def read(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
-        """Word hashes, template hashes, whether a token is a slot, and the words."""
+    def read(self, text: bytes) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]], list[bytes]]:
+        """Word hashes; for either form the template hashes and whether a token is a slot; the words."""
         raw = text.split()
         at = list(map(self.known.get, raw))
         if None in at:
@@ -97,9 +99,9 @@ class Reader:
         begins = np.r_[True, (flags[:-1] & ENDS) > 0] if len(at) else np.zeros(0, bool)
         full = (flags & EMPTY) == 0
         numbers = np.r_[False, (flags[:-1] & SLOT) > 0] if len(at) else np.zeros(0, bool)
-        slot = (flags & SLOT > 0) | (flags & UNIT > 0) & numbers | (flags & NAME > 0) & ~begins
-        template = np.where(slot, template, plain)
-        return plain[full], template[full], slot[full], [w for w, f in zip(raw, full.tolist()) if f] if not full.all() else raw
+        numeric, name = (flags & SLOT > 0) | (flags & UNIT > 0) & numbers, flags & NAME > 0
+        slots = numeric | name & ~begins, numeric | name
+        return plain[full], [(np.where(s, template, plain)[full], s[full]) for s in slots], [w for w, f in zip(raw, full.tolist()) if f] if not full.all() else raw
 
 
 def windows(hashes: np.ndarray, size: int) -> np.ndarray:
@@ -119,24 +121,28 @@ class Benchmark:
     def __init__(self, items: list[tuple[int | None, bytes]]) -> None:
         reader = Reader()
         self.items = []
-        found: tuple[dict, dict] = (defaultdict(list), defaultdict(list))
+        found: tuple[dict, dict, dict] = (defaultdict(list), defaultdict(list), defaultdict(list))
         self.sizes: set[int] = set()
         for item, text in items:
-            plain, template, slot, words = reader.read(text)
+            plain, forms, words = reader.read(text)
             if len(plain) < SHORTEST:
                 continue
             size = min(WINDOW, len(plain))
             self.sizes.add(size)
             n = len(plain) - size + 1
-            solid = n and np.convolve(~slot, np.ones(size, int), "valid") >= SOLID
-            for kind, hashes in ((0, windows(plain, size)), (1, windows(template, size))):
-                for j, h in enumerate(hashes.tolist()):
-                    if kind == 0 or solid[j]:
-                        found[kind][h, size].append((len(self.items), j))
-            self.items.append((item, n, size, slot, [EDGES.sub("", w.decode("utf-8", "replace")).lower() for w in words], int(solid.sum())))
+            kept = []
+            for template, slot in forms:
+                solid = np.convolve(~slot, np.ones(size, int), "valid") >= SOLID
+                kept.append((slot, int(solid.sum())))
+                for j, h in enumerate(windows(template, size).tolist()):
+                    if solid[j]:
+                        found[len(kept)][h, size].append((len(self.items), j))
+            for j, h in enumerate(windows(plain, size).tolist()):
+                found[0][h, size].append((len(self.items), j))
+            self.items.append((item, n, size, kept, [EDGES.sub("", w.decode("utf-8", "replace")).lower() for w in words]))
         self.places = tuple(dict(x) for x in found)
         self.filters = {}
-        for kind in (0, 1):
+        for kind in (0, 1, 2):
             for size in self.sizes:
                 hit = np.zeros(1 << 20, bool)
                 hit[np.array([h for h, s in found[kind] if s == size], np.uint64) >> np.uint64(44)] = True
@@ -144,10 +150,10 @@ class Benchmark:
 
     def find(self, reader: Reader, text: bytes) -> tuple[int, float, str] | None:
         """The best covered item: its place, the share of its windows, and how it was found."""
-        plain, template, slot, words = reader.read(text)
+        plain, forms, words = reader.read(text)
         hits: list[tuple[int, int, int, int]] = []
         for size in self.sizes:
-            for kind, tokens in ((0, plain), (1, template)):
+            for kind, tokens in enumerate((plain, forms[0][0], forms[1][0])):
                 hashes = windows(tokens, size)
                 at = np.flatnonzero(self.filters[kind, size][hashes >> np.uint64(44)])
                 for p, h in zip(at.tolist(), hashes[at].tolist()):
@@ -160,23 +166,24 @@ class Benchmark:
             if kind == 0:
                 verbatim[i].add(j)
             else:
-                aligned[i][p - j].add(j)
+                aligned[i, kind - 1][p - j].add(j)
         for i, js in verbatim.items():
             share = len(js) / self.items[i][1]
             if share >= SHARE and (best is None or (share, -i) > (best[1], -best[0])):
                 best = i, share, "verbatim"
         if best:
             return best
-        for i, by_offset in aligned.items():
-            _, _, size, item_slot, item_words, solid = self.items[i]
+        for (i, form), by_offset in aligned.items():
+            solid = self.items[i][3][form][1]
             for offset, js in by_offset.items():
                 share = len(js) / max(1, solid)
-                if share >= SHARE and (best is None or (share, -i) > (best[1], -best[0])) and self.consistent(i, offset, js, slot, words):
+                if share >= SHARE and (best is None or (share, -i) > (best[1], -best[0])) and self.consistent(i, form, offset, js, words):
                     best = i, share, "re-parameterised"
         return best
 
-    def consistent(self, i: int, offset: int, js: set[int], slot: np.ndarray, words: list[bytes]) -> bool:
-        _, _, size, item_slot, item_words, _ = self.items[i]
+    def consistent(self, i: int, form: int, offset: int, js: set[int], words: list[bytes]) -> bool:
+        _, _, size, kept, item_words = self.items[i]
+        item_slot = kept[form][0]
         to, back = {}, {}
         for k in sorted({j + d for j in js for d in range(size)}):
             if item_slot[k]:

@@ -191,6 +191,14 @@ def test_leaks(spark):
     assert bench.find(decontam.Reader(), wrong.encode()) is None  # one value of a slot would stand for two
 
 
+def test_leaks_by_sentence_openers():
+    item = "Alice buys 12 pens at 3 dollars each. Alice then sells 5 pens to Bob. How many pens are left with Alice now?"
+    other = item.replace("Alice", "Mary").replace("Bob", "Tom").replace("12", "40").replace("3", "7").replace("5", "9")
+    bench, reader = decontam.Benchmark([(7, item.encode())]), decontam.Reader()
+    assert bench.find(reader, f"Some words before. {other} And some behind.".encode()) == (0, 1.0, "re-parameterised")
+    assert bench.find(reader, other.replace("Mary then", "Eve then").encode()) is None  # Alice would stand for two
+
+
 def test_packing(docs, rows, empty):
     e = encoder("byte_bpe_50k.json")
     got = packing.pack(docs, capacity=256).toPandas()
