@@ -4,15 +4,18 @@ Tokens are words without punctuation at their ends. Their template form
 replaces numbers, units after numbers, and names (capitalised words) by typed
 placeholders. A capitalised word that opens a sentence may be a name or not, so
 there are two template forms: one leaves all openers as words, the other takes
-them for names. Windows of WINDOW tokens of the benchmark are hashed three
-times, as words and in either form; documents look their windows up.
+them for names. Within a sentence a run of names is one placeholder, and
+so is a run of numbers and units: a value may have another number of tokens.
+Windows of WINDOW tokens of the benchmark are hashed three times, as words and
+in either form; documents look their windows up.
 A document holds an item
 
 * verbatim if SHARE of the item's word windows stand in it, or
 * re-parameterised if SHARE of the item's template windows of one form do along
-  one alignment and the slots agree: each value of the item's slots stands for one
+  one alignment, whose offset may change by SHIFT at a time, and the slots agree: each value of the item's slots stands for one
   value of the document's, and the other way round.
 
+Values of equally many words agree word by word, others as a whole.
 Items of fewer than WINDOW tokens are one window of their own length; items of
 fewer than SHORTEST tokens match nothing. Template windows with fewer than
 SOLID tokens that are no slots are not looked up.
@@ -36,7 +39,7 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, mix64, utf8
 
-WINDOW, SHORTEST, SOLID, SHARE = 8, 5, 4, 0.6
+WINDOW, SHORTEST, SOLID, SHARE, SHIFT = 8, 5, 4, 0.6, 8
 BLOCK_BYTES = 32 << 20
 REMEMBERED = 300_000
 EDGES = re.compile(r"^[^\w<>]+|[^\w<>%°]+$")
@@ -64,14 +67,64 @@ def describe(raw: bytes) -> tuple[int, int, int]:
     if NUMBER.match(word):
         return plain, token_hash("<number>"), SLOT | flags
     if MEASURE.match(word):
-        return plain, token_hash("<number><unit>"), SLOT | flags
+        return plain, token_hash("<number>"), SLOT | flags
     if word.lower() in UNITS:
-        return plain, token_hash("<unit>"), UNIT | flags
+        return plain, token_hash("<number>"), UNIT | flags
     if word[0].isupper() and word[1:].islower() and len(word) > 1:
         return plain, token_hash("<name>"), NAME | flags
     return plain, plain, WORD | flags
 
 
+def clean(raw: bytes) -> str:
+    return EDGES.sub("", raw.decode("utf-8", "replace")).lower()
+
+
+def values(words: list[str]) -> tuple[list[str], list[str]]:
+    """The numbers or names of a slot, and its units."""
+    if not (NUMBER.match(words[0]) or MEASURE.match(words[0])):
+        return words, []
+    numbers, units = [], []
+    for word in words:
+        if m := MEASURE.match(word):
+            numbers.append(m[1])
+            units.append(m[2])
+        elif NUMBER.match(word):
+            numbers.append(word.rstrip("%"))
+            units += ["%"] * word.endswith("%")
+        else:
+            units.append(word)
+    return numbers, units
+
+
+def chains(by_offset: dict[int, set[int]]) -> list[tuple[int, list[tuple[int, range]]]]:
+    """Alignments of growing places in item and document: for each end of one the most windows it may have, and its pieces (offset, windows)."""
+    pieces = []
+    for offset, js in by_offset.items():
+        js = np.array(sorted(js))
+        cuts = np.flatnonzero(np.diff(js) > 1) + 1
+        pieces += [(int(x[-1]) + offset, offset, int(x[0]), int(x[-1])) for x in np.split(js, cuts)]
+    pieces.sort()
+    best: list[tuple[int, int, int]] = []  # windows, the piece before or -1, first window used
+    for k, (_, offset, first, last) in enumerate(pieces):
+        top = last - first + 1, -1, first
+        for b in range(k - 1, -1, -1):
+            end, other, _, before = pieces[b]
+            if end < offset - SHIFT:
+                break  # so are all earlier ones
+            begin = max(first, before + 1, end - offset + 1)
+            if abs(other - offset) <= SHIFT and begin <= last and best[b][0] + last - begin + 1 > top[0]:
+                top = best[b][0] + last - begin + 1, b, begin
+        best.append(top)
+    out = []
+    for k, (count, _, _) in enumerate(best):
+        path = []
+        while k >= 0:
+            path.append((pieces[k][1], range(best[k][2], pieces[k][3] + 1)))
+            k = best[k][1]
+        out.append((count, path))
+    return out
+
+
 class Reader:
     """Tokens of a text as arrays; each distinct word is described once."""
 
@@ -79,8 +132,8 @@ class Reader:
         self.known: dict[bytes, int] = {}
         self.plain, self.template, self.flags = np.zeros(1024, np.uint64), np.zeros(1024, np.uint64), np.zeros(1024, np.uint8)
 
-    def read(self, text: bytes) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]], list[bytes]]:
-        """Word hashes; for either form the template hashes and whether a token is a slot; the words."""
+    def read(self, text: bytes) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray, np.ndarray]], list[bytes]]:
+        """Word hashes; for either form the template hashes, whether a token is a slot and at which word it begins; the words."""
         raw = text.split()
         at = list(map(self.known.get, raw))
         if None in at:
@@ -98,10 +151,18 @@ class Reader:
         plain, template, flags = self.plain[at], self.template[at], self.flags[at]
         begins = np.r_[True, (flags[:-1] & ENDS) > 0] if len(at) else np.zeros(0, bool)
         full = (flags & EMPTY) == 0
-        numbers = np.r_[False, (flags[:-1] & SLOT) > 0] if len(at) else np.zeros(0, bool)
-        numeric, name = (flags & SLOT > 0) | (flags & UNIT > 0) & numbers, flags & NAME > 0
-        slots = numeric | name & ~begins, numeric | name
-        return plain[full], [(np.where(s, template, plain)[full], s[full]) for s in slots], [w for w, f in zip(raw, full.tolist()) if f] if not full.all() else raw
+        words = [w for w, f in zip(raw, full.tolist()) if f] if not full.all() else raw
+        plain, template, flags, begins = plain[full], template[full], flags[full], begins[full]
+        after = lambda x: np.r_[False, x[:-1]] & ~begins if len(x) else x
+        number = flags & SLOT > 0
+        numeric = number | (flags & UNIT > 0) & (np.r_[False, number[:-1]] if len(number) else number)
+        name = flags & NAME > 0
+        forms = []
+        for names in (name & ~begins, name):
+            slot = numeric | names
+            starts = np.flatnonzero(~(numeric & after(numeric) | names & after(names)))
+            forms.append((np.where(slot, template, plain)[starts], slot[starts], starts))
+        return plain, forms, words
 
 
 def windows(hashes: np.ndarray, size: int) -> np.ndarray:
@@ -122,28 +183,29 @@ class Benchmark:
         reader = Reader()
         self.items = []
         found: tuple[dict, dict, dict] = (defaultdict(list), defaultdict(list), defaultdict(list))
-        self.sizes: set[int] = set()
+        self.sizes: tuple[set[int], set[int], set[int]] = (set(), set(), set())
         for item, text in items:
             plain, forms, words = reader.read(text)
             if len(plain) < SHORTEST:
                 continue
             size = min(WINDOW, len(plain))
-            self.sizes.add(size)
-            n = len(plain) - size + 1
-            kept = []
-            for template, slot in forms:
+            self.sizes[0].add(size)
+            for j, h in enumerate(windows(plain, size).tolist()):
+                found[0][h, size].append((len(self.items), j))
+            n, kept = len(plain) - size + 1, []
+            for kind, (template, slot, starts) in enumerate(forms, 1):
+                size = min(WINDOW, len(template))
                 solid = np.convolve(~slot, np.ones(size, int), "valid") >= SOLID
-                kept.append((slot, int(solid.sum())))
+                kept.append((size, slot, np.r_[starts, len(plain)], int(solid.sum())))
+                self.sizes[kind].add(size)
                 for j, h in enumerate(windows(template, size).tolist()):
                     if solid[j]:
-                        found[len(kept)][h, size].append((len(self.items), j))
-            for j, h in enumerate(windows(plain, size).tolist()):
-                found[0][h, size].append((len(self.items), j))
-            self.items.append((item, n, size, kept, [EDGES.sub("", w.decode("utf-8", "replace")).lower() for w in words]))
+                        found[kind][h, size].append((len(self.items), j))
+            self.items.append((item, n, kept, [clean(w) for w in words]))
         self.places = tuple(dict(x) for x in found)
         self.filters = {}
         for kind in (0, 1, 2):
-            for size in self.sizes:
+            for size in self.sizes[kind]:
                 hit = np.zeros(1 << 20, bool)
                 hit[np.array([h for h, s in found[kind] if s == size], np.uint64) >> np.uint64(44)] = True
                 self.filters[kind, size] = hit
@@ -152,8 +214,8 @@ class Benchmark:
         """The best covered item: its place, the share of its windows, and how it was found."""
         plain, forms, words = reader.read(text)
         hits: list[tuple[int, int, int, int]] = []
-        for size in self.sizes:
-            for kind, tokens in enumerate((plain, forms[0][0], forms[1][0])):
+        for kind, tokens in enumerate((plain, forms[0][0], forms[1][0])):
+            for size in self.sizes[kind]:
                 hashes = windows(tokens, size)
                 at = np.flatnonzero(self.filters[kind, size][hashes >> np.uint64(44)])
                 for p, h in zip(at.tolist(), hashes[at].tolist()):
@@ -174,22 +236,37 @@ class Benchmark:
         if best:
             return best
         for (i, form), by_offset in aligned.items():
-            solid = self.items[i][3][form][1]
-            for offset, js in by_offset.items():
-                share = len(js) / max(1, solid)
-                if share >= SHARE and (best is None or (share, -i) > (best[1], -best[0])) and self.consistent(i, form, offset, js, words):
+            least = SHARE * max(1, self.items[i][2][form][3])
+            if len(set().union(*by_offset.values())) < least:
+                continue
+            paths = [(len(js), [(offset, js)]) for offset, js in by_offset.items()] + (chains(by_offset) if len(by_offset) > 1 else [])
+            for count, path in sorted((x for x in paths if x[0] >= least), key=lambda x: -x[0]):
+                share = count / max(1, self.items[i][2][form][3])
+                if best is not None and (share, -i) <= (best[1], -best[0]):
+                    break
+                if self.consistent(i, form, path, forms[form][2], words):
                     best = i, share, "re-parameterised"
+                    break
         return best
 
-    def consistent(self, i: int, form: int, offset: int, js: set[int], words: list[bytes]) -> bool:
-        _, _, size, kept, item_words = self.items[i]
-        item_slot = kept[form][0]
-        to, back = {}, {}
-        for k in sorted({j + d for j in js for d in range(size)}):
-            if item_slot[k]:
-                mine, theirs = item_words[k], EDGES.sub("", words[k + offset].decode("utf-8", "replace")).lower()
-                if to.setdefault(mine, theirs) != theirs or back.setdefault(theirs, mine) != mine:
-                    return False
+    def consistent(self, i: int, form: int, path: list, starts: np.ndarray, words: list[bytes]) -> bool:
+        """Whether the slots agree along the path's pieces (offset, windows); a slot where two pieces meet stands for all from one to the other."""
+        _, _, kept, item_words = self.items[i]
+        size, slot, item_starts, _ = kept[form]
+        to, back, place = {}, {}, {}
+        ends = np.r_[starts, len(words)]
+        for offset, js in path:
+            for k in {j + d for j in js for d in range(size)}:
+                if slot[k]:
+                    low, high = place.get(k, (k + offset, k + offset))
+                    place[k] = min(low, k + offset), max(high, k + offset)
+        for k, (low, high) in sorted(place.items()):
+            mine, mine_units = values(item_words[item_starts[k] : item_starts[k + 1]])
+            theirs, their_units = values([clean(w) for w in words[ends[low] : ends[high + 1]]])
+            pairs = list(zip(mine, theirs)) if len(mine) == len(theirs) else [(" ".join(mine), " ".join(theirs))]
+            pairs += zip(mine_units, their_units) if len(mine_units) == len(their_units) else ()
+            if any(to.setdefault(a, b) != b or back.setdefault(b, a) != a for a, b in pairs):
+                return False
         return True
 
 

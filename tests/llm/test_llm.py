@@ -199,6 +199,23 @@ def test_leaks_by_sentence_openers():
     assert bench.find(reader, other.replace("Mary then", "Eve then").encode()) is None  # Alice would stand for two
 
 
+def test_leaks_by_values_of_other_lengths():
+    item = "we know that in the year 1990 a man called Anna walked 5 km from the old city of Paris to the next town and then he came back with some bread for his wife and their young children at home"
+    reader, bench = decontam.Reader(), decontam.Benchmark([(7, item.encode())])
+    one = item.replace("Paris", "New York").replace("1990", "1812")
+    more = one.replace("Anna", "Anna Maria").replace("5 km", "6km")
+    for text in (one, more, more.replace("6km", "6")):
+        assert bench.find(reader, f"a b {text} c d".encode()) == (0, 1.0, "re-parameterised"), text
+    longer = one.replace("New York", "Bad van der Berg").replace("1812", "1 812")  # no run of names: two offsets
+    assert bench.find(reader, longer.encode())[2] == "re-parameterised"
+    twice = "the town of Ulm lies by a river and people in Ulm like to swim there"
+    bench = decontam.Benchmark([(7, twice.encode())])
+    assert bench.find(reader, twice.replace("Ulm", "New York").encode())[2] == "re-parameterised"
+    assert bench.find(reader, twice.replace("Ulm", "New York", 1).replace("Ulm", "Rome").encode()) is None
+    split = twice.replace("Ulm", "12 000")
+    assert decontam.Benchmark([(7, split.encode())]).find(reader, split.replace("12 000", "7500").encode())[2] == "re-parameterised"
+
+
 def test_packing(docs, rows, empty):
     e = encoder("byte_bpe_50k.json")
     got = packing.pack(docs, capacity=256).toPandas()
