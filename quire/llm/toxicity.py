@@ -191,12 +191,12 @@ def train(docs: DataFrame, labels: DataFrame, fold: int = 5, rows: int = TRAIN_R
     values = np.array([-GAP, *by_value, max(model.odds.values(), default=1.0)])
     weights = np.array([o, *by_value.values(), 0.5]) / (o + 0.5 + sum(by_value.values()))  # half a count: what the sample had none of may still come
     model.lam = solve_lambda(values, weights)
-    seen = scratch.keep("seen", sample.mapInArrow(best_segments(model), "toxic int, n long, best double, segments int"))
+    seen = scratch.keep("seen", sample.mapInArrow(best_segments(model), "toxic int, n long, best double"))
     background = seen.where("toxic = 0").selectExpr("avg(n) as n", f"avg(case when best > 0 then 1 else 0 end) as hit", f"avg(n * exp(-{model.lam} * best)) as tail").first()
     # the likelihood of the extreme-value distribution has its maximum where K is 1 over the mean of n exp(-lambda S)
     model.k = min(10.0, 1.0 / max(background["tail"] or 1.0, 1e-9))
-    rows_seen = seen.select("toxic", "n", "best", "segments").toPandas()  # 2 * rows at most
-    x = np.array([min(30.0, -math.log10(max(model.p_value(b, n), 1e-30)) + math.log1p(max(0, s - 1))) if b > 0 else 0.0 for n, b, s in zip(rows_seen["n"], rows_seen["best"], rows_seen["segments"])])
+    rows_seen = sample.mapInArrow(weigh_texts(model), "toxic int, evidence double").toPandas()  # 2 * rows at most; the evidence that scoring sees
+    x = rows_seen["evidence"].to_numpy(float)
     share = whole_share(usable)
     model.curve = fit_curve(x, rows_seen["toxic"].to_numpy(float)) if len(x) else (-1.0, 0.0)
     drawn = rows_seen["toxic"].mean() if len(x) else share
@@ -212,14 +212,21 @@ def whole_share(labels: DataFrame) -> float:
 def best_segments(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, best, good = [], [], []
+            n, best = [], []
             for text in utf8(batch, "text"):
                 tokens = text.split()
                 found = maximal_segments(model.scores(tokens)) if tokens else []
                 n.append(len(tokens))
                 best.append(max((s for s, _, _ in found), default=0.0))
-                good.append(len(found))
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int32()), pa.array(n, pa.int64()), pa.array(best, pa.float64()), pa.array(good, pa.int32())], names=["toxic", "n", "best", "segments"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int32()), pa.array(n, pa.int64()), pa.array(best, pa.float64())], names=["toxic", "n", "best"])
+
+    return run
+
+
+def weigh_texts(model: Model):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int32()), pa.array([model.evidence(x)[0] for x in utf8(batch, "text")], pa.float64())], names=["toxic", "evidence"])
 
     return run
 

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -170,6 +171,16 @@ def test_toxicity(spark):
     assert max(r["toxic_score"] for r in toxicity.score_documents(docs, none).collect()) < 0.5
 
 
+def test_curve_is_fitted_on_the_evidence_that_is_scored():
+    model = toxicity.Model({"vile": 2.0}, set(), lam=1.0, k=1.0)
+    apart = " ".join(["vile " + "x " * 60] * 20)
+    assert len(toxicity.maximal_segments(model.scores(apart.encode().split()))) == 20 and model.evidence(apart.encode())[1] == []
+    texts = [apart, "vile " * 9 + apart, "x", "", None]
+    batch = pa.RecordBatch.from_pydict({"toxic": [0, 1, 0, 0, 0], "text": texts})
+    (out,) = toxicity.weigh_texts(model)(iter([batch]))
+    assert out.column(1).to_pylist() == [model.evidence((x or "").encode())[0] for x in texts] and out.column(1)[0].as_py() < 0.1
+
+
 def test_line_spread(spark):
     line = "the same boilerplate line"
     rows = [(i, f"own text of {i}\n {line}\nshort\n", f"site{i % 12}") for i in range(30)] + [(99, None, "site0"), (100, "", None), (101, line, None)]
