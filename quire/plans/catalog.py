@@ -165,7 +165,7 @@ QUERIES = {
     "split_caps": _docs(lambda d: structure.merge_split_caps(d.select("doc_id", F.concat(F.lit("THE\nCHALLENGE\nOF THE\nFUTURE\n"), F.col("text")).alias("text"))).where("was_split").select("doc_id", "line_no", "line")),
     "promote_headings": _docs(lambda d: structure.promote_headings(structure.lines_of(d.select("doc_id", F.concat(F.lit("CHAPTER 1\n"), F.col("text"), F.lit("\n\nA LONG HEADING IN CAPITALS\n")).alias("text")), "doc_id")).where("level > 0")),
     "ligatures": _docs(lambda d: d.select("doc_id", F.md5(T.ligatures(F.regexp_replace("text", "fi", "ﬁ"))).alias("text_md5"))),
-    "missing_spaces": _docs(lambda d: d.select("doc_id", T.missing_spaces(F.concat(F.lit("offthe office stuffin selfmade selfish "), F.substring("text", 1, 20))).alias("text"))),
+    "missing_spaces": _docs(lambda d: d.select("doc_id", T.missing_spaces(F.concat(F.lit("offthe office stuffin selfmade selfish "), F.col("text"))).alias("text"))),
     "clean_title": page_titles,
     "image_refs": lambda s, d: structure.image_refs(with_refs(s, d)),
     "dangling_refs": lambda s, d: structure.dangling_refs(structure.image_refs(with_refs(s, d)), asset_files(s, d)).select("doc_id", "ref_no", "target", "line"),

@@ -49,6 +49,15 @@ def test_text_rules(spark):
     assert one(spark, T.bullets, "● a ● b") == "- a\n- b"
 
 
+def test_missing_spaces_takes_whole_texts(spark, tmp_path):
+    from quire.plans import catalog
+
+    text = "plain words that go on beyond the twentieth character offthe selfmade end"
+    spark.createDataFrame([(1, text)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = catalog.QUERIES["missing_spaces"](spark, str(tmp_path)).first()["text"]
+    assert got == "off the office stuff in self-made selfish plain words that go on beyond the twentieth character off the self-made end"
+
+
 def test_split_pages_and_caps(spark):
     d = spark.createDataFrame([("b", "lost\n{10}----\nx\ny\n{12}----\nz")], "book_id string, text string")
     assert [(r["page_pdf"], r["text"]) for r in structure.split_pages(d).orderBy("page_pdf").collect()] == [(10, "x\ny"), (12, "z")]
