@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from .common import Scratch, utf8
 from .toxicity import held_out
 
-COMPONENTS, EM_ROUNDS, HOT, LONGEST_PIECE, FLUSH = 8, 2, 500_000, 12, 400_000
+COMPONENTS, EM_ROUNDS, HOT, STEM, FLUSH = 8, 2, 500_000, 12, 400_000
 MATRIX_CELLS, SLOTS = 1 << 16, 18
 MULTIPLIER = np.uint64(0x100000001B3)
 
@@ -71,7 +71,7 @@ class Pieces:
                 raw, to = piece[1:].encode(), begin
             else:
                 raw, to = piece.encode(), go_on
-            if 0 < len(raw) <= LONGEST_PIECE and b"\xe2\x96\x81" not in raw and raw == raw.lower():
+            if raw and b"\xe2\x96\x81" not in raw and raw == raw.lower():
                 to[raw] = len(ranks)
                 ranks.append(max(0.0, -sp.get_score(i)))
         for b in range(256):  # every byte can be spelled
@@ -85,6 +85,9 @@ class Pieces:
         first = 1.0 / (1000.0 + np.array(ranks))
         self.first = np.log(first / first.sum())
         self.begin, self.go_on = self.index(begin), self.index(go_on)
+        # beyond STEM bytes only words that hold the beginning of a longer piece are looked up
+        self.longest = max(map(len, [*begin, *go_on]))
+        self.stems = self.index({p[:STEM]: 0 for p in [*begin, *go_on] if len(p) > STEM})
 
     @staticmethod
     def index(pieces: dict[bytes, int]) -> list[tuple[np.uint64, np.ndarray, np.ndarray]]:
@@ -126,14 +129,19 @@ def arcs(vocabulary: Pieces, words: np.ndarray) -> Iterator[tuple[int, int, np.n
     """Arcs of words of one length (a matrix of bytes): from, to, piece or -1 for each word, whether it begins the word."""
     n, length = words.shape
     for i in range(length):
-        h = np.zeros(n, np.uint64)
-        for j in range(i, min(length, i + LONGEST_PIECE)):
-            h = h * MULTIPLIER + words[:, j] + np.uint64(1)
-            if i == 0:
-                if (got := look_up(vocabulary.begin, h)).max() >= 0:
-                    yield 0, j + 1, got, True
-            if (got := look_up(vocabulary.go_on, h)).max() >= 0:
-                yield i, j + 1, got, False
+        h, rows = np.zeros(n, np.uint64), slice(None)
+        for j in range(i, min(length, i + vocabulary.longest)):
+            if j == i + STEM:
+                rows = np.flatnonzero(look_up(vocabulary.stems, h) >= 0)
+                if not len(rows):
+                    break
+                h = h[rows]
+            h = h * MULTIPLIER + words[rows, j] + np.uint64(1)
+            for index, begins in ((vocabulary.begin, True), (vocabulary.go_on, False)):
+                if (i == 0 or not begins) and (got := look_up(index, h)).max() >= 0:
+                    all_rows = np.full(n, -1, np.int32)
+                    all_rows[rows] = got
+                    yield i, j + 1, all_rows, begins
 
 
 def forward(vocabulary: Pieces, weights: np.ndarray, words: np.ndarray, kept: list | None = None) -> np.ndarray:

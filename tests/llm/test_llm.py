@@ -274,3 +274,22 @@ def test_lattice(spark, docs, rows, empty):
         return total
 
     assert math.isclose(lattice.forward(p, p.first[None], word)[0, 0], math.log(spell(0, True)), rel_tol=1e-9) and not ways
+
+
+@pytest.mark.parametrize("text", ["international", "understanding", "населения", "internationalx", "reconfiguration"])
+def test_lattice_holds_the_longest_pieces(text):
+    import public_tokenizers
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    p, raw = lattice.pieces("piece_bpe_32k.model"), text.encode()
+    known = {sp.id_to_piece(i) for i in range(sp.get_piece_size()) if not sp.is_byte(i)}
+    want = set()
+    for i in range(len(raw)):
+        for j in range(i + 1, len(raw) + 1):
+            part = raw[i:j].decode("utf-8", "replace")
+            want |= {(i, j, False)} if part in known and part.encode() == raw[i:j] or j == i + 1 else set()
+            want |= {(i, j, True)} if i == 0 and f"▁{part}" in known else set()
+    words = np.frombuffer(raw + b"z" * len(raw), np.uint8).reshape(2, -1).astype(np.uint64)
+    got = [(i, j, begins) for i, j, ids, begins in lattice.arcs(p, words) if ids[0] >= 0]
+    assert len(got) == len(set(got)) and set(got) == want and max(j - i for i, j, _ in got) > 12
