@@ -72,6 +72,17 @@ def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many lines before it as no column of df needs."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+        taken.add(name.lower())
+    return out
+
+
 def utf8(batch: pa.RecordBatch, name: str) -> list[bytes]:
     """A text column as UTF-8 bytes, null as empty."""
     column = batch.column(batch.schema.get_field_index(name))
