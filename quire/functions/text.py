@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed values.
@@ -19,9 +21,26 @@ CAPTION = r"(?m)^\s*\**\s*(TABLE|Table|TAB\.|Tab\.|EXHIBIT|Exhibit)\s+[A-Z]?-?\d
 SEPARATOR = r"(?m)^\s*\|(\s*:?-+:?\s*\|)+\s*$"
 STRUCTURAL = r"^$|^<!-- Page|^#|^>|^- |^\* |^\||^\d+[.)]\s|^```|^---|^\*\*\*|^[A-Z][A-Z\s]{5,}$"
 STRAY = r"\b[b-df-hj-np-tv-z]([A-Z][a-z]{2,})\b"
+CAPS_WORDS = (
+    "a an the and or but of in on at by for to from with without into onto over under up down out off as is are was were be been being am i you we us our "
+    "your their his her its this that these those if then than so not no yes all any some each every other another such which who what when where why how "
+    "also annotated revised updated expanded enlarged edition introduction foreword preface acknowledgments contents chapter part section appendix index "
+    "bibliography copyright published volume series reissue first second third fourth fifth complete abridged unabridged illustrated author authors editor "
+    "editors translated translator publisher human side enterprise management leadership organization organizations organizational behavior science "
+    "business history culture economy economics theory practice principles method methods system systems model models analysis study research guide "
+    "handbook overview fundamentals essentials foundations thinking decision making strategy strategic tactical innovation design development growth change "
+    "transition work workplace team teams group groups people person leader leaders manager managers founder founders company companies corporation project "
+    "process product quality productivity performance operations crisis modern contemporary global local drive motivate motivation inspire inspiration "
+    "purpose new old mcgregor deming pink daniel douglas edwards"
+).split()
 MIN_CHARS, LOW_QUALITY, WARNING_DENSITY, LOW_TEXT = 500, 0.5, 2.0, 0.1
 
 
+def computed(df: DataFrame, **columns: Column) -> DataFrame:
+    """df with columns that are computed once for each row: unlike withColumn, later conditions on them do not put their expressions in place of their names."""
+    return df.select("*", F.inline(F.array(F.struct(*(c.alias(n) for n, c in columns.items())))))
+
+
 def count(text: Column, pattern: str) -> Column:
     return F.regexp_count(text, F.lit(pattern))
 
@@ -67,12 +86,76 @@ def table_signals(text: Column) -> tuple[Column, Column]:
     return count(text, SEPARATOR) + count(text, r"(?i)<table"), count(text, CAPTION)
 
 
+def rebuild(text: Column, pattern: str, replacement: Callable[[Column], Column]) -> Column:
+    """Text with each match replaced by a Column of the match: unlike regexp_replace, each match has a decision of its own."""
+    between, matches = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), 0)
+    return F.array_join(F.zip_with(between, matches, lambda a, m: F.concat(a, F.coalesce(replacement(m), F.lit("")))), "")
+
+
+def per_line(text: Column, f: Callable[[Column], Column]) -> Column:
+    return F.array_join(F.transform(F.split(text, "\n"), f), "\n")
+
+
 def ligatures(text: Column) -> Column:
     for a, b in (("ﬃ", "ffi"), ("ﬄ", "ffl"), ("ﬁ", "fi"), ("ﬀ", "ff"), ("ﬂ", "fl")):
         text = F.replace(text, F.lit(a), F.lit(b))
     text = F.regexp_replace(text, r"(?U)(\w*(?:fi|ff|fl))\s+([a-z]{1,8})\b", "$1$2")
-    text = F.regexp_replace(F.regexp_replace(text, r"\bTh e\b", "The"), r"\bth e\b", "the")
-    return F.regexp_replace(text, "­\\n|­ ", "")
+    text = F.regexp_replace(F.regexp_replace(text, r"(?U)\bTh\s+e\b", "The"), r"(?U)\bth\s+e\b", "the")
+    return F.regexp_replace(text, "(?U)\u00ad\\s+", "")
+
+
+def spaced_letters(text: Column) -> Column:
+    """Runs of at least four single letters with white space between lose their plain spaces."""
+    return rebuild(text, r"(?U)\b[A-Za-z](?:\s{1,3}[A-Za-z]){3,}\b", lambda m: F.replace(m, F.lit(" "), F.lit("")))
+
+
+def segmented(word: Column) -> Column:
+    """A word cut into the fewest words of CAPS_WORDS, null where there is no such cut; of equals the one whose last word is longest.
+
+    The state holds the best cut of every beginning of the word.
+    """
+    known = F.array(*map(F.lit, CAPS_WORDS))
+    none = "struct<n:int,at:int,words:string>"
+
+    def step(best: Column, i: Column) -> Column:
+        def ending(j: Column) -> Column:
+            part, before = F.substring(word, j + 1, i - j), F.get(best, j)
+            fits = before.n.isNotNull() & F.array_contains(known, F.lower(part))
+            return F.when(fits, F.struct((before.n + 1).alias("n"), j.alias("at"), F.when(j == 0, part).otherwise(F.concat(before.words, F.lit(" "), part)).alias("words")))
+
+        ways = F.array_compact(F.transform(F.sequence(F.greatest(F.lit(0), i - 15), i - 1), ending))
+        return F.concat(best, F.array(F.array_min(ways).cast(none)))
+
+    zero = F.array(F.struct(F.lit(0).alias("n"), F.lit(0).alias("at"), F.lit("").alias("words")).cast(none))
+    best = F.element_at(F.aggregate(F.sequence(F.lit(1), F.length(word)), zero, step), -1)
+    singles = F.size(F.filter(F.split(best.words, " "), lambda x: F.length(x) == 1))
+    return F.when((best.n >= 2) & (singles <= 1), best.words)
+
+
+def joined_caps(text: Column) -> Column:
+    """Long runs of capitals on short lines of mostly capitals are cut into known words."""
+
+    def line(x: Column) -> Column:
+        s = strip(x)
+        letters, upper = F.length(F.regexp_replace(s, r"\P{L}", "")), F.length(F.regexp_replace(s, r"\P{Lu}", ""))
+        heading = (F.length(s) <= 80) & (letters > 0) & (upper >= 0.8 * letters) & s.rlike(r"\b[A-Z]{6,}\b")
+        return F.when(heading, rebuild(x, r"(?U)\b[A-Z]{6,}\b", lambda w: F.coalesce(segmented(w), w))).otherwise(x)
+
+    return per_line(text, line)
+
+
+def contents_lines(text: Column) -> Column:
+    """A long line of three or more titles with page numbers becomes one item a title."""
+    title, number = r"[A-Z][A-Za-z\s':,\-]+?", r"[ivxlc]+|\d{1,3}"
+
+    def line(x: Column) -> Column:
+        s = strip(x)
+        entry = rf"({title})\s+({number})(?=\s+[A-Z]|\s*\z)"
+        items = F.zip_with(F.regexp_extract_all(s, F.lit(entry), 1), F.regexp_extract_all(s, F.lit(entry), 2), lambda t, n: F.concat(F.lit("- "), strip(t), F.lit(" ... "), n))
+        many = (F.length(s) > 60) & (count(s, rf"{title}\s+(?:{number})") >= 3) & (F.size(items) >= 3)
+        return F.when(many, F.array_join(items, "\n")).otherwise(x)
+
+    return per_line(text, line)
 
 
 def missing_spaces(text: Column) -> Column:
@@ -81,21 +164,32 @@ def missing_spaces(text: Column) -> Column:
     return text
 
 
-def clean_title(stem: Column, rounds: int = 6) -> Column:
-    """A title without edition and version marks; each round strips one layer."""
+def title_marks() -> str:
+    """What a title's end may bear, as one repeated pattern: the longest run of marks goes at once."""
     chain = rf"(?:{QUALIFIERS})(?:\s*(?:,|and|&)\s*(?:(?:{ADVERBS})\s+)?(?:{QUALIFIERS}))*"
-    for _ in range(rounds):
-        for pattern in (r"\s*[Vv]\d+(\.\d+)?\s*$", r"\s*\d+(st|nd|rd|th)\s+[Ee]dition\s*$", r"(?i)\s*\d+(?:st|nd|rd|th)\s+Anniversary\s+[Ee]dition\s*$", rf"(?i)\s*(?:(?:{ADVERBS})\s+)?{chain}(?:\s+[Ee]dition)?\s*$", r"\s*\([^)]*[Ee]dition[^)]*\)\s*$", r"[,;:\-\s]+$"):
-            stem = F.regexp_replace(stem, pattern, "")
-    return strip(stem)
+    marks = (
+        r"\s*[Vv]\d+(?:\.\d+)?\s*",
+        r"\s*\d+(?:st|nd|rd|th)\s+[Ee]dition\s*",
+        r"(?i:\s*\d+(?:st|nd|rd|th)\s+Anniversary\s+[Ee]dition\s*)",
+        rf"(?i:\s*(?:(?:{ADVERBS})\s+)?{chain}(?:\s+[Ee]dition)?\s*)",
+        r"\s*\([^)]*[Ee]dition[^)]*\)\s*",
+        r"[,;:\-\s]+",
+    )
+    return f"(?:{'|'.join(marks)})+$"
+
+
+def clean_title(stem: Column) -> Column:
+    """A title without edition and version marks at its end, however many there are."""
+    return strip(F.regexp_replace(stem, title_marks(), ""))
 
 
 def bullets(text: Column) -> Column:
-    """Lines with two or more bullets become one item a line."""
+    """Lines with two or more bullets and two or more items become one item a line; a bullet at a line's start becomes a dash."""
     marks = "[●•◆▪▸►‣⬥]"
-    items = lambda line: F.array_join(F.transform(F.filter(F.transform(F.split(line, marks), strip), lambda x: x != ""), lambda x: F.concat(F.lit("- "), x)), "\n")
-    text = F.array_join(F.transform(F.split(text, "\n"), lambda line: F.when(F.regexp_count(line, F.lit(marks)) >= 2, items(line)).otherwise(line)), "\n")
-    return F.regexp_replace(text, rf"(?m)^([^\S\n]*){marks}\s*", "$1- ")
+    items = lambda line: F.filter(F.transform(F.split(line, marks), strip), lambda x: x != "")
+    dashed = lambda line: F.array_join(F.transform(items(line), lambda x: F.concat(F.lit("- "), x)), "\n")
+    text = per_line(text, lambda line: F.when((F.regexp_count(line, F.lit(marks)) >= 2) & (F.size(items(line)) >= 2), dashed(line)).otherwise(line))
+    return F.regexp_replace(text, rf"(?md)^(\s*){marks}\s*", "$1- ")
 
 
 def stray_consonants(text: Column) -> tuple[Column, Column]:
@@ -153,22 +247,50 @@ def heading_count(text: Column) -> Column:
     return F.aggregate(F.split(text, "\r\n|[\n\r]"), F.struct(F.lit("").alias("fence"), F.lit(0).alias("n")), step, lambda a: a.n)
 
 
+#: A line feed before a line that stands by itself: blank, a mark, a heading, a quotation, an item, a row, a fence, or capitals.
+BLOCK = (
+    r"\n(?=[^\S\n]*(?:\n|\z|<!-- Page|#|>|[-*] [^\S\n]*[^\s]|\||\d+[.)][^\S\n]+\S|```|---|\*\*\*"
+    r"|[A-Z](?:[A-Z]|[^\S\n]){4,}[A-Z][^\S\n]*(?:\n|\z)))"
+)
+FRONT = r"(?s)\A[^\S\n]*---[^\S\n]*(?:\n.*?)??\n[^\S\n]*---[^\S\n]*(?:\n|\z)"
+
+
 def fold_paragraphs(text: Column) -> Column:
-    """Wrapped lines joined to paragraphs: a line stays apart if it is structural, or if what is joined so far ends a sentence, is longer than 40 characters and a capital follows."""
-    item = lambda x: x.rlike(r"^(- |\* |\d+[.)]\s)")
+    """Wrapped lines joined to paragraphs; front matter between --- lines stays as it is.
+
+    The text is first cut before lines that stand by themselves, so that only
+    the lines of one block are joined one after another. In a block a line
+    stays apart if what is joined so far ends a sentence, is longer than 40
+    characters and a capital follows. Null stays null.
+    """
 
     def step(a, line):
-        s = strip(line)
-        rstripped = F.regexp_replace(a.cur, r"(?U)\s+\z", "")
-        breaks = is_structural(s) | (rstripped.rlike("[.!?\"”]$") & s.rlike(r"(?U)^\p{Lu}") & (F.length(a.cur) > 40))
-        joined = F.when(rstripped.endswith("-") & s.rlike(r"(?U)^\p{Ll}"), F.concat(F.regexp_replace(rstripped, "-$", ""), s)).otherwise(F.concat(rstripped, F.lit(" "), s))
-        absorbs = a.open & ~breaks
-        return F.struct(
-            F.when(absorbs, a.done).otherwise(F.when(a.started, F.array_append(a.done, a.cur)).otherwise(a.done)).alias("done"),
-            F.when(absorbs, joined).otherwise(line).alias("cur"),
-            F.when(absorbs, F.lit(True)).otherwise(~is_structural(s) | item(s)).alias("open"),
-            F.lit(True).alias("started"),
-        )
-
-    zero = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("cur"), F.lit(False).alias("open"), F.lit(False).alias("started"))
-    return F.aggregate(F.split(text, "\n"), zero, step, lambda a: F.array_join(F.array_append(a.done, a.cur), "\n"))
+        s, so_far = strip(line), F.regexp_replace(a.cur, r"(?U)\s+\z", "")
+        ends = so_far.rlike("[.!?\"”]$") & s.rlike(r"(?U)^\p{Lu}") & (F.length(so_far) > 40)
+        joined = F.when(so_far.endswith("-") & s.rlike(r"(?U)^\p{Ll}"), F.concat(F.regexp_replace(so_far, "-$", ""), s)).otherwise(F.concat(so_far, F.lit(" "), s))
+        return F.struct(F.when(ends, F.array_append(a.done, a.cur)).otherwise(a.done).alias("done"), F.when(ends, line).otherwise(joined).alias("cur"))
+
+    def folded(lines: Column) -> Column:
+        zero = F.struct(F.array().cast("array<string>").alias("done"), F.get(lines, F.lit(0)).alias("cur"))
+        return F.aggregate(F.slice(lines, F.lit(2), F.greatest(F.size(lines) - 1, F.lit(0))), zero, step, lambda a: F.array_join(F.array_append(a.done, a.cur), "\n"))
+
+    def block(x: Column) -> Column:
+        lines = F.split(x, "\n", -1)
+        first = F.get(lines, F.lit(0))
+        alone = is_structural(strip(first)) & ~first.rlike(r"^\s*(?:[-*]\s|\d+[.)]\s)")
+        rest = F.slice(lines, F.lit(2), F.greatest(F.size(lines) - 1, F.lit(0)))
+        return F.when(~alone, F.when(F.size(lines) == 1, x).otherwise(folded(lines))).when(F.size(lines) == 1, x).otherwise(F.concat(first, F.lit("\n"), folded(rest)))
+
+    opens = text.rlike(r"\A[^\S\n]*---[^\S\n]*(?:\n|\z)")
+    front = F.when(opens, F.when(text.rlike(FRONT), F.regexp_extract(text, FRONT, 0)).otherwise(text)).otherwise("")
+    body = F.substring(text, F.length(front) + 1, F.length(text))
+    done = F.array_join(F.transform(F.split(body, BLOCK, -1), block), "\n")
+    return F.when(opens & (body == ""), text).otherwise(F.concat(front, done))
+
+
+def clean_text(text: Column, preserve_newlines: bool | Column = False) -> Column:
+    """All text rules in their order; where newlines are preserved (pages that are lists) lines are not joined."""
+    for rule in (ligatures, missing_spaces, spaced_letters, joined_caps, bullets):
+        text = rule(text)
+    keep = preserve_newlines if isinstance(preserve_newlines, Column) else F.lit(preserve_newlines)
+    return F.when(keep, text).otherwise(fold_paragraphs(text))

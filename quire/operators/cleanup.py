@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.text import rebuild
 
 # Fixed values.
 FUNCTION_WORDS = (
@@ -24,12 +23,6 @@ PICTURE = r"(?sU)\*\*-+ Start of picture text -+\*\*<br>\s*(.*?)\s*\*\*-+ End of
 WORD, PIECE, CANDIDATE = r"[\p{L}\p{N}_]+", r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_]+", "^[a-z]{4,}$"
 
 
-def rebuild(text: Column, pattern: str, replacement: Callable[[Column], Column]) -> Column:
-    """Text with each match replaced by a Column of the match: unlike regexp_replace, each match has a decision of its own."""
-    between, matches = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), 0)
-    return F.array_join(F.zip_with(between, matches, lambda a, m: F.concat(a, F.coalesce(replacement(m), F.lit("")))), "")
-
-
 def join_splits(tokens: DataFrame, dictionary: DataFrame) -> DataFrame:
     """splits(token, left, right): how tokens that dictionary(word) lacks fall into a function word and a word.
 
