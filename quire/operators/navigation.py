@@ -36,16 +36,20 @@ def resolve(base: Column, href: Column) -> tuple[Column, Column]:
     decoded = F.coalesce(F.try_url_decode(F.replace(T.strip(href), F.lit("+"), F.lit("%2B"))), T.strip(href))
     path = F.regexp_extract(decoded, "(?s)^([^#]*)", 1)
     anchor = F.regexp_extract(decoded, "(?s)#(.+)$", 1)
-    absolute = path.startswith("/") | base.startswith("/")
     whole = F.when(path.startswith("/") | (base == ""), path).otherwise(F.concat(base, F.lit("/"), path))
+    folded = normal_path(whole, path.startswith("/") | base.startswith("/"))
+    return F.when(path == "", "").when(folded == "", ".").otherwise(folded), F.when(anchor != "", anchor)
+
+
+def normal_path(path: Column, absolute: Column) -> Column:
+    """A path without empty parts, "." and, where they can be taken back, "..", and without a slash before it."""
     none = F.array().cast("array<string>")
 
     def step(done: Column, part: Column) -> Column:
         up = F.when((F.size(done) > 0) & (F.element_at(done, -1) != ".."), F.slice(done, F.lit(1), F.size(done) - 1)).when(absolute, done)
         return F.when(part.isin("", "."), done).when(part == "..", F.coalesce(up, F.concat(done, F.array(part)))).otherwise(F.concat(done, F.array(part)))
 
-    folded = F.array_join(F.reduce(F.split(whole, "/"), none, lambda done, part: F.when(F.size(done) == 0, step(none, part)).otherwise(step(done, part))), "/")
-    return F.when(path == "", "").when(folded == "", ".").otherwise(folded), F.when(anchor != "", anchor)
+    return F.array_join(F.reduce(F.split(path, "/"), none, lambda done, part: F.when(F.size(done) == 0, step(none, part)).otherwise(step(done, part))), "/")
 
 
 def ncx_entries(books: DataFrame, key: str = "book_id") -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import is_local, link_target, strip
+from .navigation import normal_path
 
 PAGE = r"^\{(\d+)\}-{2,}\s*$"
 CAPS_RUN, CAPS_LINE, CAPS_SUM = r"^[A-Z][A-Z\s:&,\-']{0,40}$", 40, 80
@@ -77,9 +78,21 @@ def image_refs(texts: DataFrame, key: str = "doc_id") -> DataFrame:
     return refs.select(key, (F.row_number().over(w) - 1).alias("ref_no"), F.col("p.alt").alias("alt"), link_target(F.col("p.inner")).alias("target"), (F.col("line_no") + 1).alias("line"))
 
 
+def target_path(target: Column) -> Column:
+    """The file that a local target names from its text's folder: percent signs read, "." and ".." taken out."""
+    decoded = F.coalesce(F.try_url_decode(F.replace(target, F.lit("+"), F.lit("%2B"))), target)
+    return normal_path(decoded, decoded.startswith("/"))
+
+
+def resolved_refs(refs: DataFrame) -> DataFrame:
+    """refs with path, the file that each local target names; null for others."""
+    return refs.withColumn("path", F.when(is_local(F.col("target")), target_path(F.col("target"))))
+
+
 def dangling_refs(refs: DataFrame, files: DataFrame, key: str = "doc_id") -> DataFrame:
     """Local references to no file of files(key, path)."""
-    return refs.where(is_local(F.col("target"))).join(files.select(key, F.col("path").alias("target")), [key, "target"], "left_anti")
+    known = files.select(key, normal_path(F.col("path"), F.col("path").startswith("/")).alias("path"))
+    return resolved_refs(refs).where("path is not null").join(known, [key, "path"], "left_anti").select(*refs.columns)
 
 
 def strip_dangling(texts: DataFrame, dangling: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -94,8 +107,27 @@ def strip_dangling(texts: DataFrame, dangling: DataFrame, key: str = "doc_id") -
 
 def asset_manifest(refs: DataFrame, files: DataFrame, key: str = "doc_id") -> DataFrame:
     """manifest(key, path, bytes, references): every file, with the references to it in order; files without any too."""
-    by_path = refs.groupBy(key, F.col("target").alias("path")).agg(F.array_sort(F.collect_list(F.struct("line", "target", "alt"))).alias("references"))
-    return files.join(by_path, [key, "path"], "left").select(key, "path", "bytes", F.coalesce("references", F.array().cast("array<struct<line:int,target:string,alt:string>>")).alias("references"))
+    none = F.array().cast("array<struct<line:int,target:string,alt:string>>")
+    by_path = resolved_refs(refs).where("path is not null").groupBy(key, F.col("path").alias("at")).agg(F.array_sort(F.collect_list(F.struct("line", "target", "alt"))).alias("references"))
+    named = files.withColumn("at", normal_path(F.col("path"), F.col("path").startswith("/")))
+    return named.join(by_path, [key, "at"], "left").select(key, "path", "bytes", F.coalesce("references", none).alias("references"))
+
+
+def finalize_assets(texts: DataFrame, files: DataFrame, key: str = "doc_id") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """texts without dangling references, the manifest of files with lines as they then are, and (key, n_refs, n_stripped, n_dangling, warning) of each text.
+
+    After this no text refers to a missing file: n_dangling is counted on the
+    result and is 0.
+    """
+    refs = image_refs(texts, key)
+    done = strip_dangling(texts, dangling_refs(refs, files, key), key)
+    left = image_refs(done, key)
+    still = dangling_refs(left, files, key).groupBy(key).agg(F.count("*").alias("n_dangling"))
+    counts = refs.groupBy(key).agg(F.count("*").alias("n_refs"))
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
+    report = done.select(key, "n_stripped").join(counts, key, "left").join(still, key, "left")
+    warning = F.when(F.col("n_stripped") > 0, F.concat(F.col("n_stripped").cast("string"), F.lit(" reference(s) to missing images were taken out")))
+    return done.select(key, "text"), asset_manifest(left, files, key), report.select(key, zero("n_refs"), zero("n_stripped"), zero("n_dangling"), warning.alias("warning"))
 
 
 def semantic_headings(markup):
