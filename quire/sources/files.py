@@ -5,13 +5,18 @@ from __future__ import annotations
 import io
 import zipfile
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
-from ..operators.navigation import attribute, resolve
+from ..operators.headings import nav_page_entries
+from ..operators.navigation import attribute, ncx_entries, resolve
 
+#: What counts as an image.
+IMAGES = ("png", "jpg", "jpeg", "gif", "webp", "tif", "tiff", "bmp", "svg")
 SUFFIXES = ("pdf", "epub")
 XHTML = (".xhtml", ".html", ".htm")
 
@@ -70,6 +75,62 @@ def spine(entries: DataFrame) -> DataFrame:
     return pages.join(entries.select("book_id", "name", F.col("text").alias("markup")), ["book_id", "name"]).select("book_id", "ord", "name", "markup")
 
 
+def navigation(entries: DataFrame) -> DataFrame:
+    """nav(book_id, ord, depth, label, doc, anchor) of each book: its navigation page, else its navigation map, else the first map of the archive."""
+    opf = packages(entries)
+    tag = F.col("tag")
+    items = opf.select("book_id", "base", F.explode(F.regexp_extract_all("opf", F.lit(r"(?i)<item\b[^>]*>"), 0)).alias("tag"))
+    kind = F.when(F.array_contains(F.split(F.coalesce(attribute(tag, "properties"), F.lit("")), r"\s+"), "nav"), "page").when(F.lower(F.coalesce(attribute(tag, "media-type"), F.lit(""))).contains("ncx"), "map")
+    named = items.select("book_id", kind.alias("kind"), resolve(F.col("base"), attribute(tag, "href"))[0].alias("name")).where("kind is not null and name <> ''").distinct()
+    stray = entries.where(F.lower("name").endswith(".ncx")).groupBy("book_id").agg(F.min_by("name", "ord").alias("name")).select("book_id", F.lit("stray").alias("kind"), "name")
+    markup = entries.select("book_id", "name", F.regexp_extract("name", "^(.*)/[^/]*$", 1).alias("base"), F.col("text").alias("markup"))
+    sources = named.unionByName(stray).join(markup, ["book_id", "name"])
+    keyed = sources.select(F.struct("book_id", "kind").alias("source"), "kind", "base", "markup")
+    found = nav_page_entries(keyed.where("kind = 'page'"), "source").unionByName(ncx_entries(keyed.where("kind <> 'page'"), "source"))
+    rank = F.when(F.col("source.kind") == "page", 0).when(F.col("source.kind") == "map", 1).otherwise(2)
+    ranked = found.select("source.book_id", rank.alias("rank"), "ord", "depth", "label", "doc", "anchor")
+    best = ranked.groupBy("book_id").agg(F.min("rank").alias("rank"))
+    return ranked.join(best, ["book_id", "rank"]).select("book_id", "ord", "depth", "label", "doc", "anchor")
+
+
+def rewrite_ebooks(files: DataFrame, replacements: DataFrame) -> DataFrame:
+    """files(stem, content) with the entries of replacements(book_id, name, markup) exchanged; each archive begins with its mimetype, not compressed.
+
+    Books without a replacement and unreadable archives stay as they are.
+    """
+    changed = replacements.where("markup is not null").groupBy(F.col("book_id").alias("stem")).agg(F.map_from_entries(F.collect_list(F.struct("name", "markup"))).alias("new"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            done = [exchanged(content, dict(new or ())) for content, new in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(done, pa.binary())], names=["stem", "content"])
+
+    return files.select("stem", "content").join(changed, "stem", "left").mapInArrow(run, "stem string, content binary")
+
+
+def exchanged(content: bytes | None, new: dict[str, str]) -> bytes | None:
+    if not new or content is None:
+        return content
+    out = io.BytesIO()
+    try:
+        with zipfile.ZipFile(io.BytesIO(content)) as old, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+            for info in sorted(old.infolist(), key=lambda i: i.filename != "mimetype"):
+                data = new[info.filename].encode() if info.filename in new else old.read(info)
+                z.writestr(info.filename, data, zipfile.ZIP_STORED if info.filename == "mimetype" else zipfile.ZIP_DEFLATED)
+    except (zipfile.BadZipFile, NotImplementedError, RuntimeError, EOFError):
+        return content
+    return out.getvalue()
+
+
+def assets(spark: SparkSession, folder: str) -> DataFrame:
+    """files(path, bytes): the images below a folder, by their place in it; suffixes in any case. Contents are not read."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    inside = F.regexp_replace("path", r"^[a-z]+:/*", "/")
+    root = "/" + folder.split(":", 1)[-1].strip("/") + "/" if ":" in folder else folder.rstrip("/") + "/"
+    named = found.select(F.when(inside.startswith(root), F.substring(inside, len(root) + 1, 1 << 30)).otherwise(inside).alias("path"), F.col("length").alias("bytes"))
+    return named.where(F.lower(F.regexp_extract("path", r"\.([^.]*)$", 1)).isin(*IMAGES))
+
+
 def write_markdown(pages: DataFrame, folder: str, method: str = "text") -> None:
     """A text file for each book under folder/stem=<book>: a header, then each page of pages(book_id, page_pdf, body) behind its locator."""
     part = F.concat(F.lit("<!-- page_pdf="), F.col("page_pdf").cast("string"), F.lit(" -->\n\n"), F.coalesce("body", F.lit("")))
@@ -82,3 +143,46 @@ def write_markdown(pages: DataFrame, folder: str, method: str = "text") -> None:
 def write_reports(reports: DataFrame, folder: str) -> None:
     """A JSON row for each book."""
     reports.write.mode("overwrite").json(folder)
+
+
+class Files(DataSource):
+    """A sink of whole files: rows (path, content) become files below the folder path, written by the tasks that hold them."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "quire_files"
+
+    def schema(self) -> str:
+        return "path string, content binary"
+
+    def writer(self, schema, overwrite: bool) -> DataSourceWriter:
+        return FileWriter(self.options["path"])
+
+
+@dataclass
+class Written(WriterCommitMessage):
+    files: int
+
+
+class FileWriter(DataSourceWriter):
+    def __init__(self, folder: str) -> None:
+        self.folder = folder
+
+    def write(self, iterator: Iterator) -> Written:
+        from pyarrow import fs
+
+        where, root = fs.FileSystem.from_uri(self.folder if ":" in self.folder else f"file://{self.folder}")
+        n = 0
+        for row in iterator:
+            place = f"{root}/{row['path']}"
+            where.create_dir(place.rsplit("/", 1)[0], recursive=True)
+            with where.open_output_stream(place) as out:  # whole files: a task that is run again writes the same
+                out.write(row["content"] or b"")
+            n += 1
+        return Written(n)
+
+
+def write_files(rows: DataFrame, folder: str) -> None:
+    """Images, archives and rewritten e-books, rows (path, content), as files below folder."""
+    rows.sparkSession.dataSource.register(Files)
+    rows.select("path", "content").write.format("quire_files").mode("append").save(folder)
