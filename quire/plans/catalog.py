@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import cleanup, furniture, locators, navigation, structure
+from ..operators import cleanup, contents, furniture, headings, layout, locators, navigation, paginated, structure, temporal
+from ..session import settled
+from . import convert
 
 ODD, LATER = "coalesce(try_cast(substr(source, 4) as int), 1) % 3 = 0", "n >= 30"
 FOLIO = f"case when n <= 3 then repeat('i', n) when n % 7 = 0 then '' when n = 23 then '999' when {ODD} and {LATER} then cast(n - 29 as string) when n >= 5 then cast(n - 4 as string) else '' end"
@@ -19,8 +20,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def page_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Books of pages from documents: a source is a book, its documents in order are pages with a running head and a printed number."""
-    docs = table(spark, sf_dir, "documents").select("source", "doc_id", "text")
-    numbered = docs.withColumn("n", F.row_number().over(Window.partitionBy("source").orderBy("doc_id")))
+    docs = table(spark, sf_dir, "documents")
+    ids = docs.select("source", "doc_id").withColumn("n", F.row_number().over(Window.partitionBy("source").orderBy("doc_id")))  # numbered without the texts
+    numbered = docs.select("doc_id", "text").join(ids, "doc_id")
     return numbered.selectExpr("source as book_id", "n as page_pdf", f"concat(upper(source), ' STUDIES', '\\n', text, '\\n', {FOLIO}) as text")
 
 
@@ -31,11 +33,11 @@ def paginated_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def with_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").selectExpr("doc_id", "concat(text, '\\n![figure ', doc_id, '](doc', doc_id, '.png)\\n![x](https://example.org/a.png \"t\")') as text")
+    return table(spark, sf_dir, "documents").selectExpr("doc_id", "concat(text, '\\n![figure ', doc_id, '](./img/a%20', doc_id, '.png)\\n![x](https://example.org/a.png \"t\")') as text")
 
 
 def asset_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").where("doc_id % 2 = 0").selectExpr("doc_id", "concat('doc', doc_id, '.png') as path", "n_chars as bytes")
+    return table(spark, sf_dir, "documents").where("doc_id % 2 = 0").selectExpr("doc_id", "concat('img/a ', doc_id, '.png') as path", "n_chars as bytes")
 
 
 def _docs(f):
@@ -44,7 +46,7 @@ def _docs(f):
 
 def book_report(spark, sf_dir):
     pages = page_stream(spark, sf_dir)
-    return locators.book_report(pages, furniture.strip_furniture(pages).persist(StorageLevel.DISK_ONLY))
+    return locators.book_report(pages, settled(furniture.strip_furniture(pages)))
 
 
 def running_heads(spark, sf_dir):
@@ -58,7 +60,7 @@ def folio_capture(spark, sf_dir):
 
 
 def page_locators(spark, sf_dir):
-    return locators.locate(furniture.strip_furniture(page_stream(spark, sf_dir)).persist(StorageLevel.DISK_ONLY)).select("book_id", "page_pdf", "page_printed", "captured")
+    return locators.locate(settled(furniture.strip_furniture(page_stream(spark, sf_dir)))).select("book_id", "page_pdf", "page_printed", "captured")
 
 
 def offset_consensus(spark, sf_dir):
@@ -75,8 +77,8 @@ def quality(d):
 
 
 def ocr_warnings(d):
-    caps, inc, digit = T.ocr_warning_counts(F.col("text"))
-    return d.select("doc_id", caps.cast("long").alias("n_caps"), digit.cast("long").alias("n_digit")).where("n_caps is not null or n_digit is not null")
+    counts = zip(("n_caps", "n_inc", "n_digit"), T.ocr_warning_counts(F.col("text")))
+    return d.select("doc_id", *(n.cast("long").alias(c) for c, n in counts)).where("n_caps is not null or n_inc is not null or n_digit is not null")
 
 
 def signals(d):
@@ -138,7 +140,7 @@ def nav_maps(spark, sf_dir):
 
 def classed(spark, sf_dir):
     """Documents as marked-up pages of a book whose class for chapters depends on the source."""
-    markup = "concat('<p class=\"', case when source in ('src1', 'src2') then 'SectHead' else 'chaptitle' end, ' x\">Title <i>', doc_id, '</i></p><p>', substr(text, 1, 40), '</p><p class=\"other\">z</p>')"
+    markup = "concat('<p class=\"', case when source in ('src1', 'src2') then 'SectHead' else 'chaptitle' end, ' x\">Title <i>', doc_id, '</i></p><p>', replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '</p><p class=\"other\">z</p>')"
     return table(spark, sf_dir, "documents").selectExpr("source as book_id", "doc_id", f"{markup} as markup")
 
 
@@ -162,7 +164,7 @@ QUERIES = {
     "list_pages": _docs(lambda d: d.select("doc_id", T.looks_like_list(F.col("text")).alias("is_list"))),
     "heading_count": _docs(lambda d: d.select("doc_id", T.heading_count(F.concat(F.lit("# a\n"), F.col("text"), F.lit("\n## b\n```\n# c\n```"))).alias("n_headings"))),
     "paragraphs": _docs(lambda d: d.select("doc_id", F.md5(T.fold_paragraphs(F.col("text"))).alias("text_md5"))),
-    "split_caps": _docs(lambda d: structure.merge_split_caps(d.select("doc_id", F.concat(F.lit("THE\nCHALLENGE\nOF THE\nFUTURE\n"), F.col("text")).alias("text"))).where("was_split").select("doc_id", "line_no", "line")),
+    "split_caps": _docs(lambda d: structure.merge_split_caps(d.select("doc_id", F.concat(F.lit("NOTES ON\nSLOW RIVERS\nAND TIDES\n"), F.col("text")).alias("text"))).where("was_split").select("doc_id", "line_no", "line")),
     "promote_headings": _docs(lambda d: structure.promote_headings(structure.lines_of(d.select("doc_id", F.concat(F.lit("CHAPTER 1\n"), F.col("text"), F.lit("\n\nA LONG HEADING IN CAPITALS\n")).alias("text")), "doc_id")).where("level > 0")),
     "ligatures": _docs(lambda d: d.select("doc_id", F.md5(T.ligatures(F.regexp_replace("text", "fi", "ﬁ"))).alias("text_md5"))),
     "missing_spaces": _docs(lambda d: d.select("doc_id", T.missing_spaces(F.concat(F.lit("offthe office stuffin selfmade selfish "), F.col("text"))).alias("text"))),
@@ -187,7 +189,6 @@ _S = r"regexp_replace(regexp_replace({}, '^\s+', ''), '\s+$', '')"
 _PAGES = rf"""numbered AS (SELECT source, doc_id, text, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS n FROM documents),
 pages AS (SELECT source AS book_id, n AS page_pdf, upper(source) || ' STUDIES' || chr(10) || text || chr(10) || {_DUCK_FOLIO} AS text FROM numbered)"""
 _PLAIN = r"regexp_replace(regexp_replace(text, '(?s)<!--.*?-->|[#*_`|]+', ' ', 'g'), '(?m)^-{3,}$', ' ', 'g')"
-_REFS = "refs AS (SELECT doc_id, 0 AS ref_no, 'figure ' || doc_id AS alt, 'doc' || doc_id || '.png' AS target, len(string_split(text, chr(10))) + 1 AS line FROM documents)"
 _IN = lambda words: "(" + ", ".join(f"'{w}'" for w in words) + ")"
 _JOINS = rf"""t AS (SELECT doc_id, 'the' || regexp_extract(text, '[a-z]{{3,}}') || ' wWilliam ' || text AS text FROM documents),
 dict AS (SELECT w FROM (SELECT doc_id, unnest(list_distinct(regexp_extract_all(text, '[\p{{L}}\p{{N}}_]+'))) AS w FROM documents) WHERE regexp_full_match(w, '[a-z]{{4,}}') GROUP BY w HAVING count(*) >= 5),
@@ -230,9 +231,9 @@ FROM c LEFT JOIN rf ON c.book_id = rf.book_id""",
 s AS (SELECT doc_id, CASE WHEN length(b) < 500 THEN 1.0 ELSE greatest(0.0, 1 - (len(regexp_extract_all(b, '(?i)[a-z][0-9][a-z]')) + len(regexp_extract_all(b, '(?i)[a-z]vv[a-z]'))) * 10000.0::DOUBLE / length(b) / 2) END AS s FROM p)
 SELECT doc_id, round(s::DOUBLE, 6) AS score, CASE WHEN s < 0.5 THEN 'low quality' ELSE 'ok' END AS status FROM s""",
     "ocr_warnings": rf"""WITH p AS (SELECT doc_id, {_PLAIN} AS b FROM documents),
-c AS (SELECT doc_id, length(b) AS n, len(regexp_extract_all(b, '\b[B-DF-HJ-NP-TV-Z]{{4,}}\b')) AS a, len(regexp_extract_all(b, '(?i)[a-z][0-9][a-z]')) AS d FROM p),
-w AS (SELECT doc_id, CASE WHEN n >= 500 AND a * 10000.0 / n >= 2 THEN a END AS n_caps, CASE WHEN n >= 500 AND d * 10000.0 / n >= 2 THEN d END AS n_digit FROM c)
-SELECT * FROM w WHERE n_caps IS NOT NULL OR n_digit IS NOT NULL""",
+c AS (SELECT doc_id, length(b) AS n, len(list_filter(regexp_extract_all(b, '[\p{{L}}\p{{N}}_]+'), lambda w: regexp_full_match(w, '[B-DF-HJ-NP-TV-Z]{{4,}}'))) AS a, len(regexp_extract_all(b, '(?i)[a-z][0-9][a-z]')) AS d, len(regexp_extract_all(b, '\bIne\.\b')) AS i FROM p),
+w AS (SELECT doc_id, CASE WHEN n >= 500 AND i * 10000.0 / n >= 2 THEN i END AS n_inc, CASE WHEN n >= 500 AND a * 10000.0 / n >= 2 THEN a END AS n_caps, CASE WHEN n >= 500 AND d * 10000.0 / n >= 2 THEN d END AS n_digit FROM c)
+SELECT * FROM w WHERE n_caps IS NOT NULL OR n_inc IS NOT NULL OR n_digit IS NOT NULL""",
     "table_signals": r"""SELECT doc_id, len(regexp_extract_all(text, '(?m)^\s*\|(\s*:?-+:?\s*\|)+\s*$')) + len(regexp_extract_all(text, '(?i)<table')) AS tables_emitted,
 len(regexp_extract_all(text, '(?m)^\s*\**\s*(TABLE|Table|TAB\.|Tab\.|EXHIBIT|Exhibit)\s+[A-Z]?-?[0-9]+([-.][0-9]+)?')) AS captions_seen FROM documents""",
     "stray_consonants": r"""SELECT doc_id, len(regexp_extract_all(text, '\b[b-df-hj-np-tv-z][A-Z][a-z]{2,}\b')) AS n, md5(regexp_replace(text, '\b[b-df-hj-np-tv-z]([A-Z][a-z]{2,})\b', '\1', 'g')) AS text_md5 FROM documents""",
@@ -242,15 +243,10 @@ l AS (SELECT book_id, page_pdf, unnest(string_split(text, chr(10))) AS line, unn
 s AS (SELECT book_id, page_pdf, i, {_S.format('line')} AS s FROM l),
 f AS (SELECT *, row_number() OVER (PARTITION BY book_id, page_pdf ORDER BY i) AS a, row_number() OVER (PARTITION BY book_id, page_pdf ORDER BY i DESC) AS z FROM s WHERE s <> ''),
 e AS (SELECT book_id, 'heads' AS kind, s FROM f WHERE a <= 3 UNION ALL SELECT book_id, 'feet', s FROM f WHERE z <= 3),
-k AS (SELECT book_id, kind, {_S.format(r"regexp_replace(regexp_replace(regexp_replace(regexp_replace(s, '^[0-9]+\s*', ''), '\s*[0-9]+$', ''), '\s*\|\s*[0-9A-Za-z_]+$', ''), '^[0-9A-Za-z_]+\s*\|\s*', '')")} AS key FROM e),
+k AS (SELECT book_id, kind, {_S.format(r"regexp_replace(regexp_replace(regexp_replace(regexp_replace(s, '^[0-9]+\s*', ''), '\s*[0-9]+$', ''), '\s*\|\s*[0-9A-Za-z_]*$', ''), '^[0-9A-Za-z_]+\s*\|\s*', '')")} AS key FROM e),
 c AS (SELECT book_id, kind, key, count(*) AS n FROM k WHERE length(key) > 3 GROUP BY ALL),
 b AS (SELECT book_id, count(*) AS m FROM pages GROUP BY book_id)
 SELECT c.book_id, c.kind, c.key FROM c JOIN b ON c.book_id = b.book_id WHERE n >= greatest(3, 0.15 * m)""",
-    "image_refs": f"""WITH {_REFS} SELECT doc_id, ref_no, alt, target, line FROM refs
-UNION ALL SELECT doc_id, 1, 'x', 'https://example.org/a.png', line + 1 FROM refs""",
-    "dangling_refs": f"WITH {_REFS} SELECT doc_id, ref_no, target, line FROM refs WHERE doc_id % 2 <> 0",
-    "strip_dangling": """SELECT doc_id, CAST(doc_id % 2 AS BIGINT) AS n_stripped, md5(text || chr(10) || CASE WHEN doc_id % 2 = 0 THEN '![figure ' || doc_id || '](doc' || doc_id || '.png)' ELSE '<!-- missing image: doc' || doc_id || '.png -->' END || chr(10) || '![x](https://example.org/a.png "t")') AS text_md5 FROM documents""",
-    "asset_manifest": "SELECT doc_id, 'doc' || doc_id || '.png' AS path, n_chars AS bytes, 1 AS n_references FROM documents WHERE doc_id % 2 = 0",
     "html_semantic": r"SELECT page_id, regexp_matches(html, '(?i)<h[1-6][\s/>]') AS semantic FROM pages",
     "nav_links": r"""WITH a AS (SELECT page_id, regexp_extract_all(html, '(?is)<a\s[^>]*href=["'']([^"'']*)["''][^>]*>(.*?)</a>', 1) AS h, regexp_extract_all(html, '(?is)<a\s[^>]*href=["'']([^"'']*)["''][^>]*>(.*?)</a>', 2) AS t FROM pages),
 u AS (SELECT page_id, unnest(h) AS href, unnest(t) AS t, unnest(range(len(h))) AS ord FROM a)
@@ -270,6 +266,6 @@ md5(regexp_replace(text || chr(10) || chr(10) || chr(10) || chr(10) || CASE WHEN
     "ncx_entries": """WITH n AS (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS n FROM documents)
 SELECT source AS book_id, CAST(n - 1 AS INTEGER) AS ord, CASE WHEN n % 3 = 1 THEN 1 ELSE 2 END AS depth, 'Part & ' || doc_id AS label, 'd' || doc_id || '.xhtml' AS doc, 'a' || doc_id AS anchor FROM n""",
     "chapter_class": f"WITH {_MARKUP} SELECT book_id, lower(c) AS token, count(*) AS n FROM m GROUP BY book_id, c",
-    "class_headings": f"""WITH {_MARKUP} SELECT doc_id, 1 AS n_injected, md5('<h' || lv || '>Title ' || doc_id || '</h' || lv || '><p>' || substr(text, 1, 40) || '</p><p class="other">z</p>') AS markup_md5 FROM m""",
+    "class_headings": f"""WITH {_MARKUP} SELECT doc_id, 1 AS n_injected, md5('<h' || lv || '>Title ' || doc_id || '</h' || lv || '><p>' || replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') || '</p><p class="other">z</p>') AS markup_md5 FROM m""",
     "line_slice": f"WITH {_LINES} SELECT doc_id, 'body' AS name, md5(string_agg(line, chr(10) ORDER BY line_no)) AS text_md5 FROM l WHERE line_no BETWEEN 1 AND 3 GROUP BY doc_id",
 }
