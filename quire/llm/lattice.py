@@ -45,6 +45,8 @@ from .toxicity import held_out
 
 COMPONENTS, EM_ROUNDS, HOT, STEM, FLUSH = 8, 2, 500_000, 12, 400_000
 MATRIX_CELLS, SLOTS = 1 << 16, 18
+#: Longer words are summed place by place, one at a time.
+LONG = 192
 MULTIPLIER = np.uint64(0x100000001B3)
 
 
@@ -144,9 +146,60 @@ def arcs(vocabulary: Pieces, words: np.ndarray) -> Iterator[tuple[int, int, np.n
                     yield i, j + 1, all_rows, begins
 
 
+def long_arcs(vocabulary: Pieces, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Arcs of one long word, all places at once for each length of a piece: from, to, piece, whether it begins the word; by where they end."""
+    n, found = len(word), []
+    h, at = np.zeros(n, np.uint64), np.arange(n)
+    for size in range(1, min(n, vocabulary.longest) + 1):
+        at = at[at + size <= n]
+        if size == STEM + 1:
+            at = at[look_up(vocabulary.stems, h[at]) >= 0]
+        if not len(at):
+            break
+        h[at] = h[at] * MULTIPLIER + word[at + size - 1] + np.uint64(1)
+        piece = look_up(vocabulary.go_on, h[at])
+        some = np.flatnonzero(piece >= 0)
+        found.append((at[some], at[some] + size, piece[some], np.zeros(len(some), bool)))
+        if at[0] == 0 and (first := look_up(vocabulary.begin, h[:1])[0]) >= 0:
+            found.append((at[:1], at[:1] + size, np.array([first], np.int32), np.ones(1, bool)))
+    start, end, piece, begins = (np.concatenate(x) for x in zip(*found))
+    order = np.argsort(end, kind="stable")
+    return start[order], end[order], piece[order], begins[order]
+
+
+def recursion(n: int, size: int, at: np.ndarray, before: np.ndarray, step: np.ndarray) -> np.ndarray:
+    """Sums in log space over arcs (sorted by at, from 1 to n) that come from before."""
+    out = np.full((n + 1, size), -np.inf)
+    out[0] = 0
+    cuts = np.searchsorted(at, np.arange(1, n + 2))
+    for j, (a, b) in enumerate(zip(cuts.tolist(), cuts[1:].tolist()), 1):
+        x = out[before[a:b]] + step[a:b]  # every byte is a piece, so there is an arc
+        top = x.max(0)
+        out[j] = top + np.log(np.exp(x - top).sum(0))
+    return out
+
+
+def long_word(vocabulary: Pieces, weights: np.ndarray, word: np.ndarray, times: np.ndarray | None = None) -> np.ndarray:
+    """Log probabilities of one long word, or with times the expected uses of pieces: time and memory are in proportion to its length."""
+    start, end, piece, begins = long_arcs(vocabulary, word)
+    n, marked = len(word), (start == 0) & ~begins
+    step = weights[:, piece].T + np.where(marked[:, None], weights[:, vocabulary.alone], 0.0)
+    alpha = recursion(n, len(weights), end, start, step)
+    if times is None:
+        return alpha[n]
+    back = np.argsort(n - start, kind="stable")
+    beta = recursion(n, len(weights), (n - start)[back], (n - end)[back], step[back])[::-1]
+    mass = np.exp(alpha[start] + step + beta[end] - alpha[n]) * times
+    out = np.stack([np.bincount(piece, weights=m, minlength=vocabulary.n) for m in mass.T])
+    out[:, vocabulary.alone] += mass[marked].sum(0)
+    return out
+
+
 def forward(vocabulary: Pieces, weights: np.ndarray, words: np.ndarray, kept: list | None = None) -> np.ndarray:
     """Log probability of each word over all its segmentations, for each row of weights."""
     n, length = words.shape
+    if length > LONG:
+        return np.stack([long_word(vocabulary, weights, w) for w in words], 1)
     padded = np.c_[weights, np.full(len(weights), -np.inf)]  # piece -1 has no probability
     alpha = np.full((length + 1, len(weights), n), -np.inf)
     alpha[0] = 0
@@ -165,6 +218,8 @@ def forward(vocabulary: Pieces, weights: np.ndarray, words: np.ndarray, kept: li
 
 def expected(vocabulary: Pieces, weights: np.ndarray, words: np.ndarray, times: np.ndarray) -> np.ndarray:
     """Expected uses of each piece over the segmentations of words; times: how often each word counts for each row of weights."""
+    if words.shape[1] > LONG:
+        return sum(long_word(vocabulary, weights, w, t) for w, t in zip(words, times.T))
     kept: list = []
     total = forward(vocabulary, weights, words, kept)
     alpha = kept.pop()
