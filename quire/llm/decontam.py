@@ -17,19 +17,25 @@ A document holds an item
 
 Values of equally many words agree word by word, others as a whole.
 Items of fewer than WINDOW tokens are one window of their own length; items of
-fewer than SHORTEST tokens match nothing. Template windows with fewer than
-SOLID tokens that are no slots are not looked up.
-
-Benchmark windows are looked up from memory, in blocks of the benchmark of at
-most BLOCK_BYTES of text, each sent to the tasks once; a larger benchmark
-takes more blocks. Documents are never shuffled.
+fewer than SHORTEST tokens match nothing, since passages of so few words stand
+in clean texts. Template windows with fewer than SOLID tokens that are no slots
+are not looked up.
+
+Windows meet by a hash join. The benchmark's windows are a table of hashes, and
+a Bloom filter of them of fixed size goes to all tasks; the windows of
+documents that pass it, some in a thousand of clean text, are joined to the
+table by a shuffle, and summed for each document and item. Only documents that
+hold SHARE of an item's windows are read again, with that item's text, for
+alignment and slots. Texts of documents are never shuffled for the look-up, and
+nothing that goes to all tasks grows with either table.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,10 +43,11 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, mix64, utf8
+from .common import Scratch, free_names, mix64, small_side, utf8
 
 WINDOW, SHORTEST, SOLID, SHARE, SHIFT = 8, 5, 4, 0.6, 8
-BLOCK_BYTES = 32 << 20
+#: Bits of the filter, as a power of two, and text that is cut into windows at once.
+FILTER_BITS, READ_AT_ONCE, ITEMS_REMEMBERED = 24, 1 << 18, 2_000
 REMEMBERED = 300_000
 EDGES = re.compile(r"^[^\w<>]+|[^\w<>%°]+$")
 NUMBER = re.compile(r"^[+-]?\d[\d.,:/]*%?$")
@@ -135,6 +142,11 @@ class Reader:
     def read(self, text: bytes) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray, np.ndarray]], list[bytes]]:
         """Word hashes; for either form the template hashes, whether a token is a slot and at which word it begins; the words."""
         raw = text.split()
+        plain, forms, _, full = self.read_all(raw, np.zeros(len(raw), np.int64))
+        return plain, forms, raw if full.all() else [w for w, f in zip(raw, full.tolist()) if f]
+
+    def read_all(self, raw: list[bytes], owner: np.ndarray) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray, np.ndarray]], np.ndarray, np.ndarray]:
+        """The same for the words of several texts; the texts that words belong to, and which words are more than punctuation."""
         at = list(map(self.known.get, raw))
         if None in at:
             new = list({w for w, i in zip(raw, at) if i is None})
@@ -151,18 +163,19 @@ class Reader:
         plain, template, flags = self.plain[at], self.template[at], self.flags[at]
         begins = np.r_[True, (flags[:-1] & ENDS) > 0] if len(at) else np.zeros(0, bool)
         full = (flags & EMPTY) == 0
-        words = [w for w, f in zip(raw, full.tolist()) if f] if not full.all() else raw
-        plain, template, flags, begins = plain[full], template[full], flags[full], begins[full]
+        plain, template, flags, begins, owner = plain[full], template[full], flags[full], begins[full], owner[full]
+        first = np.r_[True, owner[1:] != owner[:-1]] if len(owner) else np.zeros(0, bool)
+        begins = begins | first
         after = lambda x: np.r_[False, x[:-1]] & ~begins if len(x) else x
         number = flags & SLOT > 0
-        numeric = number | (flags & UNIT > 0) & (np.r_[False, number[:-1]] if len(number) else number)
+        numeric = number | (flags & UNIT > 0) & (np.r_[False, number[:-1]] & ~first if len(number) else number)
         name = flags & NAME > 0
         forms = []
         for names in (name & ~begins, name):
             slot = numeric | names
             starts = np.flatnonzero(~(numeric & after(numeric) | names & after(names)))
             forms.append((np.where(slot, template, plain)[starts], slot[starts], starts))
-        return plain, forms, words
+        return plain, forms, owner, full
 
 
 def windows(hashes: np.ndarray, size: int) -> np.ndarray:
@@ -176,83 +189,73 @@ def windows(hashes: np.ndarray, size: int) -> np.ndarray:
     return mix64(out)
 
 
-class Benchmark:
-    """The windows of a block of items."""
+def tagged(hashes: np.ndarray, kind: int, size: int) -> np.ndarray:
+    """Hashes of windows of a kind (0: words, 1 and 2: the template forms) and size."""
+    return mix64(hashes + np.uint64((kind * 64 + size + 1) * 0xA24BAED4963EE407 & 0xFFFFFFFFFFFFFFFF))
 
-    def __init__(self, items: list[tuple[int | None, bytes]]) -> None:
-        reader = Reader()
-        self.items = []
-        found: tuple[dict, dict, dict] = (defaultdict(list), defaultdict(list), defaultdict(list))
-        self.sizes: tuple[set[int], set[int], set[int]] = (set(), set(), set())
-        for item, text in items:
-            plain, forms, words = reader.read(text)
-            if len(plain) < SHORTEST:
-                continue
-            size = min(WINDOW, len(plain))
-            self.sizes[0].add(size)
-            for j, h in enumerate(windows(plain, size).tolist()):
-                found[0][h, size].append((len(self.items), j))
-            n, kept = len(plain) - size + 1, []
-            for kind, (template, slot, starts) in enumerate(forms, 1):
-                size = min(WINDOW, len(template))
-                solid = np.convolve(~slot, np.ones(size, int), "valid") >= SOLID
-                kept.append((size, slot, np.r_[starts, len(plain)], int(solid.sum())))
-                self.sizes[kind].add(size)
-                for j, h in enumerate(windows(template, size).tolist()):
-                    if solid[j]:
-                        found[kind][h, size].append((len(self.items), j))
-            self.items.append((item, n, kept, [clean(w) for w in words]))
-        self.places = tuple(dict(x) for x in found)
-        self.filters = {}
-        for kind in (0, 1, 2):
-            for size in self.sizes[kind]:
-                hit = np.zeros(1 << 20, bool)
-                hit[np.array([h for h, s in found[kind] if s == size], np.uint64) >> np.uint64(44)] = True
-                self.filters[kind, size] = hit
-
-    def find(self, reader: Reader, text: bytes) -> tuple[int, float, str] | None:
-        """The best covered item: its place, the share of its windows, and how it was found."""
+
+def windows_of_item(forms: list, plain: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(kind, size, tagged hashes, which are looked up) of an item."""
+    size = min(WINDOW, len(plain))
+    yield 0, size, tagged(windows(plain, size), 0, size), np.ones(len(plain) - size + 1, bool)
+    for kind, (template, slot, _) in enumerate(forms, 1):
+        size = min(WINDOW, len(template))
+        solid = np.convolve(~slot, np.ones(size, int), "valid") >= SOLID
+        yield kind, size, tagged(windows(template, size), kind, size), solid
+
+
+class Item:
+    """The windows of an item."""
+
+    def __init__(self, text: bytes, reader: Reader) -> None:
         plain, forms, words = reader.read(text)
-        hits: list[tuple[int, int, int, int]] = []
-        for kind, tokens in enumerate((plain, forms[0][0], forms[1][0])):
-            for size in self.sizes[kind]:
-                hashes = windows(tokens, size)
-                at = np.flatnonzero(self.filters[kind, size][hashes >> np.uint64(44)])
-                for p, h in zip(at.tolist(), hashes[at].tolist()):
-                    hits += [(kind, i, j, p) for i, j in self.places[kind].get((h, size), ())]
-        if not hits:
-            return None
-        best = None
-        verbatim, aligned = defaultdict(set), defaultdict(lambda: defaultdict(set))
-        for kind, i, j, p in hits:
-            if kind == 0:
-                verbatim[i].add(j)
-            else:
-                aligned[i, kind - 1][p - j].add(j)
-        for i, js in verbatim.items():
-            share = len(js) / self.items[i][1]
-            if share >= SHARE and (best is None or (share, -i) > (best[1], -best[0])):
-                best = i, share, "verbatim"
-        if best:
-            return best
-        for (i, form), by_offset in aligned.items():
-            least = SHARE * max(1, self.items[i][2][form][3])
-            if len(set().union(*by_offset.values())) < least:
+        self.words, self.kinds = [clean(w) for w in words], []
+        self.forms = [(slot, np.r_[starts, len(plain)]) for _, slot, starts in forms]
+        if len(plain) >= SHORTEST:
+            for kind, size, hashes, used in windows_of_item(forms, plain):
+                places = defaultdict(list)
+                for j in np.flatnonzero(used).tolist():
+                    places[int(hashes[j])].append(j)
+                self.kinds.append((kind, size, dict(places), int(used.sum())))
+
+    def held_by(self, read: tuple) -> tuple[float, str] | None:
+        """The share of the item's windows that a text (as a Reader gives it) holds, and how, if it holds the item."""
+        plain, forms, words = read
+        for kind, size, places, n in self.kinds:
+            tokens = plain if kind == 0 else forms[kind - 1][0]
+            hashes = tagged(windows(tokens, size), kind, size)
+            by_offset = defaultdict(set)
+            for p in np.flatnonzero(np.isin(hashes, np.array(list(places), np.uint64))).tolist():
+                for j in places[int(hashes[p])]:
+                    by_offset[p - j].add(j)
+            found = len(set().union(*by_offset.values())) if by_offset else 0
+            if not found or found < SHARE * n:
                 continue
-            paths = [(len(js), [(offset, js)]) for offset, js in by_offset.items()] + (chains(by_offset) if len(by_offset) > 1 else [])
-            for count, path in sorted((x for x in paths if x[0] >= least), key=lambda x: -x[0]):
-                share = count / max(1, self.items[i][2][form][3])
-                if best is not None and (share, -i) <= (best[1], -best[0]):
-                    break
-                if self.consistent(i, form, path, forms[form][2], words):
-                    best = i, share, "re-parameterised"
-                    break
-        return best
-
-    def consistent(self, i: int, form: int, path: list, starts: np.ndarray, words: list[bytes]) -> bool:
+            if kind == 0:
+                return found / n, "verbatim"
+            best = self.aligned(kind - 1, size, by_offset, n, forms[kind - 1][2], words)
+            if best and (kind == 2 or (other := self.only(2).held_by(read)) is None or other[0] <= best):
+                return best, "re-parameterised"
+            if best:
+                return other
+        return None
+
+    def only(self, kind: int) -> Item:
+        out = object.__new__(Item)
+        out.words, out.forms, out.kinds = self.words, self.forms, [x for x in self.kinds if x[0] == kind]
+        return out
+
+    def aligned(self, form: int, size: int, by_offset: dict[int, set[int]], n: int, starts: np.ndarray, words: list[bytes]) -> float | None:
+        """The largest share along one alignment whose slots agree."""
+        paths = [(len(js), [(offset, js)]) for offset, js in by_offset.items()] + (chains(by_offset) if len(by_offset) > 1 else [])
+        for count, path in sorted((x for x in paths if x[0] >= SHARE * n), key=lambda x: -x[0]):
+            if self.consistent(form, size, path, starts, words):
+                return count / n
+        return None
+
+    def consistent(self, form: int, size: int, path: list, starts: np.ndarray, words: list[bytes]) -> bool:
         """Whether the slots agree along the path's pieces (offset, windows); a slot where two pieces meet stands for all from one to the other."""
-        _, _, kept, item_words = self.items[i]
-        size, slot, item_starts, _ = kept[form]
+        slot, item_starts = self.forms[form]
         to, back, place = {}, {}, {}
         ends = np.r_[starts, len(words)]
         for offset, js in path:
@@ -261,7 +264,7 @@ class Benchmark:
                     low, high = place.get(k, (k + offset, k + offset))
                     place[k] = min(low, k + offset), max(high, k + offset)
         for k, (low, high) in sorted(place.items()):
-            mine, mine_units = values(item_words[item_starts[k] : item_starts[k + 1]])
+            mine, mine_units = values(self.words[item_starts[k] : item_starts[k + 1]])
             theirs, their_units = values([clean(w) for w in words[ends[low] : ends[high + 1]]])
             pairs = list(zip(mine, theirs)) if len(mine) == len(theirs) else [(" ".join(mine), " ".join(theirs))]
             pairs += zip(mine_units, their_units) if len(mine_units) == len(their_units) else ()
@@ -270,7 +273,98 @@ class Benchmark:
         return True
 
 
-LEAKS = "contaminated boolean, item_id long, coverage double, kind string"
+WINDOWS = "uid long, hash long, kind int, size int, n long"
+
+
+def cut_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The windows of items (uid, text) that are looked up; n: how many the item has of the kind."""
+    reader = Reader()
+    for batch in batches:
+        rows = []
+        for uid, text in zip(batch.column(0).to_pylist(), utf8(batch, "text")):
+            plain, forms, _ = reader.read(text)
+            if len(plain) >= SHORTEST:
+                for kind, size, hashes, used in windows_of_item(forms, plain):
+                    n = int(used.sum())
+                    rows += [(uid, h, kind, size, n) for h in hashes[used].view(np.int64).tolist()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 5, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()))], names=["uid", "hash", "kind", "size", "n"])
+
+
+def bits_of(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return hashes >> np.uint64(64 - FILTER_BITS), hashes & np.uint64((1 << FILTER_BITS) - 1)
+
+
+def filter_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    hit = np.zeros(1 << FILTER_BITS, bool)
+    for batch in batches:
+        for at in bits_of(batch.column(0).to_numpy().view(np.uint64)):
+            hit[at] = True
+    yield pa.RecordBatch.from_arrays([pa.array([np.packbits(hit).tobytes()], pa.binary())], names=["bits"])
+
+
+def look_up(shared, sizes: list[tuple[int, int]]):
+    """(doc_id, t, hashes): the distinct windows of each document that pass the filter; documents without any give no row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hit, reader = np.unpackbits(np.frombuffer(shared.value, np.uint8)).view(bool), Reader()
+        for batch in batches:
+            docs, ts, texts = batch.column(0), batch.column("t"), utf8(batch, "text")
+            begin = 0
+            while begin < len(texts):
+                stop, size = begin, 0
+                while stop < len(texts) and size < READ_AT_ONCE:
+                    size += len(texts[stop])
+                    stop += 1
+                words = [x.split() for x in texts[begin:stop]]
+                lengths = list(map(len, words))
+                plain, forms, owner, _ = reader.read_all(list(chain.from_iterable(words)), np.repeat(np.arange(begin, stop), lengths))
+                found, owners = [], []
+                for kind, n in sizes:
+                    tokens, of = (plain, owner) if kind == 0 else (forms[kind - 1][0], owner[forms[kind - 1][2]])
+                    if len(tokens) < n:
+                        continue
+                    hashes = tagged(windows(tokens, n), kind, n)
+                    high, low = bits_of(hashes)
+                    at = np.flatnonzero(hit[high])
+                    at = at[hit[low[at]] & (of[at] == of[at + n - 1])]
+                    found.append(hashes[at])
+                    owners.append(of[at])
+                hashes, of = (np.concatenate(found), np.concatenate(owners)) if found else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+                order = np.lexsort((hashes, of))
+                hashes, of = hashes[order], of[order]
+                new = np.r_[True, (hashes[1:] != hashes[:-1]) | (of[1:] != of[:-1])] if len(of) else np.zeros(0, bool)
+                hashes, of = hashes[new], of[new]
+                mine, edges = np.unique(of, return_index=True)
+                lists = pa.ListArray.from_arrays(pa.array(np.r_[edges, len(of)].astype(np.int32)), pa.array(hashes.view(np.int64)))
+                if len(mine):
+                    yield pa.RecordBatch.from_arrays([docs.take(pa.array(mine)), ts.take(pa.array(mine)), lists], names=["doc_id", "t", "hashes"])
+                begin = stop
+
+    return run
+
+
+FOUND = "doc_id long, t long, contaminated boolean, item_id long, coverage double, kind string"
+
+
+def check_candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The best item that each document (doc_id, t, text, items) holds: verbatim before re-parameterised, then by share, then the first by id and text."""
+    reader, known = Reader(), {}
+    for batch in batches:
+        rows = []
+        for doc, t, text, items in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), utf8(batch, "text"), batch.column("items").to_pylist()):
+            read, best = reader.read(text), None
+            for x in sorted(items, key=lambda x: (x["item_id"] is None, x["item_id"] or 0, x["item_text"])):
+                if (item := known.get(x["item_text"])) is None:
+                    if len(known) > ITEMS_REMEMBERED:
+                        known.clear()
+                    item = known[x["item_text"]] = Item(x["item_text"].encode(), reader)
+                held = item.held_by(read)
+                if held and (best is None or (held[1] == "verbatim", held[0]) > (best[2] == "verbatim", best[1])):
+                    best = x["item_id"], *held
+            if best:
+                rows.append((doc, t, True, best[0], float(best[1]), best[2]))
+        types = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.float64(), pa.string())
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 6, types)], names=["doc_id", "t", "contaminated", "item_id", "coverage", "kind"])
 
 
 def mark_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -278,39 +372,32 @@ def mark_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     Null or empty texts, and all documents where the benchmark is empty, are
     clean: false, nulls. Ties go to the item that comes first by item_id and
-    text. Columns of these names are replaced; rows stay as many as they were.
+    text. Columns of these names are replaced; rows stay as many as they were,
+    and rows that are equal in doc_id and text get equal results.
     """
     spark = docs.sparkSession
-    Scratch(spark, "decontam")
+    scratch = Scratch(spark, "decontam")
     docs = docs.drop("contaminated", "item_id", "coverage", "kind")
-    total = benchmark.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
-    blocks = int(total // BLOCK_BYTES) + 1
-    out = docs.select("*", F.lit(False).alias("contaminated"), F.lit(None).cast("long").alias("item_id"), F.lit(None).cast("double").alias("coverage"), F.lit(None).cast("string").alias("kind"))
-    for b in range(blocks):
-        items = benchmark.select("item_id", "text").where(F.col("text").isNotNull())
-        if blocks > 1:
-            items = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
-        rows = sorted(((r["item_id"], r["text"].encode()) for r in items.collect()), key=lambda x: (x[0] is None, x[0] or 0, x[1]))  # BLOCK_BYTES about
-        shared = spark.sparkContext.broadcast(Benchmark(rows))
-        out = out.mapInArrow(_mark(shared), out.schema)
-    return out
-
-
-def _mark(shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bench, reader = shared.value, Reader()
-        for batch in batches:
-            n = batch.num_columns - 4
-            was = batch.select(range(n, n + 4)).to_pylist()
-            for row, text in zip(was, utf8(batch, "text")):
-                found = bench.find(reader, text) if bench.items and text else None
-                if found and (not row["contaminated"] or (found[2] == "verbatim", found[1]) > (row["kind"] == "verbatim", row["coverage"])):
-                    row.update(contaminated=True, item_id=bench.items[found[0]][0], coverage=float(found[1]), kind=found[2])
-            types = (pa.bool_(), pa.int64(), pa.float64(), pa.string())
-            new = [pa.array([r[c] for r in was], t) for c, t in zip(("contaminated", "item_id", "coverage", "kind"), types)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:n], *new], names=batch.schema.names)
-
-    return run
+    texts = docs.select("doc_id", "text").withColumn("t", F.xxhash64("text"))
+    items = scratch.keep("items", benchmark.select("item_id", "text").where(F.length("text") > 0).distinct().withColumn("uid", F.xxhash64("item_id", "text")))
+    cut = scratch.keep("windows", items.select("uid", "text").mapInArrow(cut_items, WINDOWS).groupBy("uid", "hash", "kind", "size", "n").agg(F.count("*").alias("m")))
+    bits = np.zeros(1 << FILTER_BITS - 3, np.uint8)
+    for row in cut.select("hash").mapInArrow(filter_bits, "bits binary").toLocalIterator():  # one of fixed size a task
+        bits |= np.frombuffer(row["bits"], np.uint8)
+    sizes = sorted((r["kind"], r["size"]) for r in cut.select("kind", "size").distinct().collect())  # 3 * WINDOW at most
+    shared = spark.sparkContext.broadcast(bits.tobytes())
+    hits = scratch.keep("hits", texts.where(F.length("text") > 0).mapInArrow(look_up(shared, sizes), "doc_id long, t long, hashes array<long>"))
+    met = hits.select("doc_id", "t", F.explode("hashes").alias("hash")).distinct().join(cut, "hash")
+    sums = met.groupBy("doc_id", "t", "uid", "kind").agg(F.sum("m").alias("m"), F.first("n").alias("n")).where(F.col("m") >= SHARE * F.col("n"))
+    named = sums.select("doc_id", "t", "uid").distinct().join(items.withColumnRenamed("text", "item_text"), "uid")
+    asked = scratch.keep("asked", named.groupBy("doc_id", "t").agg(F.collect_list(F.struct("item_id", "item_text")).alias("items")))
+    key = lambda a, b: a[0].eqNullSafe(b[0]) & (a[1] == b[1])
+    d, k, t = free_names(docs, "d", "k", "t")
+    again = texts.join(small_side(asked.select(F.col("doc_id").alias("d"), F.col("t").alias("k"), "items")), key((F.col("doc_id"), F.col("t")), (F.col("d"), F.col("k"))))
+    found = scratch.keep("found", again.select("doc_id", "t", "text", "items").mapInArrow(check_candidates, FOUND).dropDuplicates(["doc_id", "t"]))
+    found = found.withColumnsRenamed({"doc_id": d, "t": k})
+    joined = docs.withColumn(t, F.xxhash64("text")).join(small_side(found), key((F.col("doc_id"), F.col(t)), (F.col(d), F.col(k))), "left")
+    return joined.select(*docs.columns, F.coalesce("contaminated", F.lit(False)).alias("contaminated"), "item_id", "coverage", "kind")
 
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
