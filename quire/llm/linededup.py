@@ -19,12 +19,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, small_side
+from .common import Scratch, free_names, small_side
 
 LG_K = 12
 #: Six relative standard errors of a sketch of 2**LG_K registers.
 MARGIN = 6 * 1.04 / 2 ** (LG_K / 2)
-MIN_SITES, MIN_CHARS = 10, 10
+MIN_SITES, MIN_CHARS = 10, 1
 
 
 def _stripped(line):
@@ -42,27 +42,29 @@ def spread_lines(docs: DataFrame, scratch: Scratch, min_sites: int = MIN_SITES,
 
 
 def drop_spread_lines(docs: DataFrame, min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS) -> DataFrame:
-    """docs with the boilerplate lines cut from text, and n_lines and n_removed; other columns are kept.
+    """docs with the boilerplate lines cut from text, and n_lines and n_removed; other columns are kept, whatever their names.
 
-    Only the places of removed lines are joined to the documents, by doc_id
-    and the text's hash.
+    Columns n_lines and n_removed of docs are replaced. Only the places of
+    removed lines are joined to the documents, by doc_id and the text's hash.
+    An empty table gives no rows.
     """
     scratch = Scratch(docs.sparkSession, "linededup")
     gone = small_side(spread_lines(docs, scratch, min_sites, min_chars))
-    keyed = docs.select("doc_id", "text").withColumn("__t", F.xxhash64("text"))
-    placed = keyed.select("doc_id", "__t", F.posexplode(F.split("text", "\n")).alias("at", "line")).select("doc_id", "__t", "at", _stripped("line").alias("line"))
-    placed = placed.where(F.length("line") >= min_chars).select("doc_id", "__t", "at", F.xxhash64("line").alias("h"), F.length("line").alias("n"))
-    hits = placed.join(gone, ["h", "n"], "left_semi").groupBy("doc_id", "__t").agg(F.collect_set("at").alias("__at"))
-    hits = hits.select(F.col("doc_id").alias("__d"), F.col("__t").alias("__h"), "__at")
-    joined = docs.withColumn("__t", F.xxhash64("text")).join(hits, F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("__t") == F.col("__h")), "left")
+    t, d, k, where = free_names(docs, "t", "d", "k", "where")
+    placed = docs.select("doc_id", F.xxhash64("text").alias("t"), F.posexplode(F.split("text", "\n")).alias("at", "line")).select("doc_id", "t", "at", _stripped("line").alias("line"))
+    placed = placed.where(F.length("line") >= min_chars).select("doc_id", "t", "at", F.xxhash64("line").alias("h"), F.length("line").alias("n"))
+    hits = placed.join(gone, ["h", "n"], "left_semi").groupBy("doc_id", "t").agg(F.collect_set("at").alias("at"))
+    hits = hits.select(F.col("doc_id").alias(d), F.col("t").alias(k), F.col("at").alias(where))
+    joined = docs.withColumn(t, F.xxhash64("text")).join(hits, F.col("doc_id").eqNullSafe(F.col(d)) & (F.col(t) == F.col(k)), "left")
     lines = F.split("text", "\n")
-    kept = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains("__at", i)), "\n")
+    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), where)  # by hashing, in order
+    kept = F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n")
     n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines))
     return joined.select(
         *(F.col(c) for c in docs.columns if c not in ("text", "n_lines", "n_removed")),
         n_lines.cast("long").alias("n_lines"),
-        F.coalesce(F.size("__at"), F.lit(0)).cast("long").alias("n_removed"),
-        F.when(F.col("__at").isNull(), F.col("text")).otherwise(kept).alias("text"),
+        F.coalesce(F.size(where), F.lit(0)).cast("long").alias("n_removed"),
+        F.when(F.col(where).isNull(), F.col("text")).otherwise(kept).alias("text"),
     )
 
 
