@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import text as T
-from .plans.convert import Backend, Backends, convert_ebooks
+from .plans.convert import Backend, Backends, convert_ebooks, convert_pages
 from .session import settled
 from .sources import files as sources
 from .sources.pages import Pages
@@ -29,6 +29,11 @@ def paginated_pages(files: DataFrame) -> DataFrame:
 BACKENDS = Backends(Backend("text", text_pages), Backend("paginated", paginated_pages, shared_lines=True))
 
 
+def reported(books: DataFrame) -> DataFrame:
+    """(book_id, status, text, report): the report is what else there is, as JSON."""
+    return books.select("book_id", "status", "text", F.to_json(F.struct(*(c for c in books.columns if c != "text")), {"ignoreNullFields": "false"}).alias("report"))
+
+
 def arguments() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="quire", description=__doc__)
     p.add_argument("input", help="a folder of books, or of pages for --extractor")
@@ -54,10 +59,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     if a.extractor:
         spark.dataSource.register(Pages)
         pages = spark.read.format("quire_pages").option("extractor", a.extractor).load(a.input).where("page_pdf is not null")
-        from .functions import text as T
-from .plans.convert import convert_pages
-
-        done = convert_pages(pages.select("book_id", "page_pdf", "text"), method=a.extractor).select("book_id", "status", "text", F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("report"))
+        done = reported(convert_pages(pages.select("book_id", "page_pdf", "text"), method=a.extractor))
         files = None
     else:
         files = sources.books(spark, a.input, ("txt", "epub"))
@@ -67,10 +69,10 @@ from .plans.convert import convert_pages
             except Exception as e:  # no output yet
                 if "PATH_NOT_FOUND" not in str(e):
                     raise
-        done = BACKENDS.convert(files, a.method, not a.no_retry).select("book_id", "status", "text", F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("report"))
+        done = reported(BACKENDS.convert(files, a.method, not a.no_retry))
         entries = settled(sources.epub_entries(files))
         ebooks = convert_ebooks(sources.spine(entries), sources.navigation(entries))
-        done = done.unionByName(ebooks.select("book_id", "status", "text", F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("report")))
+        done = done.unionByName(reported(ebooks))
     done = settled(done)
     ok = done.where("status = 'ok'")
     sources.write_files(ok.select(F.concat("book_id", F.lit(".md")).alias("path"), F.encode("text", "UTF-8").alias("content")), a.output)

@@ -46,7 +46,7 @@ def normal_path(path: Column, absolute: Column) -> Column:
     none = F.array().cast("array<string>")
 
     def step(done: Column, part: Column) -> Column:
-        up = F.when((F.size(done) > 0) & (F.element_at(done, -1) != ".."), F.slice(done, F.lit(1), F.size(done) - 1)).when(absolute, done)
+        up = F.when((F.size(done) > 0) & (F.try_element_at(done, F.lit(-1)) != ".."), F.slice(done, F.lit(1), F.size(done) - 1)).when(absolute, done)
         return F.when(part.isin("", "."), done).when(part == "..", F.coalesce(up, F.concat(done, F.array(part)))).otherwise(F.concat(done, F.array(part)))
 
     return F.array_join(F.reduce(F.split(path, "/"), none, lambda done, part: F.when(F.size(done) == 0, step(none, part)).otherwise(step(done, part))), "/")

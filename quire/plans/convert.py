@@ -83,7 +83,8 @@ def convert_pages(pages: DataFrame, bookmarks: DataFrame | None = None, shared_l
     outline = contents.render_contents(bookmarks) if bookmarks is not None else None
     counts = [F.count("*").alias("page_locator_count"), F.count_if("captured").alias("page_printed_count")]
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_pdf", part.alias("part")))), lambda x: x.part), "\n\n")
-    books = bodies.groupBy("book_id").agg(joined.alias("body"), *counts)
+    made = bodies.groupBy("book_id").agg(joined.alias("body"), *counts)
+    books = pages.select("book_id").distinct().join(made, "book_id", "left").withColumn("body", F.coalesce("body", F.lit("")))  # a book may have no line of its own
     if outline is not None:
         books = books.join(outline, "book_id", "left").withColumn("body", F.concat(F.coalesce(F.concat("contents", F.lit("\n---\n\n")), F.lit("")), "body")).drop("contents")
     head = F.concat(F.lit("# "), T.clean_title(F.col("book_id")), F.lit(f"\n\n*Converted by {method}*\n\n---\n\n"))

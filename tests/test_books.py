@@ -113,7 +113,7 @@ def test_command_line(spark, tmp_path):
 
     prose = "Some plain words that make a page of text with no marks at all. "
     (tmp_path / "in").mkdir()
-    (tmp_path / "in/tale.txt").write_text("\f".join(f"THE HEAD\n{prose}{i}\nand on it goes{i}\nand more of it{i}\nthe end of page{i}\n{i}" for i in range(1, 9)))
+    (tmp_path / "in/tale.txt").write_text("\f".join(f"THE HEAD\n{prose}{w}\nand on it goes {w}\nand more of it {w}\nthe end of page {w}\n{i}" for i, w in enumerate("ash birch cedar elm fir larch oak pine".split(), 1)))
     (tmp_path / "in/blank.txt").write_text("\f" * 30)
     importlib.invalidate_caches()
     assert main([str(tmp_path / "in"), "-o", str(tmp_path / "out")], spark) == 1  # the blank book fails
