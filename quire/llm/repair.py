@@ -18,7 +18,8 @@ so that any store that Spark can write will do.
 
 Re-Pair runs in rounds. A round counts all adjacent pairs of the shard, takes
 the most frequent ones as new rules and replaces their occurrences from left
-to right; where two chosen pairs overlap, the more frequent one wins.
+to right; where two chosen pairs overlap, the more frequent one wins. Rounds go
+on until no pair is frequent or the 16-bit symbols are all but used up.
 """
 
 from __future__ import annotations
@@ -32,50 +33,64 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, utf8
+from .common import Scratch, small_side, utf8
 from .tokens import encoder
 
 END = 0xFFFF
 SHARD_TOKENS = 1 << 20
-ROUNDS, RULES_A_ROUND, LEAST_COUNT = 4, 4096, 8
+RULES_A_ROUND, LEAST_COUNT, LEAST_ROOM = 8192, 8, 256
 SHARDS = "part int, shard int, n_docs int, n_tokens long, base int, doc_ids binary, null_ids binary, doc_lens binary, rules binary, lengths binary, symbols binary"
 RESULT = "doc_id long, start long, n_tokens long, ids_crc32 long"
-SLOTS = 16
+COUNT_BITS, FILTER_BITS, NONE = 20, 16, np.int32(1 << 30)
+
+
+def hashed(keys: np.ndarray, bits: int) -> np.ndarray:
+    return (keys * np.uint32(0x9E3779B1)) >> np.uint32(32 - bits)
 
 
 def frequent_pairs(keys: np.ndarray, least: int, most: int) -> np.ndarray:
-    """The pairs that occur at least so often, most frequent first."""
-    ordered = np.sort(keys)
-    first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
+    """The pairs that occur at least so often, most frequent first; only pairs whose hash occurs so often are sorted."""
+    slot = hashed(keys, COUNT_BITS)
+    ordered = np.sort(keys[np.bincount(slot, minlength=1 << COUNT_BITS)[slot] >= least])
+    first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]]) if len(ordered) else np.zeros(0, np.int64)
     counts = np.diff(np.r_[first, len(ordered)])
     often = counts >= least
     first, counts = first[often], counts[often]
     return ordered[first[np.argsort(-counts, kind="stable")[:most]]]
 
 
+def ranks_of(keys: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """The place of each key among the chosen ones, or NONE."""
+    order = np.argsort(chosen)
+    chosen, out = chosen[order], np.full(len(keys), NONE, np.int32)
+    hit = np.zeros(1 << FILTER_BITS, bool)
+    hit[hashed(chosen, FILTER_BITS)] = True
+    maybe = np.flatnonzero(hit[hashed(keys, FILTER_BITS)])
+    some = keys[maybe]
+    at = np.minimum(np.searchsorted(chosen, some), len(chosen) - 1)
+    same = chosen[at] == some
+    out[maybe[same]] = order[at[same]]
+    return out
+
+
 def compress(symbols: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Symbols (16 bits, END after each document) to compressed symbols, rules and the rules' expansion lengths."""
+    """Symbols (16 bits, END after each document) to compressed symbols, rules and the rules' expansion lengths.
+
+    Ends when no pair occurs LEAST_COUNT times any more, or when the 16-bit
+    symbols are used up but for LEAST_ROOM, which would cost as many rounds
+    as all others.
+    """
     rules: list[np.ndarray] = []
     made, sizes = 0, np.ones(1 << 16, np.uint32)
-    for _ in range(ROUNDS):
-        room = END - base - made
-        if room <= 0 or len(symbols) < 2:
-            break
+    while (room := END - base - made) > LEAST_ROOM and len(symbols) > 1:
         keys = symbols[:-1].astype(np.uint32) << np.uint32(16) | symbols[1:]
         free = (symbols[:-1] != END) & (symbols[1:] != END)
         chosen = frequent_pairs(keys[free], LEAST_COUNT, min(room, RULES_A_ROUND))
         if not len(chosen):
             break
-        slot = lambda k: (k * np.uint32(0x9E3779B1)) >> np.uint32(32 - SLOTS)
-        table, rank = np.full(1 << SLOTS, 0xFFFFFFFF, np.uint32), np.full(1 << SLOTS, 1 << 30, np.int32)
-        at = slot(chosen)[::-1]  # where two share a slot the more frequent one, written last, stays
-        table[at], rank[at] = chosen[::-1], np.arange(len(chosen), dtype=np.int32)[::-1]
-        where = slot(keys)
-        ranks = np.where(table[where] == keys, rank[where], np.int32(1 << 30))
-        before, after = np.r_[np.int32(1 << 30), ranks[:-1]], np.r_[ranks[1:], np.int32(1 << 30)]
+        ranks = ranks_of(keys, chosen)
+        before, after = np.r_[NONE, ranks[:-1]], np.r_[ranks[1:], NONE]
         taken = np.flatnonzero((ranks < before) & (ranks <= after))
-        if not len(taken):
-            break
         used, new = np.unique(ranks[taken], return_inverse=True)
         rules.append(chosen[used])
         sizes[base + made : base + made + len(used)] = sizes[chosen[used] >> np.uint32(16)] + sizes[chosen[used] & np.uint32(0xFFFF)]
@@ -183,13 +198,15 @@ def write_ids(docs: DataFrame, scratch: Scratch, vocabulary: str = "word_bpe_49k
     """Encode docs (doc_id, text) and write the shards; the table of shards as read back.
 
     Null text is empty (the end id alone); null doc_ids come first; rows with
-    equal doc_id are ordered by their text. Other columns are not read. An
-    empty table gives an empty table.
+    equal doc_id are ordered by a hash of their text, then by it, so they may
+    go to several tasks. Other columns are not read. An empty table gives an
+    empty table.
     """
     spark = docs.sparkSession
     size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))  # of the files
     parts = min(max(size // bytes_a_part, 2 * spark.sparkContext.defaultParallelism), 1 << 20) if size > 1 << 20 else 1
-    ordered = docs.select("doc_id", "text").repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    ordered = docs.select("doc_id", "text", F.xxhash64("text").alias("h"))
+    ordered = ordered.repartitionByRange(parts, F.col("doc_id").asc_nulls_first(), "h").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "h", "text").drop("h")
     return scratch.keep("shards", ordered.mapInArrow(encode_partition(vocabulary, end_id, shard_tokens), SHARDS))
 
 
@@ -201,7 +218,7 @@ def read_ids(shards: DataFrame, end_id: int = 2) -> DataFrame:
     """
     sizes = shards.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     before = sizes.selectExpr("part", "sum(n) over (order by part rows between unbounded preceding and 1 preceding) as before_part")
-    firsts = shards.select("part", "shard", "n_tokens").join(F.broadcast(before), "part").selectExpr(
+    firsts = shards.select("part", "shard", "n_tokens").join(small_side(before), "part").selectExpr(
         "part", "shard", "coalesce(before_part, 0) + coalesce(sum(n_tokens) over (partition by part order by shard rows between unbounded preceding and 1 preceding), 0) as first"
     )
     return shards.join(firsts, ["part", "shard"]).select("first", "base", "doc_ids", "null_ids", "doc_lens", "rules", "lengths", "symbols").mapInArrow(decode_partition(end_id), RESULT)

@@ -28,16 +28,16 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 import public_tokenizers
 from tokenizers import Tokenizer
 
-#: Chunks remembered by a worker (about 200 bytes each); the memory is emptied when it is full.
-REMEMBERED = 500_000
+#: Chunks remembered by a worker (about 200 bytes each), in two halves: a full one takes the place of the older one.
+REMEMBERED = 700_000
 #: Longer chunks are not remembered.
 LONGEST = 64
 #: Two white-space characters in a row, as the Unicode property White_Space has them.
 DOUBLE_SPACE = re.compile("[\t-\r \x85\xa0  -     　]{2}")
-#: Bytes that may belong to white space other than a space or a line feed.
 #: Letters whose normal form does not depend on their neighbours, and stops that stand together in one pre-token.
 LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
 PLAIN = re.compile(f"([{LETTERS}]+)([,.;:!?]*)")
+#: Bytes that may belong to white space other than a space or a line feed.
 ODD_SPACE = (b"\t", b"\r", b"\x0b", b"\x0c", b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a", b"\xe2\x80", b"\xe2\x81", b"\xe3\x80")
 DOUBLE_ASCII = (b"  ", b"\n\n", b" \n", b"\n ")
 
@@ -46,6 +46,27 @@ def double_space(text: bytes) -> bool:
     return any(x in text for x in DOUBLE_ASCII) or any(x in text for x in ODD_SPACE) and bool(DOUBLE_SPACE.search(text.decode()))
 
 
+class Known(dict):
+    """Ids of chunks; a chunk that is not in hand comes from the older memory or is encoded."""
+
+    def __init__(self, enc: Encoder) -> None:
+        self.enc, self.old = enc, {}
+        self.tokenize, self.before = enc.tokenizer.model.tokenize, enc.before
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        if (ids := self.old.get(chunk)) is None:
+            if chunk.isalpha() and chunk.islower():  # ASCII
+                ids = array("H", [t.id for t in self.tokenize(self.before + chunk.decode())]).tobytes()
+            else:
+                ids = self.enc.new(chunk)
+        if len(chunk) <= LONGEST:
+            if len(self) >= REMEMBERED // 2:  # what is used again soon comes back from the older memory
+                self.old = dict(self)
+                self.clear()
+            self[chunk] = ids
+        return ids
+
+
 class Encoder:
     """Ids of whole UTF-8 texts as little-endian unsigned 16-bit integers."""
 
@@ -55,38 +76,31 @@ class Encoder:
             raise ValueError("ids of this vocabulary need more than 16 bits")
         self.specials = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.spaced = self.tokenizer.normalizer is None  # a space belongs to the word after it
-        self.known: dict[bytes, bytes] = {}
         self.forms = {ord(c): self.form(c) for c in map(chr, range(256)) if PLAIN.match(c)}
         self.before = self.form(" ") if self.spaced else ""
-        self.stops: dict[str, list[int]] = {}
+        self.stops: dict[str, bytes] = {}
+        self.known = Known(self)
 
     def form(self, letter: str) -> str:
         """What the model is given for a character."""
         normal = self.tokenizer.normalizer.normalize_str(letter) if self.tokenizer.normalizer else letter
         return "".join(piece for piece, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(normal))
 
-    def new(self, chunks: list[bytes]) -> list[bytes]:
-        """Ids of chunks that stand between white space; with a space before each where it belongs to the word."""
-        tokenize, forms, before, stops = self.tokenizer.model.tokenize, self.forms, self.before, self.stops
-        out, rest = [], []
-        for i, chunk in enumerate(chunks):
-            text = chunk.decode()
-            if not (plain := PLAIN.fullmatch(text)):
-                rest.append((i, f" {text}" if self.spaced else text))
-                out.append(b"")
-                continue
-            word, stop = plain.groups()
-            ids = [t.id for t in tokenize(before + word.translate(forms))]
-            if stop:
-                if (more := stops.get(stop)) is None:
-                    if len(stops) > 4096:
-                        stops.clear()
-                    more = stops[stop] = [t.id for t in tokenize(stop)]
-                ids += more
-            out.append(array("H", ids).tobytes())
-        for (i, _), ids in zip(rest, self.whole([x for _, x in rest])):
-            out[i] = ids
-        return out
+    def new(self, chunk: bytes) -> bytes:
+        """Ids of a chunk that stands between white space; with a space before it where that belongs to the word."""
+        text = chunk.decode()
+        if not (plain := PLAIN.fullmatch(text)):
+            return self.whole([f" {text}" if self.spaced else text])[0]
+        word, stop = plain.groups()
+        if stop:
+            if (more := self.stops.get(stop)) is None:
+                if len(self.stops) > 4096:
+                    self.stops.clear()
+                more = self.stops[stop] = array("H", [t.id for t in self.tokenizer.model.tokenize(stop)]).tobytes()
+            return self.known[chunk[: len(chunk) - len(stop)]] + more
+        if not (word.isascii() and word.islower()):
+            word = word.translate(self.forms)
+        return array("H", [t.id for t in self.tokenizer.model.tokenize(self.before + word)]).tobytes()
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [array("H", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -100,25 +114,19 @@ class Encoder:
     def text(self, text: bytes) -> bytes:
         if not text:
             return b""
+        found = self.chunks(text)
+        return self.one(text) if found is None else b"".join(found)
+
+    def chunks(self, text: bytes) -> list[bytes] | None:
+        """Ids of what stands between single spaces (or, where white space is dropped, any white space); None where a text must be encoded whole."""
         if any(s in text for s in self.specials) or self.spaced and double_space(text):
-            return self.one(text)
-        first = b""
+            return None
         if self.spaced:
             head, *chunks = text.split(b" ")
-            first = self.one(head) if head else b""
+            first = [self.one(head) if head else b""]
         else:
-            chunks = text.split()
-        known = self.known
-        found = list(map(known.get, chunks))
-        if None not in found:
-            return b"".join([first, *found])
-        new = list({c for c, x in zip(chunks, found) if x is None})
-        got = dict(zip(new, self.new(new)))
-        out = b"".join([first, *(got[c] if x is None else x for c, x in zip(chunks, found))])
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-        known.update(got if all(len(x) <= LONGEST for x in new) else {k: v for k, v in got.items() if len(k) <= LONGEST})
-        return out
+            chunks, first = text.split(), []
+        return first + list(map(self.known.__getitem__, chunks))
 
 
 @lru_cache(4)
