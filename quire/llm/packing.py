@@ -162,7 +162,8 @@ def pack(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", end_id: int = 0
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # a row for each length, capacity at most
     plan = best_fit_decreasing(histogram, capacity)
     before = counts.selectExpr("part", "length", "coalesce(sum(n) over (partition by length order by part rows between unbounded preceding and 1 preceding), 0) as before")
-    numbered = pieces.join(before, ["part", "length"]).withColumn("all_nth", F.col("before") + F.col("nth"))
+    # counts grow with tasks and lengths: joined by a shuffle of the pieces' few bytes at every size, never broadcast
+    numbered = pieces.join(before.hint("merge"), ["part", "length"]).withColumn("all_nth", F.col("before") + F.col("nth"))
     return numbered.select("doc_id", "piece", "start", "length", "ids_crc32", "all_nth").mapInArrow(place(plan), PACKED)
 
 
