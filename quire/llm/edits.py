@@ -25,14 +25,9 @@ CUT = re.compile(f"(?<=[^{WHITE}]) (?=[^{WHITE}])")
 DIGITS = re.compile("[0-9]+")
 COUNTS = "doc_id long, n_tokens long, n_edits long, n_tokens_after long, n_segments long, n_encoded_again long"
 
-Edit = tuple[int, int, str]  # first character, characters replaced, replacement
-
+TOKENS, CHARS, LEAF = 0, 1, 256
 
-def count_segments(raw: bytes) -> int:
-    """How many segments a UTF-8 text has; where no white space stands together, spaces inside the text are the cuts."""
-    if double_space(raw):
-        return len(CUT.findall(raw.decode())) + 1
-    return raw.count(b" ") - raw.startswith(b" ") - (raw.endswith(b" ") and len(raw) > 1) + bool(raw)
+Edit = tuple[int, int, str]  # first character, characters replaced, replacement
 
 
 def segments(text: str) -> list[str]:
@@ -45,71 +40,115 @@ def segments(text: str) -> list[str]:
 
 
 class SumTree:
-    """Sums over fixed leaves; a change costs as many steps as the tree is deep."""
+    """Sums of tokens, characters and segments over fixed leaves; a change costs as many steps as the tree is deep."""
 
     def __init__(self, leaves: np.ndarray) -> None:
         self.n = 1 << max(0, len(leaves) - 1).bit_length()
-        self.nodes = np.zeros(2 * self.n, np.int64)
+        self.nodes = np.zeros((2 * self.n, leaves.shape[1]), np.int64)
         self.nodes[self.n : self.n + len(leaves)] = leaves
         a = self.n
         while a > 1:
             self.nodes[a // 2 : a] = self.nodes[a : 2 * a : 2] + self.nodes[a + 1 : 2 * a : 2]
             a //= 2
 
-    def set(self, leaf: int, value: int) -> None:
+    def set(self, leaf: int, values: tuple[int, ...]) -> None:
         i = leaf + self.n
-        change = value - int(self.nodes[i])
-        while i and change:
+        change = np.array(values) - self.nodes[i]
+        while i and change.any():
             self.nodes[i] += change
             i >>= 1
 
+    def find(self, at: int) -> int:
+        """The leaf that holds a character."""
+        i = 1
+        while i < self.n:
+            left = int(self.nodes[2 * i, CHARS])
+            i, at = (2 * i, at) if at < left else (2 * i + 1, at - left)
+        return i - self.n
+
+    def before(self, leaf: int) -> int:
+        """Characters before a leaf."""
+        i, out = leaf + self.n, 0
+        while i > 1:
+            out += int(self.nodes[i - 1, CHARS]) if i & 1 else 0
+            i >>= 1
+        return out
+
     @property
     def total(self) -> int:
-        return int(self.nodes[1])
+        return int(self.nodes[1, TOKENS])
 
 
 class CountedText:
-    """A text, its segments and their counts; edits are given in characters of the first text and do not overlap."""
+    """A text as a tree of segments with their counts; batches of edits may follow one another.
 
-    def __init__(self, text: str, enc: Encoder) -> None:
-        self.enc, self.segments = enc, segments(text)
-        self.tree = SumTree(np.array([self.count(x) for x in self.segments], np.int64))
-        self.ends = np.cumsum([len(x) for x in self.segments])
-        self.encoded_again = 0
+    An edit puts the new segments of the region it touches into the region's
+    first leaf and empties the others; a leaf of more than LEAF segments makes
+    the tree anew from the counts at hand.
+    """
+
+    def __init__(self, text: str, enc: Encoder, counts: list[int] | None = None) -> None:
+        self.enc, self.encoded_again = enc, 0
+        cut = segments(text)
+        self.plant(cut, counts if counts is not None else [self.count(x) for x in cut])
+
+    def plant(self, cut: list[str], counts: list[int]) -> None:
+        self.leaves = [([x], [n]) for x, n in zip(cut, counts)] or [([], [])]
+        self.tree = SumTree(np.stack([counts, list(map(len, cut)), np.ones(len(cut), np.int64)], 1) if cut else np.zeros((1, 3), np.int64))
 
     def count(self, segment: str) -> int:
         if segment.startswith(" ") and (known := self.enc.known.get(segment[1:].encode())) is not None:
             return len(known) // 2
         return len(self.enc.text(segment.encode())) // 2
 
+    @property
+    def segments(self) -> list[str]:
+        return [x for leaf, _ in self.leaves for x in leaf]
+
+    @property
+    def counts(self) -> list[int]:
+        return [n for _, leaf in self.leaves for n in leaf]
+
+    @property
+    def text(self) -> str:
+        return "".join(self.segments)
+
+    def beside(self, leaf: int, step: int) -> int:
+        """The next leaf that is not empty on one side, or the last there is."""
+        leaf += step
+        while 0 < leaf < len(self.leaves) - 1 and not self.leaves[leaf][0]:
+            leaf += step
+        return min(max(leaf, 0), len(self.leaves) - 1)
+
     def apply(self, edits: list[Edit]) -> int:
-        """Apply edits (sorted; one that overlaps the one before it is left out); how many were applied."""
-        done, last = 0, 0
+        """Apply edits, given in characters of the text as it is (one that overlaps the one before it is left out); how many were applied."""
+        done, last, total = 0, 0, int(self.tree.nodes[1, CHARS])
         groups: list[tuple[int, int, list[Edit]]] = []
         for at, length, new in sorted(edits, key=lambda e: (e[0], e[1])):
-            total = int(self.ends[-1]) if len(self.ends) else 0
             if at < last or at < 0 or length < 0 or at + length > total:
                 continue
             last, done = at + length, done + 1
-            first = max(0, int(np.searchsorted(self.ends, max(at - 1, 0), "right")) - 1) if len(self.ends) else 0
-            stop = min(len(self.segments), int(np.searchsorted(self.ends, at + length, "right")) + 2)
+            first = self.beside(self.tree.find(max(at - 1, 0)), -1)
+            stop = self.beside(self.tree.find(max(min(at + length, total - 1), 0)), 1) + 1
             if groups and first < groups[-1][1]:  # contexts that meet are encoded together
                 groups[-1] = (groups[-1][0], max(stop, groups[-1][1]), [*groups[-1][2], (at, length, new)])
             else:
                 groups.append((first, stop, [(at, length, new)]))
-        for first, stop, some in groups:
-            begin = int(self.ends[first - 1]) if first else 0
-            old, parts, pos = "".join(self.segments[first:stop]), [], 0
+        begins = [self.tree.before(first) for first, _, _ in groups]
+        for begin, (first, stop, some) in zip(begins, groups):
+            old, parts, pos = "".join(x for leaf, _ in self.leaves[first:stop] for x in leaf), [], 0
             for at, length, new in some:
                 parts += [old[pos : at - begin], new]
                 pos = at - begin + length
-            new_segments = segments("".join([*parts, old[pos:]]))
-            self.encoded_again += len(new_segments)
-            value = sum(map(self.count, new_segments))
-            if first == stop:  # an empty text has no segment yet
-                self.tree = SumTree(np.array([value], np.int64))
+            cut = segments("".join([*parts, old[pos:]]))
+            counts = [self.count(x) for x in cut]
+            self.encoded_again += len(cut)
             for i in range(first, stop):
-                self.tree.set(i, value if i == first else 0)
+                mine = (cut, counts) if i == first else ([], [])
+                self.leaves[i] = mine
+                self.tree.set(i, (sum(mine[1]), sum(map(len, mine[0])), len(mine[0])))
+        if any(len(self.leaves[first][0]) > LEAF for first, _, _ in groups):
+            self.plant(self.segments, self.counts)
         return done
 
 
@@ -118,35 +157,73 @@ def digit_runs(text: str) -> list[Edit]:
     return [(m.start(), m.end() - m.start(), "0") for m in DIGITS.finditer(text)]
 
 
-def count_with_edits(docs: DataFrame, editor: Callable[[str], list[Edit]] | None = None, vocabulary: str = "byte_bpe_50k.json") -> DataFrame:
-    """Token counts of docs before and after edits.
+TREES = "doc_id long, text string, counts binary"
 
-    Edits come from the column edits (array<struct<at int, length int, new
-    string>>) or from editor. A null text is empty and takes insertions at 0;
-    null edits are none; edits outside the text or overlapping an earlier one
-    are left out. Rows with equal or null doc_id are counted each by itself.
+
+def count_leaves(enc: Encoder, raw: bytes) -> list[int]:
+    """Tokens of each segment of a text."""
+    if raw and not raw.startswith(b" ") and not raw.endswith(b" ") and (found := enc.chunks(raw)) is not None:
+        return [len(x) // 2 for x in found]
+    return [len(enc.text(x.encode())) // 2 for x in segments(raw.decode())]
+
+
+def build_trees(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", extra: tuple[str, ...] = ()) -> DataFrame:
+    """trees(doc_id, text, counts) of docs (doc_id, text): a tree by its leaves, little-endian unsigned 32-bit counts of the text's segments.
+
+    A null text is empty and has no leaf. Rows with equal or null doc_id have
+    a tree each. Columns named in extra go along.
     """
     Scratch(docs.sparkSession, "edits")
-    columns = ["doc_id", "text"] + ["edits"] * (editor is None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(vocabulary)
         for batch in batches:
-            rows = []
-            given = batch.column(2).to_pylist() if editor is None else None
-            for i, (doc, raw) in enumerate(zip(batch.column(0).to_pylist(), utf8(batch, "text"))):
-                text = raw.decode()
+            texts = utf8(batch, "text")
+            counts = [np.array(count_leaves(enc, x), "<u4").tobytes() for x in texts]
+            columns = [batch.column(0), pa.array([x.decode() for x in texts]), pa.array(counts, pa.binary())]
+            yield pa.RecordBatch.from_arrays([*columns, *batch.columns[2:]], names=["doc_id", "text", "counts", *extra])
+
+    docs = docs.select("doc_id", "text", *extra)
+    return docs.mapInArrow(run, ", ".join([TREES, *(f"{c} {docs.schema[c].dataType.simpleString()}" for c in extra)]))
+
+
+def edit_trees(trees: DataFrame, editor: Callable[[str], list[Edit]] | None = None, vocabulary: str = "byte_bpe_50k.json", keep: bool = True) -> DataFrame:
+    """Trees after edits, and the counts: doc_id, n_tokens, n_edits, n_tokens_after, n_segments, n_encoded_again; with keep also text and counts, so that more edits may follow.
+
+    Edits come from the column edits (array<struct<at int, length int, new
+    string>>) or from editor. Null edits are none; edits outside the text or
+    overlapping an earlier one are left out. Only the segments that edits
+    touch, and one either side, are encoded; other trees are summed.
+    """
+    columns = ["doc_id", "text", "counts"] + ["edits"] * (editor is None)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoder(vocabulary)
+        for batch in batches:
+            rows, given = [], batch.column(3).to_pylist() if editor is None else None
+            for i, (doc, raw, leaves) in enumerate(zip(batch.column(0).to_pylist(), utf8(batch, "text"), batch.column(2).to_pylist())):
+                text, counts = raw.decode(), np.frombuffer(leaves, "<u4")
                 edits = editor(text) if editor else [(e["at"], e["length"], e["new"] or "") for e in given[i] or [] if e]
+                before = int(counts.sum())
+                row = (doc, before, 0, before, len(counts), 0, text, leaves)
                 if edits:
-                    counted = CountedText(text, enc)
-                    before, n = counted.tree.total, counted.apply(edits)
-                    rows.append((doc, before, n, counted.tree.total, len(counted.segments), counted.encoded_again))
-                else:
-                    n = len(enc.text(raw)) // 2
-                    rows.append((doc, n, 0, n, count_segments(raw), 0))
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*rows) if rows else [[]] * 6)], names=["doc_id", "n_tokens", "n_edits", "n_tokens_after", "n_segments", "n_encoded_again"])
-
-    return docs.select(*columns).mapInArrow(run, COUNTS)
+                    tree = CountedText(text, enc, counts.tolist())
+                    n = tree.apply(edits)
+                    row = (doc, before, n, tree.tree.total, len(counts), tree.encoded_again, tree.text if keep else None, np.array(tree.counts, "<u4").tobytes() if keep else None)
+                rows.append(row)
+            types = [*[pa.int64()] * 6, pa.string(), pa.binary()]
+            names = [*(x.split()[0] for x in COUNTS.split(", ")), "text", "counts"]
+            arrays = [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 8, types)]
+            yield pa.RecordBatch.from_arrays(arrays if keep else arrays[:6], names=names if keep else names[:6])
+
+    return trees.select(*columns).mapInArrow(run, f"{COUNTS}, text string, counts binary" if keep else COUNTS)
+
+
+def count_with_edits(docs: DataFrame, editor: Callable[[str], list[Edit]] | None = None, vocabulary: str = "byte_bpe_50k.json") -> DataFrame:
+    """Token counts of docs before and after edits, through stored trees; see build_trees and edit_trees. An empty table gives no rows."""
+    scratch = Scratch(docs.sparkSession, "edits")
+    trees = scratch.keep("trees", build_trees(docs, vocabulary, () if editor else ("edits",)))
+    return edit_trees(trees, editor, vocabulary, keep=False)
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
