@@ -45,11 +45,11 @@ from .common import BROADCAST_ROWS, Scratch, free_names, mix64, small_side, utf8
 WORDS, PERCENT, ORDERS, FRAGMENTS = 5, 80, 2, 8
 SMALL, BLOCK, BLOCK_GRAMS, COLUMNS = 16, 512, 1 << 21, 2048
 #: N-grams that are put last in the order: those counted most often, from SEEN times on.
-FREQUENT, SEEN, COUNTED_AT_ONCE = 1 << 20, 2, 6_000_000
+FREQUENT, SEEN, COUNTED_AT_ONCE = 1 << 20, 2, 2_500_000
 #: Keys of frequent n-grams begin here; below are 62-bit hashes.
 FIRST_FREQUENT = 1 << 62
-DEALT_AT_ONCE = 1_000_000
-REMEMBERED = 400_000
+DEALT_AT_ONCE = 600_000
+REMEMBERED = 200_000
 #: Pairs of one end that go to one group, and n-grams that a group is made for.
 PARTNERS, GROUP_GRAMS = 512, 4 << 20
 #: Bytes of a table's files for which a task of prefixes is made.
