@@ -20,13 +20,15 @@ BROADCAST_ROWS = 1_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where the session names none."""
+    """The folder that driver and executors share; one of our own only under a local master whose session names none."""
     conf = spark.sparkContext.getConf()
     found = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
     if spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         return spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
     return LOCAL_CHECKPOINTS
 
 

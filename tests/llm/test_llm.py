@@ -4,10 +4,12 @@ import hashlib
 import math
 import zlib
 from collections import Counter
+from time import process_time
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from quire.llm import decontam, edits, jaccard, lattice, linededup, packing, repair, suffix, topk, toxicity
@@ -129,7 +131,7 @@ def test_edits(docs, rows, empty):
     for text in (" ", "a", " a", "a ", " a b ", "a b\nc d", "a  b c", "a\n b c", "", "é\u2003b c", "x\u2003 y z"):
         at = [0, *(m.start() for m in edits.CUT.finditer(text)), len(text)]
         cut = [text[a:b] for a, b in zip(at, at[1:]) if b > a]
-        assert edits.segments(text) == cut and edits.count_segments(text.encode()) == len(cut), repr(text)
+        assert edits.segments(text) == cut and len(edits.count_leaves(e, text.encode())) == len(cut), repr(text)
     text = "the cat  sat on\n the mat"
     some = edits.CountedText(text, e)
     assert some.apply([(4, 3, ""), (20, 3, "big  mat"), (5, 1, "no")]) == 2
@@ -137,6 +139,27 @@ def test_edits(docs, rows, empty):
     assert edits.count_with_edits(empty, edits.digit_runs).count() == 0
 
 
+def test_batches_of_edits_follow_one_another():
+    e, rng = encoder("byte_bpe_50k.json"), np.random.default_rng(11)
+    letters = list("ab c \n  1é")
+    for _ in range(60):
+        text = "".join(rng.choice(letters, int(rng.integers(0, 60))))
+        tree = edits.CountedText(text, e)
+        for _ in range(6):
+            some, at = [], 0
+            while at <= len(text) and len(some) < 3:
+                at += int(rng.integers(0, 12))
+                n = int(rng.integers(0, 4))
+                if at + n <= len(text):
+                    some.append((at, n, "".join(rng.choice(letters, int(rng.integers(0, 7))))))
+                at += n
+            assert tree.apply(some) == len(some)
+            for a, n, new in reversed(some):
+                text = text[:a] + new + text[a + n :]
+            assert tree.text == text and tree.counts == edits.count_leaves(e, text.encode())
+            assert tree.tree.total == len(e.tokenizer.encode(text, add_special_tokens=False).ids) == sum(tree.counts)
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(1)
     vectors = [(i, [float(x) for x in rng.normal(size=6)]) for i in range(101)] + [(200, None), (201, [1.0] * 5 + [float("nan")]), (None, [9.0] * 6), (150, [0.5] * 6), (151, [0.5] * 6)]
@@ -148,6 +171,11 @@ def test_top_k(spark):
         best = sorted(((-sum(a * b for a, b in zip(ints[q], v)), i) for i, v in ints.items() if i != q))[:5]
         assert sorted(got[q]) == [(k + 1, i, -s) for k, (s, i) in enumerate(best)]
     assert len(got) == 4
+    huge = [(0, [1e12, -3.0, 0.5]), (1, [2.0, 1.0, 1.0]), (2, [1e12, 1.0, 1.0]), (3, [1e300, 0.0, 0.0]), (4, [0.1, 0.2, 0.3])]  # scores that pass 64 bits are given as the nearest long
+    got = [(r["rank"], r["vec_id"], r["score"]) for r in topk.top_k(spark.createDataFrame(huge, "vec_id long, embedding array<double>")).collect()]
+    q = [256 * 10**12, -768, 128]
+    assert sorted(got) == [(1, 3, 2**63 - 1), (2, 2, 2**63 - 1), (3, 1, q[0] * 512 - 768 * 256 + 128 * 256), (4, 4, q[0] * 25 - 768 * 51 + 128 * 76)]
+    assert topk.top_k(spark.createDataFrame([], "vec_id long, embedding array<double>")).count() == 0
 
 
 def test_segments():
@@ -160,6 +188,49 @@ def test_segments():
         assert all(b <= c for (_, _, b), (_, c, _) in zip(sorted(found, key=lambda x: x[1]), sorted(found, key=lambda x: x[1])[1:]))
 
 
+def test_all_maximal_segments():
+    """Against the definition: the best segment, then the same left and right of it."""
+
+    def brute(s, at):
+        best = max(((s[a:b].sum(), a, b) for a in range(len(s)) for b in range(a + 1, len(s) + 1)), default=(0, 0, 0))
+        if best[0] <= 0:
+            return []
+        _, a, b = best
+        return [*brute(s[:a], at), (at + a, at + b), *brute(s[b:], at + b)]
+
+    rng = np.random.default_rng(8)
+    for _ in range(300):
+        s = rng.normal(size=int(rng.integers(0, 14)))
+        assert sorted((a, b) for _, a, b in toxicity.maximal_segments(s)) == brute(s, 0)
+
+
+def test_bins_of_plain_best_fit_decreasing():
+    rng = np.random.default_rng(9)
+    for _ in range(120):
+        capacity = int(rng.integers(1, 30))
+        lengths = rng.integers(1, capacity + 1, int(rng.integers(0, 60))).tolist()
+        rooms: list[int] = []
+        for x in sorted(lengths, reverse=True):
+            fits = [r for r in rooms if r >= x]
+            if fits:
+                rooms[rooms.index(min(fits))] -= x
+            else:
+                rooms.append(capacity - x)
+        plan = packing.best_fit_decreasing(dict(Counter(lengths)), capacity)
+        made, ends = {}, sorted(plan)
+        for i, (length, nth, first, offset) in enumerate(ends):
+            stop = ends[i + 1][1] if i + 1 < len(ends) and ends[i + 1][0] == length else Counter(lengths)[length]
+            for k in range(stop - nth):
+                made.setdefault(first + k, []).append((offset, length))
+        assert len(made) == len(rooms) and sum(map(len, made.values())) == len(lengths)
+        for x in made.values():
+            at = 0
+            for offset, length in sorted(x):
+                assert offset == at
+                at += length
+            assert at <= capacity
+
+
 def test_toxicity(spark):
     rng = np.random.default_rng(4)
     rows = [(i, words(rng, 60) + (" vile filth scum" if i % 5 == 0 else ""), int(i % 5 == 0)) for i in range(400)] + [(900, None, 0), (901, "", 0)]
@@ -184,11 +255,22 @@ def test_curve_is_fitted_on_the_evidence_that_is_scored():
 def test_line_spread(spark):
     line = "the same boilerplate line"
     rows = [(i, f"own text of {i}\n {line}\nshort\n", f"site{i % 12}") for i in range(30)] + [(99, None, "site0"), (100, "", None), (101, line, None)]
-    got = {r["doc_id"]: r for r in linededup.drop_spread_lines(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    every = {r["doc_id"]: r for r in linededup.drop_spread_lines(docs).collect()}
+    assert all(every[i]["text"] == f"own text of {i}\n" and every[i]["n_removed"] == 2 for i in range(30))  # the short line too
+    clashing = docs.withColumns({c: F.lit(5) for c in ("t", "d", "k", "where", "__t", "n_lines")})
+    kept = linededup.drop_spread_lines(clashing).where("doc_id = 3").first()
+    assert (kept["text"], kept["t"], kept["__t"], kept["where"], kept["n_lines"]) == (every[3]["text"], 5, 5, 5, 4)
+    got = {r["doc_id"]: r for r in linededup.drop_spread_lines(docs, min_chars=10).collect()}
     assert all(got[i]["text"] == f"own text of {i}\nshort\n" and got[i]["n_removed"] == 1 for i in range(30))
     assert got[99]["text"] is None and got[99]["n_lines"] == 0 and got[100]["n_lines"] == 1 and got[101]["text"] == ""
 
 
+def held(item, text):
+    reader = decontam.Reader()
+    return decontam.Item(item.encode(), reader).held_by(reader.read(text.encode()))
+
+
 def test_leaks(spark):
     item = "A train leaves the town of Ulm at 9 and covers 120 km in 3 hours before the train from Ulm stops for 9 minutes"
     other = item.replace("Ulm", "Bonn").replace("120", "250").replace("9", "7").replace(" 3 ", " 4 ")
@@ -198,33 +280,58 @@ def test_leaks(spark):
     got = {r["doc_id"]: r for r in decontam.mark_leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(7, item), (8, None), (9, "short one")], "item_id long, text string")).collect()}
     assert [got[i]["contaminated"] for i in range(1, 7)] == [True, True, False, False, False, True]
     assert got[1]["kind"] == "verbatim" and got[2]["kind"] == "re-parameterised" and got[1]["item_id"] == 7
-    bench = decontam.Benchmark([(7, item.encode())])
-    assert bench.find(decontam.Reader(), wrong.encode()) is None  # one value of a slot would stand for two
+    assert held(item, wrong) is None  # one value of a slot would stand for two
+
+
+def test_leaks_of_odd_tables(spark):
+    item = "the quick brown fox jumps over the lazy dog near a river bank in spring"
+    docs = spark.createDataFrame([(1, item, 7), (1, item, 8), (None, item, 9), (2, "x y z", 1)], "doc_id long, text string, t long").withColumn("kind", F.lit("old"))
+    bench = spark.createDataFrame([(5, item), (5, item), (None, item)], "item_id long, text string")
+    got = decontam.mark_leaks(docs, bench)
+    assert got.columns == ["doc_id", "text", "t", "contaminated", "item_id", "coverage", "kind"]
+    assert sorted((r["t"], r["contaminated"], r["item_id"], r["kind"]) for r in got.collect()) == [(1, False, None, None), (7, True, 5, "verbatim"), (8, True, 5, "verbatim"), (9, True, 5, "verbatim")]
+    assert decontam.mark_leaks(docs.limit(0), bench).count() == 0
+    assert {r["contaminated"] for r in decontam.mark_leaks(docs, bench.limit(0)).collect()} == {False}
+
+
+def test_leaks_against_every_pair(spark):
+    """The windows' join finds what reading every item against every document finds."""
+    rng = np.random.default_rng(12)
+    items = [words(rng, int(n), 60) for n in rng.integers(3, 40, 25)]
+    texts = [words(rng, int(n), 60) for n in rng.integers(0, 120, 40)]
+    for i in range(0, 40, 3):
+        piece = items[i % 25].split()
+        texts[i] = " ".join([*texts[i].split()[:20], *piece[: max(1, len(piece) * int(rng.integers(5, 11)) // 10)], *texts[i].split()[20:]])
+    reader, want = decontam.Reader(), {}
+    for d, text in enumerate(texts):
+        found = [(h[1] == "verbatim", h[0], -i) for i, item in enumerate(items) if (h := decontam.Item(item.encode(), reader).held_by(reader.read(text.encode())))]
+        want[d] = (-max(found)[2], round(max(found)[1], 9)) if found else None
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = decontam.mark_leaks(docs, spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).collect()
+    assert {r["doc_id"]: (r["item_id"], round(r["coverage"], 9)) if r["contaminated"] else None for r in got} == want
+    assert sum(x is not None for x in want.values()) >= 4
 
 
 def test_leaks_by_sentence_openers():
     item = "Alice buys 12 pens at 3 dollars each. Alice then sells 5 pens to Bob. How many pens are left with Alice now?"
     other = item.replace("Alice", "Mary").replace("Bob", "Tom").replace("12", "40").replace("3", "7").replace("5", "9")
-    bench, reader = decontam.Benchmark([(7, item.encode())]), decontam.Reader()
-    assert bench.find(reader, f"Some words before. {other} And some behind.".encode()) == (0, 1.0, "re-parameterised")
-    assert bench.find(reader, other.replace("Mary then", "Eve then").encode()) is None  # Alice would stand for two
+    assert held(item, f"Some words before. {other} And some behind.") == (1.0, "re-parameterised")
+    assert held(item, other.replace("Mary then", "Eve then")) is None  # Alice would stand for two
 
 
 def test_leaks_by_values_of_other_lengths():
     item = "we know that in the year 1990 a man called Anna walked 5 km from the old city of Paris to the next town and then he came back with some bread for his wife and their young children at home"
-    reader, bench = decontam.Reader(), decontam.Benchmark([(7, item.encode())])
     one = item.replace("Paris", "New York").replace("1990", "1812")
     more = one.replace("Anna", "Anna Maria").replace("5 km", "6km")
     for text in (one, more, more.replace("6km", "6")):
-        assert bench.find(reader, f"a b {text} c d".encode()) == (0, 1.0, "re-parameterised"), text
+        assert held(item, f"a b {text} c d") == (1.0, "re-parameterised"), text
     longer = one.replace("New York", "Bad van der Berg").replace("1812", "1 812")  # no run of names: two offsets
-    assert bench.find(reader, longer.encode())[2] == "re-parameterised"
+    assert held(item, longer)[1] == "re-parameterised"
     twice = "the town of Ulm lies by a river and people in Ulm like to swim there"
-    bench = decontam.Benchmark([(7, twice.encode())])
-    assert bench.find(reader, twice.replace("Ulm", "New York").encode())[2] == "re-parameterised"
-    assert bench.find(reader, twice.replace("Ulm", "New York", 1).replace("Ulm", "Rome").encode()) is None
+    assert held(twice, twice.replace("Ulm", "New York"))[1] == "re-parameterised"
+    assert held(twice, twice.replace("Ulm", "New York", 1).replace("Ulm", "Rome")) is None
     split = twice.replace("Ulm", "12 000")
-    assert decontam.Benchmark([(7, split.encode())]).find(reader, split.replace("12 000", "7500").encode())[2] == "re-parameterised"
+    assert held(split, split.replace("12 000", "7500"))[1] == "re-parameterised"
 
 
 def test_packing(docs, rows, empty):
@@ -258,7 +365,6 @@ def test_lattice(spark, docs, rows, empty):
     assert lattice.score_corpus(empty, held, "lang").count() == 0
     p = lattice.pieces("piece_bpe_32k.model")
     word = np.frombuffer(b"other", np.uint8).reshape(1, -1).astype(np.uint64)
-    ways = {}
 
     def spell(at, begins):
         if at == 5:
@@ -273,7 +379,7 @@ def test_lattice(spark, docs, rows, empty):
                     total += math.exp(p.first[i]) * extra * spell(j, False)
         return total
 
-    assert math.isclose(lattice.forward(p, p.first[None], word)[0, 0], math.log(spell(0, True)), rel_tol=1e-9) and not ways
+    assert math.isclose(lattice.forward(p, p.first[None], word)[0, 0], math.log(spell(0, True)), rel_tol=1e-9)
 
 
 @pytest.mark.parametrize("text", ["international", "understanding", "населения", "internationalx", "reconfiguration"])
@@ -293,3 +399,19 @@ def test_lattice_holds_the_longest_pieces(text):
     words = np.frombuffer(raw + b"z" * len(raw), np.uint8).reshape(2, -1).astype(np.uint64)
     got = [(i, j, begins) for i, j, ids, begins in lattice.arcs(p, words) if ids[0] >= 0]
     assert len(got) == len(set(got)) and set(got) == want and max(j - i for i, j, _ in got) > 12
+
+
+def test_long_words_sum_as_short_ones(monkeypatch):
+    p, rng = lattice.pieces("piece_bpe_32k.model"), np.random.default_rng(6)
+    weights = np.stack([p.first, np.log(rng.dirichlet(np.ones(p.n)))])
+    for raw in (b"internationalisation-of-understanding", bytes(rng.integers(97, 123, 150).astype(np.uint8)), b"a", "naseleniye населения".replace(" ", "").encode()):
+        word = np.frombuffer(raw, np.uint8).reshape(1, -1).astype(np.uint64)
+        times = np.array([[2.0], [3.0]])
+        short = lattice.forward(p, weights, word), lattice.expected(p, weights, word, times)
+        monkeypatch.setattr(lattice, "LONG", 0)
+        long = lattice.forward(p, weights, word), lattice.expected(p, weights, word, times)
+        monkeypatch.undo()
+        assert np.allclose(short[0], long[0], rtol=1e-9) and np.allclose(short[1], long[1], rtol=1e-6, atol=1e-12)
+    began = process_time()
+    lattice.forward(p, weights, rng.integers(97, 123, (1, 20_000)).astype(np.uint64))
+    assert process_time() - began < 10
