@@ -9,14 +9,15 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 LOCAL_CHECKPOINTS = "/tmp/checkpoints"
 #: Bytes of Arrow data handed to a Python worker at once.
 BATCH_BYTES = 16 << 20
-#: Rows of a table that may be broadcast; larger ones are joined by a shuffle.
-BROADCAST_ROWS = 1_000_000
+#: Rows and bytes of a table that may be broadcast; larger ones are joined by a shuffle.
+BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 64 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -69,9 +70,34 @@ class Scratch:
         self.spark.sparkContext._jvm.System.gc()
 
 
-def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """df with a broadcast hint if it has at most so many rows; the count is taken first, larger tables are shuffled."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def _bytes_of(value: Column, kind: T.DataType) -> Column:
+    """About how many bytes a value takes in a row, whatever its type holds."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        size = F.octet_length(value) + 16
+    elif isinstance(kind, T.ArrayType):
+        size = F.aggregate(value, F.lit(24).cast("long"), lambda n, x: n + F.coalesce(_bytes_of(x, kind.elementType), F.lit(8)))
+    elif isinstance(kind, T.StructType):
+        size = sum((_bytes_of(value[f.name], f.dataType) for f in kind.fields), F.lit(8))
+    else:
+        size = F.lit(8)
+    return F.coalesce(size.cast("long"), F.lit(8).cast("long"))
+
+
+def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Whether df has at most so many rows and bytes, both counted."""
+    each = sum((_bytes_of(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields), F.lit(8).cast("long"))
+    got = df.limit(rows + 1).agg(F.count("*").alias("rows"), F.sum(each).alias("size")).first()
+    return got["rows"] <= rows and (got["size"] or 0) <= size
+
+
+def small_side(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """df with a broadcast hint if its counted rows and bytes allow it; larger tables are shuffled."""
+    return F.broadcast(df) if fits_broadcast(df, rows, size) else df
+
+
+def text_bytes(docs: DataFrame) -> int:
+    """Bytes of the column text, counted: the statistics of a plan know them for plain files only."""
+    return docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
 
 
 def free_names(df: DataFrame, *names: str) -> list[str]:

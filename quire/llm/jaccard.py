@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, Scratch, free_names, mix64, small_side, utf8
+from .common import BROADCAST_ROWS, Scratch, free_names, mix64, small_side, text_bytes, utf8
 
 WORDS, PERCENT, ORDERS, FRAGMENTS = 5, 80, 2, 8
 SMALL, BLOCK, BLOCK_GRAMS, COLUMNS = 16, 512, 1 << 21, 2048
@@ -52,8 +52,8 @@ DEALT_AT_ONCE = 600_000
 REMEMBERED = 200_000
 #: Pairs of one end that go to one group, and n-grams that a group is made for.
 PARTNERS, GROUP_GRAMS = 512, 4 << 20
-#: Bytes of a table's files for which a task of prefixes is made.
-BYTES_A_BUCKET, MOST_BUCKETS = 8 << 20, 1 << 16
+#: Bytes of texts for which a task of prefixes is made.
+BYTES_A_BUCKET = 16 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -430,9 +430,8 @@ def families(placed: DataFrame, large: DataFrame, scratch: Scratch) -> DataFrame
 
 
 def buckets_for(docs: DataFrame) -> int:
-    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(MOST_BUCKETS, max(48, partitions, size // BYTES_A_BUCKET))
+    """As many tasks of prefixes as the texts' bytes need, and no fewer than other shuffles have."""
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-text_bytes(docs) // BYTES_A_BUCKET))
 
 
 def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, frequent: int = FREQUENT, fragments: int = FRAGMENTS, seed: int = 0) -> DataFrame:

@@ -50,16 +50,16 @@ def drop_spread_lines(docs: DataFrame, min_sites: int = MIN_SITES, min_chars: in
     """
     scratch = Scratch(docs.sparkSession, "linededup")
     gone = small_side(spread_lines(docs, scratch, min_sites, min_chars))
-    t, d, k, where = free_names(docs, "t", "d", "k", "where")
+    t, d, k, where, split = free_names(docs, "t", "d", "k", "where", "split")
     placed = docs.select("doc_id", F.xxhash64("text").alias("t"), F.posexplode(F.split("text", "\n")).alias("at", "line")).select("doc_id", "t", "at", _stripped("line").alias("line"))
     placed = placed.where(F.length("line") >= min_chars).select("doc_id", "t", "at", F.xxhash64("line").alias("h"), F.length("line").alias("n"))
     hits = placed.join(gone, ["h", "n"], "left_semi").groupBy("doc_id", "t").agg(F.collect_set("at").alias("at"))
     hits = hits.select(F.col("doc_id").alias(d), F.col("t").alias(k), F.col("at").alias(where))
     joined = docs.withColumn(t, F.xxhash64("text")).join(hits, F.col("doc_id").eqNullSafe(F.col(d)) & (F.col(t) == F.col(k)), "left")
-    lines = F.split("text", "\n")
-    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), where)  # by hashing, in order
-    kept = F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n")
-    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines))
+    joined = joined.withColumn(split, F.split("text", "\n"))  # a column of its own, which is used several times: split once, not once a line
+    stay = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), where)  # by hashing, in order
+    kept = F.array_join(F.transform(stay, lambda i: F.get(F.col(split), i)), "\n")
+    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(split))
     return joined.select(
         *(F.col(c) for c in docs.columns if c not in ("text", "n_lines", "n_removed")),
         n_lines.cast("long").alias("n_lines"),

@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, small_side, utf8
+from .common import Scratch, small_side, text_bytes, utf8
 from .tokens import encoder
 
 END = 0xFFFF
@@ -203,8 +203,8 @@ def write_ids(docs: DataFrame, scratch: Scratch, vocabulary: str = "word_bpe_49k
     empty table.
     """
     spark = docs.sparkSession
-    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))  # of the files
-    parts = min(max(size // bytes_a_part, 2 * spark.sparkContext.defaultParallelism), 1 << 20) if size > 1 << 20 else 1
+    size = text_bytes(docs)
+    parts = max(-(-size // bytes_a_part), 2 * spark.sparkContext.defaultParallelism) if size > 1 << 20 else 1
     ordered = docs.select("doc_id", "text", F.xxhash64("text").alias("h"))
     ordered = ordered.repartitionByRange(parts, F.col("doc_id").asc_nulls_first(), "h").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "h", "text").drop("h")
     return scratch.keep("shards", ordered.mapInArrow(encode_partition(vocabulary, end_id, shard_tokens), SHARDS))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from quire.llm import decontam, edits, jaccard, lattice, linededup, packing, repair, suffix, topk, toxicity
-from quire.llm.common import Scratch
+from quire.llm.common import Scratch, fits_broadcast, text_bytes
 from quire.llm.tokens import encoder
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -415,3 +415,19 @@ def test_long_words_sum_as_short_ones(monkeypatch):
     began = process_time()
     lattice.forward(p, weights, rng.integers(97, 123, (1, 20_000)).astype(np.uint64))
     assert process_time() - began < 10
+
+
+def test_tasks_follow_counted_bytes(spark, docs, rows):
+    """Neither rows made on the driver nor a join have statistics; a table of a few rows gets a few tasks all the same."""
+    joined = docs.join(spark.range(1000).toDF("doc_id"), "doc_id")
+    for d in (docs, joined):
+        assert text_bytes(d) == sum(len((x or "").encode()) for _, x, *_ in rows)
+        assert jaccard.buckets_for(d) == 4
+    assert repair.write_ids(joined, Scratch(spark, "t")).select("part").distinct().count() == 1
+    assert fits_broadcast(docs) and not fits_broadcast(docs, size=1000) and not fits_broadcast(docs, rows=3)
+
+
+def test_line_rebuild_is_linear(spark):
+    rows = [(i, "\n".join(["boiler"] + [f"line {j}" for j in range(n)]), f"s{i}") for i, n in enumerate([40_000, *[3] * 11])]
+    got = linededup.drop_spread_lines(spark.createDataFrame(rows, "doc_id long, text string, source string"), min_sites=12).orderBy("doc_id").collect()
+    assert got[0]["n_removed"] == 4 and got[0]["text"] == "\n".join(f"line {j}" for j in range(3, 40_000))
