@@ -14,6 +14,7 @@ from .suffix import op2
 from .topk import ORACLE as TOP_K
 from .topk import op5
 from .toxicity import op6
+from .turns import op13
 
 QUERIES = {
     "op1_repair_token_ids": op1,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_template_leaks": op8,
     "op9_best_fit_packing": op9,
     "op10_subword_lattice": op10,
+    "op13_turn_lattice": op13,
 }
 
 ORACLES: dict[str, str] = {
