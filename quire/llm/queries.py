@@ -8,6 +8,8 @@ from .jaccard import op3
 from .lattice import op10
 from .linededup import ORACLE as LINE_DEDUP
 from .linededup import op7
+from .negatives import ORACLE as HARD_NEGATIVES
+from .negatives import op11
 from .packing import op9
 from .repair import op1
 from .suffix import op2
@@ -27,10 +29,12 @@ QUERIES = {
     "op8_template_leaks": op8,
     "op9_best_fit_packing": op9,
     "op10_subword_lattice": op10,
+    "op11_distance_keys": op11,
     "op13_turn_lattice": op13,
 }
 
 ORACLES: dict[str, str] = {
     "op5_uniform_threshold": TOP_K,
     "op7_line_spread": LINE_DEDUP,
+    "op11_distance_keys": HARD_NEGATIVES,
 }
