@@ -17,6 +17,7 @@ from .topk import ORACLE as TOP_K
 from .topk import op5
 from .toxicity import op6
 from .turns import op13
+from .walks import op12
 
 QUERIES = {
     "op1_repair_token_ids": op1,
@@ -30,6 +31,7 @@ QUERIES = {
     "op9_best_fit_packing": op9,
     "op10_subword_lattice": op10,
     "op11_distance_keys": op11,
+    "op12_edit_embedding": op12,
     "op13_turn_lattice": op13,
 }
 
