@@ -2,28 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import cleanup, contents, furniture, headings, layout, locators, navigation, paginated, structure, temporal
+from ..operators import cleanup, furniture, locators, navigation, structure
+from ..operators.ordering import number_rows
 from ..session import settled
-from . import convert
 
 ODD, LATER = "coalesce(try_cast(substr(source, 4) as int), 1) % 3 = 0", "n >= 30"
 FOLIO = f"case when n <= 3 then repeat('i', n) when n % 7 = 0 then '' when n = 23 then '999' when {ODD} and {LATER} then cast(n - 29 as string) when n >= 5 then cast(n - 4 as string) else '' end"
 
 
+#: Bytes of texts for which a task of line rules is made.
+PART_BYTES = 16 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """source, doc_id and n, the document's place in its source; texts are not moved for it."""
+    return number_rows(table(spark, sf_dir, "documents").select("source", "doc_id"), ["source"], ["doc_id"])
+
+
+def with_places(spark: SparkSession, sf_dir: str, ids: DataFrame | None = None) -> DataFrame:
+    """source, n, doc_id and text of documents, dealt by doc_id to as many tasks as shuffles have: lines are costly, not large."""
+    ids = numbered(spark, sf_dir) if ids is None else ids
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    return docs.repartition(max(parts, size // PART_BYTES), "doc_id").join(ids, "doc_id")
+
+
 def page_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Books of pages from documents: a source is a book, its documents in order are pages with a running head and a printed number."""
-    docs = table(spark, sf_dir, "documents")
-    ids = docs.select("source", "doc_id").withColumn("n", F.row_number().over(Window.partitionBy("source").orderBy("doc_id")))  # numbered without the texts
-    numbered = docs.select("doc_id", "text").join(ids, "doc_id")
-    return numbered.selectExpr("source as book_id", "n as page_pdf", f"concat(upper(source), ' STUDIES', '\\n', text, '\\n', {FOLIO}) as text")
+    """Books of pages from documents: a source is a book, its documents in order are pages with a running head and a printed number. Written once, read by all branches of a plan."""
+    return settled(with_places(spark, sf_dir).selectExpr("source as book_id", "n as page_pdf", f"concat(upper(source), ' STUDIES', '\\n', text, '\\n', {FOLIO}) as text"))
 
 
 def paginated_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,7 +147,7 @@ def clean_markdown(spark, sf_dir):
 
 def nav_maps(spark, sf_dir):
     """A navigation map for each source: every third document opens a point that holds the next two."""
-    docs = table(spark, sf_dir, "documents").select("source", "doc_id", F.row_number().over(Window.partitionBy("source").orderBy("doc_id")).alias("n"))
+    docs = numbered(spark, sf_dir)
     entry = "concat('<navPoint id=\"p\"><navLabel><text>Part &amp; ', doc_id, '</text></navLabel><content src=\"../d', doc_id, '.xhtml#a', doc_id, '\"/>', case n % 3 when 1 then '' when 2 then '</navPoint>' else '</navPoint></navPoint>' end)"
     parts = docs.selectExpr("source as book_id", "n", f"{entry} as part").groupBy("book_id").agg(F.array_sort(F.collect_list(F.struct("n", "part"))).alias("parts"))
     return parts.select("book_id", F.lit("OEBPS").alias("base"), F.array_join(F.transform("parts", lambda x: x.part), "").alias("markup"))

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import contents, headings, layout, paginated, structure, temporal
+from ..session import settled
 from . import convert
+from .catalog import numbered, with_places
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,19 +40,16 @@ def paginated_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages whose number stands alone, beside the running head, or among others: documents of a source in runs of pages."""
     head = "case n % 4 when 0 then concat(cast(n as string), ' ', upper(source), ' TALES') when 1 then concat(upper(source), ' TALES ', cast(n as string)) when 2 then concat(upper(source), ' TALES') else '' end"
     foot = "case n % 4 when 2 then concat(chr(10), cast(n as string)) when 3 then concat(chr(10), cast(n as string), chr(10), cast(n + 1 as string)) else '' end"
-    ids = table(spark, sf_dir, "documents").selectExpr("doc_id", "source", "row_number() over (partition by source order by doc_id) as n")
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text").join(ids, "doc_id")
-    return docs.selectExpr("source as book_id", "n as page_pdf", f"concat({head}, chr(10), text, {foot}) as text")
+    return settled(with_places(spark, sf_dir).selectExpr("source as book_id", "n as page_pdf", f"concat({head}, chr(10), text, {foot}) as text"))
 
 
 def marker_folios(spark, sf_dir):
     return paginated.strip_paginated(paginated_pages(spark, sf_dir)).select("book_id", "page_pdf", "page_printed", F.md5("body").alias("body_md5"))
 
 
-def bookmarks(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bookmarks(spark: SparkSession, sf_dir: str, ids: DataFrame | None = None) -> DataFrame:
     """A bookmark for every third page of a book, with titles of the page's first words; books of odd numbers have page numbers for titles."""
-    ids = table(spark, sf_dir, "documents").selectExpr("doc_id", "source", "row_number() over (partition by source order by doc_id) as n")
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text").join(ids.where("n % 3 = 1"), "doc_id")
+    docs = with_places(spark, sf_dir, (ids or numbered(spark, sf_dir)).where("n % 3 = 1"))
     title = "case when coalesce(try_cast(substr(source, 4) as int), 0) % 2 = 1 and n % 2 = 0 then concat('p. ', cast(n as string)) else concat('Chapter ', cast(n as string), ': ', regexp_extract(text, '^([A-Za-z]+ [A-Za-z]+)', 1)) end"
     return docs.selectExpr("source as book_id", "n as ord", "1 + n % 2 as level", f"{title} as title", "case when n % 5 = 0 then 0 else n end as page_pdf")
 
@@ -61,9 +60,9 @@ def contents_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def promoted(spark, sf_dir):
-    ids = table(spark, sf_dir, "documents").selectExpr("doc_id", "source", "row_number() over (partition by source order by doc_id) as n")
-    pages = table(spark, sf_dir, "documents").select("doc_id", "text").join(ids, "doc_id").selectExpr("source as book_id", "n as page_pdf", "text")
-    return contents.promote_bookmarks(pages, bookmarks(spark, sf_dir)).select("book_id", "page_pdf", "promoted", F.md5("text").alias("text_md5"))
+    ids = numbered(spark, sf_dir)
+    pages = with_places(spark, sf_dir, ids).selectExpr("source as book_id", "n as page_pdf", "text")
+    return contents.promote_bookmarks(pages, bookmarks(spark, sf_dir, ids)).select("book_id", "page_pdf", "promoted", F.md5("text").alias("text_md5"))
 
 
 # Layout: words of documents on a grid of lines, in one column or two.
@@ -138,8 +137,7 @@ def asof_events(spark, sf_dir):
 
 
 def converted(spark, sf_dir):
-    ids = table(spark, sf_dir, "documents").selectExpr("doc_id", "source", "row_number() over (partition by source order by doc_id) as n")
-    pages = table(spark, sf_dir, "documents").select("doc_id", "text").join(ids, "doc_id").selectExpr("source as book_id", "n as page_pdf", "concat(upper(source), ' STUDIES', chr(10), text, chr(10), cast(n as string)) as text")
+    pages = settled(with_places(spark, sf_dir).selectExpr("source as book_id", "n as page_pdf", "concat(upper(source), ' STUDIES', chr(10), text, chr(10), cast(n as string)) as text"))
     report = convert.convert_pages(pages)
     return report.select("book_id", "status", "total_pages", "pages_with_text", "page_locator_count", "page_printed_count", "page_numbering", "page_printed_offset")
 
