@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 
 from ..functions.text import is_local, link_target
 from .cleanup import rebuild
+from .spatial import BOX, meeting
 from .structure import IMAGE
 
 # Fixed values.
 CAPTION = r"(?i)^\s*(figure|fig\.?|exhibit|diagram|chart)\s+\d+([.\-]\d+)?\b"
 RASTER_AREA, VECTOR_AREA, MERGE_GAP, CAPTION_DISTANCE = 2000, 2500, 30, 40
-BOX = ("x0", "y0", "x1", "y1")
 
 
 def area() -> Column:
@@ -56,13 +56,14 @@ def merge_regions(drawings: DataFrame, keys: tuple[str, ...] = ("book_id", "page
 def match_captions(regions: DataFrame, lines: DataFrame, keys: tuple[str, ...] = ("book_id", "page_pdf"), region: str = "region_id") -> DataFrame:
     """regions with caption: the caption line nearest below each region within its width; ties take the first by ord, none is null.
 
-    lines(keys, ord, x0, y0, x1, y1, text). The join is on the page, so a region
-    meets only the captions of its own page.
+    lines(keys, ord, x0, y0, x1, y1, text). A region, reaching as far down as a
+    caption may stand, meets the upper edges of caption lines on a grid of the
+    page, not all lines of it.
     """
-    captions = lines.where(F.col("text").rlike(CAPTION)).select(*keys, "ord", F.col("x0").alias("cx0"), F.col("y0").alias("cy0"), F.col("x1").alias("cx1"), F.trim("text").alias("caption"))
-    below = F.col("cy0") - F.col("y1")
-    hit = regions.join(captions, list(keys)).where((F.col("cy0") >= F.col("y0")) & (below <= CAPTION_DISTANCE) & (F.col("cx1") >= F.col("x0")) & (F.col("cx0") <= F.col("x1")))
-    best = hit.groupBy(*keys, region).agg(F.min_by("caption", F.struct(below, "ord")).alias("caption"))
+    captions = lines.where(F.col("text").rlike(CAPTION)).select(*keys, "ord", F.trim("text").alias("caption"), *(F.col(c).cast("double") for c in ("x0", "x1", "y0")), F.col("y0").cast("double").alias("y1"))
+    reach = regions.select(*keys, region, F.col("y1").alias("__end"), *(F.col(c).cast("double").alias(c) for c in BOX)).withColumn("y1", F.col("y1") + CAPTION_DISTANCE)
+    hit = meeting(reach, captions, list(keys))
+    best = hit.groupBy(*keys, region).agg(F.min_by("__r_caption", F.struct(F.col("__r_y0") - F.col("__end"), "__r_ord")).alias("caption"))
     return regions.join(best, [*keys, region], "left")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import is_local, link_target, strip
@@ -19,11 +19,39 @@ def lines_of(texts: DataFrame, key: str) -> DataFrame:
 
 def split_pages(paginated: DataFrame) -> DataFrame:
     """pages(book_id, page_pdf, text) of paginated text; what stands before the first separator is left out, text without one gives no page."""
-    w = Window.partitionBy("book_id").orderBy("line_no")
-    lines = lines_of(paginated, "book_id").withColumn("is_page", F.col("line").rlike(PAGE)).withColumn("group", F.sum(F.col("is_page").cast("int")).over(w))
-    page = lines.where("group > 0").groupBy("book_id", "group")
-    parts = F.array_sort(F.collect_list(F.when(~F.col("is_page"), F.struct("line_no", "line"))))
-    return page.agg(F.max(F.when(F.col("is_page"), F.regexp_extract("line", PAGE, 1).cast("int"))).alias("page_pdf"), F.array_join(F.transform(parts, lambda x: x.line), "\n").alias("text")).select("book_id", F.col("group").alias("ord"), "page_pdf", "text")
+    lines = lines_of(paginated, "book_id").select("book_id", F.lit(0).alias("block"), F.col("line_no").cast("long").alias("at"), "line")
+    return split_lines(lines)
+
+
+def lines_of_files(spark: SparkSession, folder: str, book: Column) -> DataFrame:
+    """lines(book_id, block, at, line) of text files, for split_lines(): files are cut by Spark where it likes, a block is a stretch of one file.
+
+    book is an expression of path. A book of several files has them in the
+    order of their paths. Lines end with line feeds.
+    """
+    read = spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true").text(folder)
+    place = F.struct(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"))
+    lines = read.select(place.alias("block"), F.monotonically_increasing_id().alias("at"), F.col("value").alias("line"))  # a task reads a stretch in order
+    return lines.select(F.col("block.path").alias("path"), "block", "at", "line").withColumn("book_id", book).select("book_id", "block", "at", "line")
+
+
+def split_lines(lines: DataFrame) -> DataFrame:
+    """pages(book_id, ord, page_pdf, text) of lines(book_id, block, at, line): books cut into blocks, lines of a block in the order of at.
+
+    Two passes: each block counts its separators, and these counts, a row a
+    block, are summed along the book. A block's first lines go to the page that
+    an earlier block has left open. No task holds a book, and only a block and a
+    page are ever sorted together.
+    """
+    marked = lines.withColumn("is_page", F.col("line").rlike(PAGE))
+    counts = marked.groupBy("book_id", "block").agg(F.count_if("is_page").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("book_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = counts.select(F.col("book_id").alias("b"), F.col("block").alias("k"), before.alias("before"))
+    here = F.sum(F.col("is_page").cast("long")).over(Window.partitionBy("book_id", "block").orderBy("at"))
+    placed = marked.withColumn("here", here).join(starts, F.col("book_id").eqNullSafe(F.col("b")) & (F.col("block") == F.col("k"))).withColumn("ord", F.col("before") + F.col("here"))
+    parts = F.array_sort(F.collect_list(F.when(~F.col("is_page"), F.struct("block", "at", "line"))))
+    page = placed.where("ord > 0").groupBy("book_id", "ord")
+    return page.agg(F.max(F.when(F.col("is_page"), F.regexp_extract("line", PAGE, 1).cast("int"))).alias("page_pdf"), F.array_join(F.transform(parts, lambda x: x.line), "\n").alias("text")).select("book_id", "ord", "page_pdf", "text")
 
 
 def band_lines(pages: DataFrame, depth: int = 3) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,3 +25,8 @@ def settled(df: DataFrame) -> DataFrame:
     if not context._jsc.sc().getCheckpointDir().isDefined():
         context.setCheckpointDir(checkpoint_dir(df.sparkSession))
     return df.checkpoint()
+
+
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for files of one run, where checkpoints go."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/quire/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"

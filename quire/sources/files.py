@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import uuid
 import zipfile
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -161,28 +162,61 @@ class Files(DataSource):
 
 @dataclass
 class Written(WriterCommitMessage):
-    files: int
+    paths: list[str]
+
+
+def inside(path: str) -> str:
+    """path, if it leads to a place below the folder that it is joined to."""
+    parts = path.replace("\\", "/").split("/")
+    if path.startswith("/") or ":" in parts[0] or ".." in parts or not parts[-1]:
+        raise ValueError(f"a path outside the folder: {path!r}")
+    return "/".join(x for x in parts if x not in ("", "."))
 
 
 class FileWriter(DataSourceWriter):
+    """Tasks write to a folder of the job; files go to their places when all tasks are done, and a job that fails publishes none.
+
+    A task that still runs when its job is given up may leave its part of that
+    folder, _staging-<job>, behind.
+    """
+
     def __init__(self, folder: str) -> None:
-        self.folder = folder
+        self.folder, self.staging = folder, f"_staging-{uuid.uuid4().hex[:12]}"
 
-    def write(self, iterator: Iterator) -> Written:
+    def place(self):
         from pyarrow import fs
 
-        where, root = fs.FileSystem.from_uri(self.folder if ":" in self.folder else f"file://{self.folder}")
-        n = 0
+        return fs.FileSystem.from_uri(self.folder if ":" in self.folder else f"file://{self.folder}")
+
+    def write(self, iterator: Iterator) -> Written:
+        (where, root), paths = self.place(), []
+        attempt = f"{root}/{self.staging}/{uuid.uuid4().hex}"  # a task that runs twice writes to two
         for row in iterator:
-            place = f"{root}/{row['path']}"
-            where.create_dir(place.rsplit("/", 1)[0], recursive=True)
-            with where.open_output_stream(place) as out:  # whole files: a task that is run again writes the same
+            path = inside(row["path"])
+            where.create_dir(f"{attempt}/{path}".rsplit("/", 1)[0], recursive=True)
+            with where.open_output_stream(f"{attempt}/{path}") as out:
                 out.write(row["content"] or b"")
-            n += 1
-        return Written(n)
+            paths.append(path)
+        return Written([attempt, *dict.fromkeys(paths)])
+
+    def commit(self, messages: list[Written | None]) -> None:
+        where, root = self.place()
+        for message in messages:
+            attempt, *paths = message.paths if message else [""]
+            for path in paths:
+                where.create_dir(f"{root}/{path}".rsplit("/", 1)[0], recursive=True)
+                where.move(f"{attempt}/{path}", f"{root}/{path}")
+        self.abort(messages)
+
+    def abort(self, messages: list[Written | None]) -> None:
+        from pyarrow import fs
+
+        where, root = self.place()
+        if where.get_file_info(f"{root}/{self.staging}").type != fs.FileType.NotFound:
+            where.delete_dir(f"{root}/{self.staging}")
 
 
 def write_files(rows: DataFrame, folder: str) -> None:
-    """Images, archives and rewritten e-books, rows (path, content), as files below folder."""
+    """Images, archives and rewritten e-books, rows (path, content), as files below folder, all or none; paths that lead out of it are refused."""
     rows.sparkSession.dataSource.register(Files)
     rows.select("path", "content").write.format("quire_files").mode("append").save(folder)
