@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import os
 import uuid
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -15,7 +18,7 @@ from pyspark.sql import types as T
 
 LOCAL_CHECKPOINTS = "/tmp/checkpoints"
 #: Bytes of Arrow data handed to a Python worker at once.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES, BATCH_ROWS = 4 << 20, 1024
 #: Rows and bytes of a table that may be broadcast; larger ones are joined by a shuffle.
 BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 64 << 20
 
@@ -47,7 +50,7 @@ class Scratch:
         self.spark, self.root = spark, f"{shared_dir(spark)}/quire/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
         python_path(spark)
         spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4096")
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -111,6 +114,18 @@ def free_names(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run for mapInArrow, after which the worker, which Spark uses again, gives back the memory that it has freed."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(AttributeError, OSError):  # the C library has it on Linux only
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return wrapped
+
+
 def utf8(batch: pa.RecordBatch, name: str) -> list[bytes]:
     """A text column as UTF-8 bytes, null as empty."""
     column = batch.column(batch.schema.get_field_index(name))

@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, free_names, mix64, small_side, utf8
+from .common import Scratch, free_names, mix64, small_side, tidy, utf8
 
 WINDOW, SHORTEST, SOLID, SHARE, SHIFT = 8, 5, 4, 0.6, 8
 #: Bits of the filter, as a power of two, and text that is cut into windows at once.
@@ -380,13 +380,13 @@ def mark_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     docs = docs.drop("contaminated", "item_id", "coverage", "kind")
     texts = docs.select("doc_id", "text").withColumn("t", F.xxhash64("text"))
     items = scratch.keep("items", benchmark.select("item_id", "text").where(F.length("text") > 0).distinct().withColumn("uid", F.xxhash64("item_id", "text")))
-    cut = scratch.keep("windows", items.select("uid", "text").mapInArrow(cut_items, WINDOWS).groupBy("uid", "hash", "kind", "size", "n").agg(F.count("*").alias("m")))
+    cut = scratch.keep("windows", items.select("uid", "text").mapInArrow(tidy(cut_items), WINDOWS).groupBy("uid", "hash", "kind", "size", "n").agg(F.count("*").alias("m")))
     bits = np.zeros(1 << FILTER_BITS - 3, np.uint8)
-    for row in cut.select("hash").mapInArrow(filter_bits, "bits binary").toLocalIterator():  # one of fixed size a task
+    for row in cut.select("hash").mapInArrow(tidy(filter_bits), "bits binary").toLocalIterator():  # one of fixed size a task
         bits |= np.frombuffer(row["bits"], np.uint8)
     sizes = sorted((r["kind"], r["size"]) for r in cut.select("kind", "size").distinct().collect())  # 3 * WINDOW at most
     shared = spark.sparkContext.broadcast(bits.tobytes())
-    hits = scratch.keep("hits", texts.where(F.length("text") > 0).mapInArrow(look_up(shared, sizes), "doc_id long, t long, hashes array<long>"))
+    hits = scratch.keep("hits", texts.where(F.length("text") > 0).mapInArrow(tidy(look_up(shared, sizes)), "doc_id long, t long, hashes array<long>"))
     met = hits.select("doc_id", "t", F.explode("hashes").alias("hash")).distinct().join(cut, "hash")
     sums = met.groupBy("doc_id", "t", "uid", "kind").agg(F.sum("m").alias("m"), F.first("n").alias("n")).where(F.col("m") >= SHARE * F.col("n"))
     named = sums.select("doc_id", "t", "uid").distinct().join(items.withColumnRenamed("text", "item_text"), "uid")
@@ -394,7 +394,7 @@ def mark_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     key = lambda a, b: a[0].eqNullSafe(b[0]) & (a[1] == b[1])
     d, k, t = free_names(docs, "d", "k", "t")
     again = texts.join(small_side(asked.select(F.col("doc_id").alias("d"), F.col("t").alias("k"), "items")), key((F.col("doc_id"), F.col("t")), (F.col("d"), F.col("k"))))
-    found = scratch.keep("found", again.select("doc_id", "t", "text", "items").mapInArrow(check_candidates, FOUND).dropDuplicates(["doc_id", "t"]))
+    found = scratch.keep("found", again.select("doc_id", "t", "text", "items").mapInArrow(tidy(check_candidates), FOUND).dropDuplicates(["doc_id", "t"]))
     found = found.withColumnsRenamed({"doc_id": d, "t": k})
     joined = docs.withColumn(t, F.xxhash64("text")).join(small_side(found), key((F.col("doc_id"), F.col(t)), (F.col(d), F.col(k))), "left")
     return joined.select(*docs.columns, F.coalesce("contaminated", F.lit(False)).alias("contaminated"), "item_id", "coverage", "kind")

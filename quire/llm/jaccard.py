@@ -40,20 +40,20 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, Scratch, free_names, mix64, small_side, text_bytes, utf8
+from .common import BROADCAST_ROWS, Scratch, free_names, mix64, small_side, text_bytes, tidy, utf8
 
 WORDS, PERCENT, ORDERS, FRAGMENTS = 5, 80, 2, 8
 SMALL, BLOCK, BLOCK_GRAMS, COLUMNS = 16, 512, 1 << 21, 2048
 #: N-grams that are put last in the order: those counted most often, from SEEN times on.
-FREQUENT, SEEN, COUNTED_AT_ONCE = 1 << 20, 2, 2_500_000
+FREQUENT, SEEN, COUNTED_AT_ONCE = 1 << 20, 2, 1_500_000
 #: Keys of frequent n-grams begin here; below are 62-bit hashes.
 FIRST_FREQUENT = 1 << 62
-DEALT_AT_ONCE = 600_000
-REMEMBERED = 200_000
+DEALT_AT_ONCE = 400_000
+REMEMBERED = 100_000
 #: Pairs of one end that go to one group, and n-grams that a group is made for.
 PARTNERS, GROUP_GRAMS = 512, 4 << 20
 #: Bytes of texts for which a task of prefixes is made.
-BYTES_A_BUCKET = 16 << 20
+BYTES_A_BUCKET = 8 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -273,7 +273,7 @@ class Sets:
         places = asked.groupBy("node").agg(F.collect_set("place").alias("places"))
         home = places.join(self.nodes.select("node", "home"), "node").select(F.col("home.doc").alias("d"), F.col("home.t").alias("h"), "node", "places")
         texts = self.docs.join(small_side(home), F.col("doc_id").eqNullSafe(F.col("d")) & (F.xxhash64("text") == F.col("h")))
-        return texts.select("text", "node", "places").mapInArrow(self.run, PARTS)
+        return texts.select("text", "node", "places").mapInArrow(tidy(self.run), PARTS)
 
 
 def overlaps(key, pairs: pa.Table, parts: pa.Table) -> pa.Table:
@@ -400,11 +400,11 @@ def components(edges: DataFrame, scratch: Scratch, name: str, in_one_task: int =
     and small stars until nothing changes, written to the shared folder after
     every round.
     """
-    now = scratch.keep(f"{name}_0", edges.select("a", "b").mapInArrow(forest, "node long, component long"))
+    now = scratch.keep(f"{name}_0", edges.select("a", "b").mapInArrow(tidy(forest), "node long, component long"))
     if (n := now.count()) <= in_one_task:
-        return scratch.keep(f"{name}_done", now.coalesce(1).mapInArrow(forest, "node long, component long"))
+        return scratch.keep(f"{name}_done", now.coalesce(1).mapInArrow(tidy(forest), "node long, component long"))
     parts = max(1, n // in_one_task)
-    now, k, mark = scratch.keep(f"{name}_1", now.repartition(parts).mapInArrow(forest, "node long, component long")), 1, None
+    now, k, mark = scratch.keep(f"{name}_1", now.repartition(parts).mapInArrow(tidy(forest), "node long, component long")), 1, None
     while True:
         both = now.union(now.select("component", "node")).toDF("u", "v")
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -447,12 +447,12 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     scratch = Scratch(spark, "jaccard")
     docs = docs.select("doc_id", "text")
     texts = docs.select("text").where(F.length("text") > 0)
-    counted = texts.mapInArrow(count_grams(words), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "gram").limit(frequent)
+    counted = texts.mapInArrow(tidy(count_grams(words)), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "gram").limit(frequent)
     counted = counted.toArrow()  # at most frequent rows of 16 bytes; whichever these are, the result is the same
     order = spark.sparkContext.broadcast(Order(counted["gram"].to_numpy().view(np.uint64), counted["n"].to_numpy()))
     buckets = buckets_for(docs)
-    dealt = docs.withColumn("t", F.xxhash64("text")).mapInArrow(profile(words, percent, buckets, order, seed), PROFILE).repartition(buckets, "bucket")
-    profiles = scratch.keep("profiles", dealt.mapInArrow(shared_grams, GROUPED))
+    dealt = docs.withColumn("t", F.xxhash64("text")).mapInArrow(tidy(profile(words, percent, buckets, order, seed)), PROFILE).repartition(buckets, "bucket")
+    profiles = scratch.keep("profiles", dealt.mapInArrow(tidy(shared_grams), GROUPED))
     del dealt
     scratch.forget()
     rows = profiles.where("n_shingles is not null").drop("gram")

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, ranks_within, utf8
+from .common import Scratch, ranks_within, tidy, utf8
 from .tokens import encoder
 
 CAPACITY = 2048
@@ -157,14 +157,14 @@ def pack(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", end_id: int = 0
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "packing")
-    pieces = scratch.keep("pieces", docs.select("doc_id", "text").mapInArrow(cut_documents(vocabulary, end_id, capacity), PIECES))
+    pieces = scratch.keep("pieces", docs.select("doc_id", "text").mapInArrow(tidy(cut_documents(vocabulary, end_id, capacity)), PIECES))
     counts = scratch.keep("counts", pieces.groupBy("part", "length").agg(F.count("*").alias("n")))
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # a row for each length, capacity at most
     plan = best_fit_decreasing(histogram, capacity)
     before = counts.selectExpr("part", "length", "coalesce(sum(n) over (partition by length order by part rows between unbounded preceding and 1 preceding), 0) as before")
     # counts grow with tasks and lengths: joined by a shuffle of the pieces' few bytes at every size, never broadcast
     numbered = pieces.join(before.hint("merge"), ["part", "length"]).withColumn("all_nth", F.col("before") + F.col("nth"))
-    return numbered.select("doc_id", "piece", "start", "length", "ids_crc32", "all_nth").mapInArrow(place(plan), PACKED)
+    return numbered.select("doc_id", "piece", "start", "length", "ids_crc32", "all_nth").mapInArrow(tidy(place(plan)), PACKED)
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:

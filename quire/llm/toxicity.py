@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, utf8
+from .common import Scratch, tidy, utf8
 
 TRAIN_ROWS = 20_000
 PRIOR, MIN_G2, MIN_COUNT, GAP, MAX_P = 1000.0, 20.0, 5, 0.05, 0.01
@@ -167,7 +167,7 @@ def train(docs: DataFrame, labels: DataFrame, fold: int = 5, rows: int = TRAIN_R
     some = [usable.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows) for c in (0, 1)]
     sample = docs.select("doc_id", "text").join(F.broadcast(some[0].unionByName(some[1])), "doc_id").select("toxic", "text")  # 2 * rows ids at most
     sample = scratch.keep("sample", sample)
-    counts = sample.mapInArrow(count_features, "feature string, toxic long, other long").groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
+    counts = sample.mapInArrow(tidy(count_features), "feature string, toxic long, other long").groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
     counts = scratch.keep("counts", counts.where((F.col("toxic") + F.col("other")) >= MIN_COUNT))
     whole = counts.where(~F.col("feature").endswith("*")).agg(F.sum("toxic").alias("t"), F.sum("other").alias("o")).first()
     t, o = float(whole["t"] or 0), float(whole["o"] or 0)
@@ -191,11 +191,11 @@ def train(docs: DataFrame, labels: DataFrame, fold: int = 5, rows: int = TRAIN_R
     values = np.array([-GAP, *by_value, max(model.odds.values(), default=1.0)])
     weights = np.array([o, *by_value.values(), 0.5]) / (o + 0.5 + sum(by_value.values()))  # half a count: what the sample had none of may still come
     model.lam = solve_lambda(values, weights)
-    seen = scratch.keep("seen", sample.mapInArrow(best_segments(model), "toxic int, n long, best double"))
+    seen = scratch.keep("seen", sample.mapInArrow(tidy(best_segments(model)), "toxic int, n long, best double"))
     background = seen.where("toxic = 0").selectExpr("avg(n) as n", f"avg(case when best > 0 then 1 else 0 end) as hit", f"avg(n * exp(-{model.lam} * best)) as tail").first()
     # the likelihood of the extreme-value distribution has its maximum where K is 1 over the mean of n exp(-lambda S)
     model.k = min(10.0, 1.0 / max(background["tail"] or 1.0, 1e-9))
-    rows_seen = sample.mapInArrow(weigh_texts(model), "toxic int, evidence double").toPandas()  # 2 * rows at most; the evidence that scoring sees
+    rows_seen = sample.mapInArrow(tidy(weigh_texts(model)), "toxic int, evidence double").toPandas()  # 2 * rows at most; the evidence that scoring sees
     x = rows_seen["evidence"].to_numpy(float)
     share = whole_share(usable)
     model.curve = fit_curve(x, rows_seen["toxic"].to_numpy(float)) if len(x) else (-1.0, 0.0)
@@ -254,14 +254,14 @@ def toxic_segments(docs: DataFrame, model: Model) -> DataFrame:
             rows = [(d, a, b, s, b" ".join(x.split()[a:b]).decode("utf-8", "replace")) for d, x in zip(batch.column(0).to_pylist(), utf8(batch, "text")) for s, a, b in shared.value.evidence(x)[1]]
             yield pa.RecordBatch.from_pylist([dict(zip(("doc_id", "first", "last", "score", "passage"), r)) for r in rows], schema=pa.schema([("doc_id", pa.int64()), ("first", pa.int32()), ("last", pa.int32()), ("score", pa.float64()), ("passage", pa.string())]))
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, first int, last int, score double, passage string")
+    return docs.select("doc_id", "text").mapInArrow(tidy(run), "doc_id long, first int, last int, score double, passage string")
 
 
 def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     """docs with toxic_score (0 to 1); null and empty texts have no segment and the lowest score; a column of that name is replaced."""
     docs = docs.drop("toxic_score")
     shared = docs.sparkSession.sparkContext.broadcast(model)  # MAX_FEATURES words at most
-    return docs.mapInArrow(score_texts(shared), docs.select("*", F.lit(0.0).alias("toxic_score")).schema)
+    return docs.mapInArrow(tidy(score_texts(shared)), docs.select("*", F.lit(0.0).alias("toxic_score")).schema)
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
