@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import is_local, link_target
+from ..session import settled
 from .cleanup import rebuild
+from .ordering import number_rows
 from .spatial import BOX, meeting
 from .structure import IMAGE
 
 # Fixed values.
 CAPTION = r"(?i)^\s*(figure|fig\.?|exhibit|diagram|chart)\s+\d+([.\-]\d+)?\b"
 RASTER_AREA, VECTOR_AREA, MERGE_GAP, CAPTION_DISTANCE = 2000, 2500, 30, 40
+#: Boxes that a task merges at a time.
+AT_ONCE = 200_000
 
 
 def area() -> Column:
@@ -27,30 +32,102 @@ def raster_regions(images: DataFrame) -> DataFrame:
     return images.where(area() >= RASTER_AREA)
 
 
-def merged_boxes(boxes: Iterable[tuple], gap: float) -> list[tuple]:
-    """Boxes joined while any two lie within gap of each other; joined boxes grow, so components of the first ones aren't enough."""
+def _pass(boxes: list[tuple], gap: float) -> tuple[list[tuple], bool]:
+    """Boxes met from left to right, and whether any were joined.
+
+    Of the boxes held, no two lie within gap of each other from top to bottom:
+    their upper and lower edges have one order, and those that a new box may
+    join are a run, found by bisection. What a run holds beside those that join
+    lies too far to the left for any box to come.
+    """
+    lows: list[float] = []
+    highs: list[float] = []
+    held: list[tuple] = []
     done: list[tuple] = []
-    for box in sorted(boxes):
-        while near := [d for d in done if d[0] - gap < box[2] and box[0] < d[2] + gap and d[1] - gap < box[3] and box[1] < d[3] + gap]:
-            done = [d for d in done if d not in near]
-            box = tuple(f(x) for f, x in zip((min, min, max, max), zip(box, *near)))
-        done.append(box)
-    return sorted(done)
+    joined = False
+    for x0, y0, x1, y1 in sorted(boxes):
+        while True:
+            a, b = bisect_right(highs, y0 - gap), bisect_left(lows, y1 + gap)
+            if a >= b:
+                break
+            near = [d for d in held[a:b] if d[2] + gap > x0 and d[0] < x1 + gap]
+            if not near:
+                break
+            joined = True
+            rest = [d for d in held[a:b] if not (d[2] + gap > x0 and d[0] < x1 + gap)]
+            held[a:b], lows[a:b], highs[a:b] = rest, [d[1] for d in rest], [d[3] for d in rest]
+            x0, y0 = min(x0, *(d[0] for d in near)), min(y0, *(d[1] for d in near))
+            x1, y1 = max(x1, *(d[2] for d in near)), max(y1, *(d[3] for d in near))
+        if a >= b:
+            held.insert(a, (x0, y0, x1, y1))
+            lows.insert(a, y0)
+            highs.insert(a, y1)
+            continue
+        if any(d[2] + gap > x0 for d in held[a:b]):  # without a gap, a box without width beside one that begins there: nothing to come is near it
+            done.append((x0, y0, x1, y1))
+            continue
+        done += held[a:b]
+        held[a:b], lows[a:b], highs[a:b] = [(x0, y0, x1, y1)], [y0], [y1]
+    return done + held, joined
+
+
+def merged_boxes(boxes: Iterable[tuple], gap: float) -> list[tuple]:
+    """Boxes joined while any two lie within gap of each other; joined boxes grow, so components of the first ones aren't enough.
+
+    Passes from left to right and from top to bottom take turns until one joins
+    nothing. Which boxes come out depends neither on their order nor on what
+    was joined beforehand.
+    """
+    found, upright = list(boxes), True
+    while True:
+        found, joined = _pass(found, gap)
+        if not joined:
+            return sorted(found if upright else [(x0, y0, x1, y1) for y0, x0, y1, x1 in found])
+        found, upright = [(y0, x0, y1, x1) for x0, y0, x1, y1 in found], not upright
 
 
 def merge_regions(drawings: DataFrame, keys: tuple[str, ...] = ("book_id", "page_pdf"), gap: float = MERGE_GAP, least: float = VECTOR_AREA) -> DataFrame:
-    """regions(keys, x0, y0, x1, y1): the drawings of each page merged, those of at least that area; a page is one group."""
-    schema = drawings.select(*keys, *(F.col(c).cast("double") for c in BOX)).schema
-    spark = drawings.sparkSession
-    types = [(f.name, t) for f, t in zip(schema, spark.createDataFrame([], schema).toArrow().schema.types)]
+    """regions(keys, x0, y0, x1, y1): the drawings of each page merged, those of at least that area.
+
+    Every task first merges what it has of a page, which changes nothing in the
+    end, and only what is left is brought together: boxes further than gap from
+    each other, of which a page has room for a bounded number. Boxes with a
+    side that is null or no number are none, ends the wrong way round are
+    exchanged. Null keys are a key; an empty table gives no rows.
+    """
+    low = [F.least("x0", "x1"), F.least("y0", "y1"), F.greatest("x0", "x1"), F.greatest("y0", "y1")]
+    sides = " and ".join(f"{c} is not null and not isnan({c})" for c in BOX)
+    whole = drawings.select(F.struct(*keys).alias("key"), *(F.col(c).cast("double").alias(c) for c in BOX)).where(sides).select("key", *(x.alias(c) for x, c in zip(low, BOX)))
+    key_type = drawings.sparkSession.createDataFrame([], whole.schema).toArrow().schema.field("key").type
+
+    def table_of(found: dict[tuple, list[tuple]]) -> pa.Table:
+        names = [f.name for f in key_type]
+        keyed = [dict(zip(names, k)) for k, mine in found.items() for _ in mine]
+        sides = [[box[i] for mine in found.values() for box in mine] for i in range(4)]
+        return pa.table([pa.array(keyed, key_type), *(pa.array(x, pa.float64()) for x in sides)], names=["key", *BOX])
+
+    def in_hand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, list[tuple]] = {}
+        n = 0
+        for batch in batches:
+            for key, *box in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                held.setdefault(tuple(key.values()), []).append(tuple(box))
+            n += batch.num_rows
+            if n >= AT_ONCE:
+                held = {k: merged_boxes(mine, gap) for k, mine in held.items()}
+                n = sum(map(len, held.values()))
+                if 2 * n >= AT_ONCE:
+                    yield from table_of(held).to_batches()
+                    held, n = {}, 0
+        yield from table_of({k: merged_boxes(mine, gap) for k, mine in held.items()}).to_batches()
 
     def run(key, rows):
-        found = [b for b in merged_boxes(zip(*(rows[c].to_pylist() for c in BOX)), gap) if (b[2] - b[0]) * (b[3] - b[1]) >= least]
-        values = [[k.as_py()] * len(found) for k in key] + [[b[i] for b in found] for i in range(4)]
-        return pa.table([pa.array(v, t) for v, (_, t) in zip(values, types)], names=[n for n, _ in types])
+        found = merged_boxes(zip(*(rows[c].to_pylist() for c in BOX)), gap)
+        large = [x for x in found if (x[2] - x[0]) * (x[3] - x[1]) >= least]
+        return table_of({tuple(rows["key"][0].as_py().values()): large})
 
-    whole = drawings.select(*keys, *(F.col(c).cast("double").alias(c) for c in BOX)).where(" and ".join(f"{c} is not null" for c in BOX))
-    return whole.groupBy(*keys).applyInArrow(run, schema)
+    merged = whole.mapInArrow(in_hand, whole.schema).groupBy("key").applyInArrow(run, whole.schema)
+    return merged.select("key.*", *BOX)
 
 
 def match_captions(regions: DataFrame, lines: DataFrame, keys: tuple[str, ...] = ("book_id", "page_pdf"), region: str = "region_id") -> DataFrame:
@@ -71,27 +148,35 @@ def harvest_names(files: DataFrame, key: str = "doc_id") -> DataFrame:
     """files(key, path) with name: the base name, and for further files of that name the folder's name before it, then a number.
 
     Files are taken in the order of their paths. A made name that a file has of
-    its own goes to the next number too.
+    its own, or that an earlier file has got, goes to the next number too.
+
+    All files ask for a name at once. Who asks for a base name that there is,
+    or for a name that an earlier path also asks for, asks for the next; files
+    of one folder and base name keep their order, so that whoever stands behind
+    moves on as well. Numbers only grow, and none passes what taking the files
+    one by one would give, so the rounds end, and end there. A null path is no
+    file, a path that comes twice is one; a null key is a key.
     """
     base, folder = F.element_at(F.split("path", "/"), -1), F.coalesce(F.get(F.reverse(F.split("path", "/")), F.lit(1)), F.lit(""))
-
-    def run(k, rows):
-        taken, names = set(rows["base"].to_pylist()), []
-        first: set[str] = set()
-        for b, f in zip(rows["base"].to_pylist(), rows["folder"].to_pylist()):
-            name, n = b, 2
-            if b in first:
-                name = f"{f}-{b}"
-                while name in taken:
-                    name, n = f"{f}-{n}-{b}", n + 1
-            first.add(b)
-            taken.add(name)
-            names.append(name)
-        return pa.table([rows[key], rows["path"], pa.array(names, pa.string())], names=[key, "path", "name"])
-
-    ordered = files.where("path is not null").select(key, "path", base.alias("base"), folder.alias("folder"))
-    sorted_run = lambda k, rows: run(k, rows.sort_by("path"))
-    return ordered.groupBy(key).applyInArrow(sorted_run, files.select(key, "path", F.lit("").alias("name")).schema)
+    given = files.where("path is not null").select(F.struct(key).alias("k"), "path").distinct().withColumns({"base": base, "folder": folder})
+    bases = settled(given.groupBy("k", "base").agg(F.min("path").alias("path")))
+    further = given.join(bases, ["k", "base", "path"], "left_anti")
+    asked = number_rows(further, ["k", "folder", "base"], ["path"], "r").withColumn("n", F.col("r"))
+    name = F.when(F.col("n") == 1, F.concat_ws("-", "folder", "base")).otherwise(F.concat_ws("-", "folder", F.col("n").cast("string"), "base"))
+    while True:
+        asked = asked.withColumn("name", name)
+        best = asked.groupBy("k", "name").agg(F.min("path").alias("best"))
+        own = bases.select("k", F.col("base").alias("name"), F.lit(True).alias("own"))
+        judged = asked.join(best, ["k", "name"]).join(own, ["k", "name"], "left")
+        asked = settled(judged.withColumn("lost", F.col("own").isNotNull() | (F.col("best") < F.col("path"))).select(*asked.columns, "lost"))
+        losers = asked.where("lost").select("k", "folder", "base").distinct()
+        if losers.isEmpty():
+            break
+        group = ["k", "folder", "base"]
+        ahead = F.max(F.col("n") + F.col("lost").cast("long") - F.col("r")).over(Window.partitionBy(*group).orderBy("r"))
+        moved = asked.join(losers, group, "left_semi").withColumn("n", F.col("r") + ahead)
+        asked = moved.unionByName(asked.join(losers, group, "left_anti")).drop("name", "lost")
+    return bases.select("k.*", "path", F.col("base").alias("name")).unionByName(asked.select("k.*", "path", "name"))
 
 
 def rewrite_refs(texts: DataFrame, names: DataFrame, folder: str, key: str = "doc_id") -> DataFrame:
