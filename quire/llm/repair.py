@@ -41,17 +41,16 @@ SHARD_TOKENS = 1 << 20
 RULES_A_ROUND, LEAST_COUNT, LEAST_ROOM = 8192, 8, 256
 SHARDS = "part int, shard int, n_docs int, n_tokens long, base int, doc_ids binary, null_ids binary, doc_lens binary, rules binary, lengths binary, symbols binary"
 RESULT = "doc_id long, start long, n_tokens long, ids_crc32 long"
-COUNT_BITS, FILTER_BITS, NONE = 20, 16, np.int32(1 << 30)
+SLOT_BITS, NONE = 20, np.int32(1 << 30)
 
 
-def hashed(keys: np.ndarray, bits: int) -> np.ndarray:
-    return (keys * np.uint32(0x9E3779B1)) >> np.uint32(32 - bits)
+def slots(keys: np.ndarray) -> np.ndarray:
+    return (keys * np.uint32(0x9E3779B1)) >> np.uint32(32 - SLOT_BITS)
 
 
-def frequent_pairs(keys: np.ndarray, least: int, most: int) -> np.ndarray:
-    """The pairs that occur at least so often, most frequent first; only pairs whose hash occurs so often are sorted."""
-    slot = hashed(keys, COUNT_BITS)
-    ordered = np.sort(keys[np.bincount(slot, minlength=1 << COUNT_BITS)[slot] >= least])
+def frequent_pairs(keys: np.ndarray, slot: np.ndarray, least: int, most: int) -> np.ndarray:
+    """The pairs that occur at least so often, most frequent first; only pairs whose slot is met so often are sorted."""
+    ordered = np.sort(keys[np.bincount(slot, minlength=1 << SLOT_BITS)[slot] >= least])
     first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]]) if len(ordered) else np.zeros(0, np.int64)
     counts = np.diff(np.r_[first, len(ordered)])
     often = counts >= least
@@ -59,18 +58,22 @@ def frequent_pairs(keys: np.ndarray, least: int, most: int) -> np.ndarray:
     return ordered[first[np.argsort(-counts, kind="stable")[:most]]]
 
 
-def ranks_of(keys: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    """The place of each key among the chosen ones, or NONE."""
-    order = np.argsort(chosen)
-    chosen, out = chosen[order], np.full(len(keys), NONE, np.int32)
-    hit = np.zeros(1 << FILTER_BITS, bool)
-    hit[hashed(chosen, FILTER_BITS)] = True
-    maybe = np.flatnonzero(hit[hashed(keys, FILTER_BITS)])
-    some = keys[maybe]
-    at = np.minimum(np.searchsorted(chosen, some), len(chosen) - 1)
-    same = chosen[at] == some
-    out[maybe[same]] = order[at[same]]
-    return out
+def ranks_of(keys: np.ndarray, slot: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """The place of each key among the chosen ones, which all differ, or NONE. Chosen ones that share a slot are looked up one after the other."""
+    table, out = np.full(1 << SLOT_BITS, -1, np.int32), np.full(len(keys), NONE, np.int32)
+    own, left = slots(chosen), np.arange(len(chosen), dtype=np.int32)
+    table[own] = left
+    at = table[slot]
+    where = np.flatnonzero(at >= 0)
+    at = at[where]
+    while True:
+        same = chosen[at] == keys[where]
+        out[where[same]] = at[same]
+        left, where = left[table[own[left]] != left], where[~same]
+        if not len(left):
+            return out
+        table[own[left]] = left
+        at = table[slot[where]]
 
 
 def compress(symbols: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -85,17 +88,20 @@ def compress(symbols: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np
     while (room := END - base - made) > LEAST_ROOM and len(symbols) > 1:
         keys = symbols[:-1].astype(np.uint32) << np.uint32(16) | symbols[1:]
         free = (symbols[:-1] != END) & (symbols[1:] != END)
-        chosen = frequent_pairs(keys[free], LEAST_COUNT, min(room, RULES_A_ROUND))
+        slot = slots(keys)
+        chosen = frequent_pairs(keys[free], slot[free], LEAST_COUNT, min(room, RULES_A_ROUND))
         if not len(chosen):
             break
-        ranks = ranks_of(keys, chosen)
+        ranks = ranks_of(keys, slot, chosen)
         before, after = np.r_[NONE, ranks[:-1]], np.r_[ranks[1:], NONE]
         taken = np.flatnonzero((ranks < before) & (ranks <= after))
-        used, new = np.unique(ranks[taken], return_inverse=True)
+        used = np.flatnonzero(np.bincount(ranks[taken], minlength=len(chosen)))
+        new = np.zeros(len(chosen), np.int64)
+        new[used] = np.arange(len(used))
         rules.append(chosen[used])
         sizes[base + made : base + made + len(used)] = sizes[chosen[used] >> np.uint32(16)] + sizes[chosen[used] & np.uint32(0xFFFF)]
         symbols = symbols.copy()
-        symbols[taken] = (base + made + new).astype(np.uint16)
+        symbols[taken] = (base + made + new[ranks[taken]]).astype(np.uint16)
         stays = np.ones(len(symbols), bool)
         stays[taken + 1] = False
         symbols = symbols[stays]
@@ -116,10 +122,12 @@ class Shard:
         self.flat = np.empty(self.starts[-1], np.uint32)  # every symbol's expansion
         self.flat[self.starts[:-1]] = np.arange(1 << 16)
         self.flat[self.starts[END]] = end_id
-        for r, (left, right) in enumerate(rule.tolist()):
-            a, n = self.starts[base + r], size[left]
-            self.flat[a : a + n] = self.flat[self.starts[left] : self.starts[left] + n]
-            self.flat[a + n : a + n + size[right]] = self.flat[self.starts[right] : self.starts[right] + size[right]]
+        newest, done = rule.max(1, initial=0).astype(np.int64) - base, 0
+        while done < len(rule):  # the next rules that need none of each other, at once
+            later = newest[done:] >= done
+            stop = done + int(np.argmax(later)) if later.any() else len(rule)
+            self.flat[self.starts[base + done] : self.starts[base + stop]] = self.expand(rule[done:stop].reshape(-1))
+            done = stop
         self.ends: np.ndarray | None = None
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:

@@ -60,6 +60,30 @@ def test_token_ids_round_trip(spark, docs, rows, empty):
     assert repair.read_ids(repair.write_ids(empty, Scratch(spark, "t"))).count() == 0
 
 
+@pytest.mark.parametrize("bits", [20, 3])
+def test_ranks_of_pairs_that_share_slots(monkeypatch, bits):
+    monkeypatch.setattr(repair, "SLOT_BITS", bits)
+    keys = np.random.default_rng(3).integers(0, 400, 5000).astype(np.uint32)
+    for chosen in (np.arange(0, 400, 7, dtype=np.uint32)[::-1], np.zeros(0, np.uint32)):
+        place = {int(k): i for i, k in enumerate(chosen)}
+        got = repair.ranks_of(keys, repair.slots(keys), chosen)
+        assert got.tolist() == [place.get(int(k), repair.NONE) for k in keys]
+
+
+def test_rules_expand_to_what_was_compressed():
+    ids = np.random.default_rng(5).choice([1, 2, 3, 4, repair.END], 20_000, p=[0.4, 0.3, 0.2, 0.09, 0.01]).astype(np.uint16)
+    symbols, rules, lengths = repair.compress(ids, 10)
+    pairs = np.stack([rules >> np.uint32(16), rules & np.uint32(0xFFFF)], 1).astype("<u2")
+    shard = repair.Shard(10, pairs.tobytes(), lengths.astype("<u4").tobytes(), symbols.astype("<u2").tobytes(), 9)
+    plain = {s: [9 if s == repair.END else s] for s in (1, 2, 3, 4, repair.END)}
+    for r, (left, right) in enumerate(pairs.tolist()):
+        plain[10 + r] = plain[left] + plain[right]
+    assert len(symbols) < len(ids) / 2 and lengths.tolist() == [len(plain[10 + r]) for r in range(len(rules))]
+    want = np.where(ids == repair.END, 9, ids)
+    assert np.array_equal([x for s in symbols.tolist() for x in plain[s]], want)
+    assert np.array_equal(shard.expand(shard.symbols), want) and np.array_equal(shard.read(777, 4321), want[777:4321])
+
+
 @pytest.mark.parametrize("file", ["word_bpe_49k.json", "byte_bpe_50k.json"])
 def test_chunks_encode_as_the_whole_text(file):
     e = encoder(file)
