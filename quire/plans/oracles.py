@@ -73,9 +73,10 @@ TITLE = "CASE WHEN coalesce(try_cast(substr(source, 4) AS INT), 0) % 2 = 1 AND n
 BOOKMARKS = f"{NUMBERED}, bm AS (SELECT source AS book_id, n AS ord, 1 + n % 2 AS level, {STRIP.format(TITLE)} AS title, CASE WHEN n % 5 = 0 THEN 0 ELSE n END AS page_pdf FROM numbered WHERE n % 3 = 1)"
 USEFUL = r"us AS (SELECT book_id, count(*) FILTER (WHERE page_pdf > 0) > 0 AND 2 * count(*) FILTER (WHERE regexp_matches(title, '(?i)^(?:p\.?\s*)?[0-9]+\s*$')) <= count(*) AS useful FROM bm GROUP BY book_id)"
 
-SQL_WORDS = """tk AS (SELECT source AS book_id, doc_id AS page_pdf, unnest(w) AS text, unnest(range(len(w))) AS i FROM (SELECT source, doc_id, list_filter(regexp_split_to_array(text, '[ \\n]'), lambda x: x <> '') AS w FROM documents)),
+SQL_WORDS = """al AS (SELECT source AS book_id, doc_id, unnest(w) AS text, unnest(range(len(w))) AS k FROM (SELECT source, doc_id, list_filter(regexp_split_to_array(text, '[ \\n]'), lambda x: x <> '') AS w FROM documents)),
+tk AS (SELECT book_id, doc_id * 1000001 + k // 288 AS page_pdf, k % 288 AS i, text FROM al),
 w AS (SELECT book_id, page_pdf, i, text, page_pdf % 2 = 0 AS two, CASE WHEN page_pdf % 2 = 0 THEN 72.0 + (i % 3) * 75 + (CASE WHEN i >= 144 THEN 245 ELSE 0 END) ELSE 72.0 + (i % 6) * 78 END::DOUBLE AS x0,
- CASE WHEN page_pdf % 2 = 0 THEN 72.0 + floor((i % 144) / 3) * 13 + (i % 3) * 0.5 ELSE 72.0 + floor(i / 6) * 13 + (i % 2) * 0.5 END::DOUBLE AS y FROM tk WHERE i < 288),
+ CASE WHEN page_pdf % 2 = 0 THEN 72.0 + floor((i % 144) / 3) * 13 + (i % 3) * 0.5 ELSE 72.0 + floor(i / 6) * 13 + (i % 2) * 0.5 END::DOUBLE AS y FROM tk),
 sp AS (SELECT *, x0 + CASE WHEN two THEN 70.0 ELSE 76.0 END AS x1 FROM w),
 r0 AS (SELECT *, CASE WHEN y - lag(y) OVER (PARTITION BY book_id, page_pdf ORDER BY y, x0) <= 3 THEN 0 ELSE 1 END AS b FROM sp),
 r AS (SELECT *, sum(b) OVER (PARTITION BY book_id, page_pdf ORDER BY y, x0) AS row FROM r0),

@@ -70,8 +70,9 @@ WIDTH, HEIGHT = 612.0, 792.0
 
 
 def words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first words that a page has room for: 6 a line, 48 lines; pages of even numbers have two columns of 3 with a gutter."""
-    tokens = table(spark, sf_dir, "documents").selectExpr("source as book_id", "doc_id as page_pdf", "posexplode(filter(split(text, '[ \\n]'), x -> x <> '')) as (i, text)").where("i < 288")
+    """All words of a document on pages of 48 lines, 6 a line; pages of even numbers have two columns of 3 with a gutter."""
+    every = table(spark, sf_dir, "documents").selectExpr("source as book_id", "doc_id", "posexplode(filter(split(text, '[ \\n]'), x -> x <> '')) as (k, text)")
+    tokens = every.selectExpr("book_id", "doc_id * 1000001 + k div 288 as page_pdf", "k % 288 as i", "text")
     x = "case when page_pdf % 2 = 0 then 72.0 + (i % 3) * 75 + (case when i >= 144 then 245 else 0 end) else 72.0 + (i % 6) * 78 end"
     y = "case when page_pdf % 2 = 0 then 72.0 + floor((i % 144) / 3) * 13 + (i % 3) * 0.5 else 72.0 + floor(i / 6) * 13 + (i % 2) * 0.5 end"
     placed = tokens.selectExpr("book_id", "page_pdf", "0 as block", "i", "text", f"cast({x} as double) as x0", f"cast({y} as double) as y0")
