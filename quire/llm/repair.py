@@ -229,7 +229,7 @@ def read_ids(shards: DataFrame, end_id: int = 2) -> DataFrame:
     firsts = shards.select("part", "shard", "n_tokens").join(small_side(before), "part").selectExpr(
         "part", "shard", "coalesce(before_part, 0) + coalesce(sum(n_tokens) over (partition by part order by shard rows between unbounded preceding and 1 preceding), 0) as first"
     )
-    return shards.join(firsts, ["part", "shard"]).select("first", "base", "doc_ids", "null_ids", "doc_lens", "rules", "lengths", "symbols").mapInArrow(decode_partition(end_id), RESULT)
+    return shards.join(small_side(firsts), ["part", "shard"]).select("first", "base", "doc_ids", "null_ids", "doc_lens", "rules", "lengths", "symbols").mapInArrow(decode_partition(end_id), RESULT)
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
