@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -23,6 +24,8 @@ NAV_PAGE_TOKEN = r"(?is)<ol\b[^>]*>|</ol>|<a\b[^>]*>.*?</a>"
 REPLACEABLE = {"p", "div", "span", "h1", "h2", "h3", "h4", "h5", "h6"}
 INLINE = {"a", "span", "em", "i", "b", "strong", "small", "sup", "sub"}
 BLOCK_OPEN = re.compile(r"<(p|div|section|blockquote|li|td|h[1-6])\b[^>]*>", re.IGNORECASE)
+TAG = re.compile(r"<([a-zA-Z][\w:.-]*)\b[^>]*>")
+ID = re.compile(r"\sid\s*=\s*[\"']([^\"']*)[\"']")
 HIGHEST = 6
 
 
@@ -68,28 +71,39 @@ def element_end(markup: str, tag: re.Match) -> tuple[int, str] | None:
     return close.end(), markup[tag.end() : close.start()]
 
 
-def place_of(markup: str, anchor: str | None, title: str) -> tuple[int, int]:
-    """Where a heading goes: the span of the element that already is the title, else before the anchor's block, else where the body begins."""
-    body = re.search(r"<body\b[^>]*>", markup, re.IGNORECASE)
-    start = body.end() if body else 0
-    tag = re.search(rf"<([a-zA-Z][\w:.-]*)\b[^>]*?\sid\s*=\s*[\"']{re.escape(anchor)}[\"'][^>]*>", markup) if anchor else None
-    if tag is None:
+class Page:
+    """Where elements of a page begin: its first tag of each id, and its blocks, found in one pass each."""
+
+    def __init__(self, markup: str) -> None:
+        body = re.search(r"<body\b[^>]*>", markup, re.IGNORECASE)
+        self.markup, self.start, self.ids = markup, body.end() if body else 0, {}
+        for tag in TAG.finditer(markup):
+            for anchor in ID.findall(tag.group(0)):
+                self.ids.setdefault(anchor, tag)
+        self.blocks = list(BLOCK_OPEN.finditer(markup))
+        self.block_starts = [x.start() for x in self.blocks]
+
+    def place_of(self, anchor: str | None, title: str) -> tuple[int, int]:
+        """Where a heading goes: the span of the element that already is the title, else before the anchor's block, else where the body begins."""
+        tag = self.ids.get(anchor) if anchor else None
+        if tag is None:
+            return self.start, self.start
+        name, block = tag.group(1).lower(), tag
+        if name in INLINE and name not in REPLACEABLE:
+            before = bisect_left(self.block_starts, tag.start())
+            block = self.blocks[before - 1] if before else None
+        if block is not None and (block is not tag or name in REPLACEABLE):
+            end = element_end(self.markup, block)
+            if end and same_words(visible(end[1]), title):
+                return block.start(), end[0]
+        start = (block or tag).start()
         return start, start
-    name, block = tag.group(1).lower(), tag
-    if name in INLINE and name not in REPLACEABLE:
-        opened = list(BLOCK_OPEN.finditer(markup, 0, tag.start()))
-        block = opened[-1] if opened else None
-    if block is not None and (block is not tag or name in REPLACEABLE):
-        end = element_end(markup, block)
-        if end and same_words(visible(end[1]), title):
-            return block.start(), end[0]
-    start = (block or tag).start()
-    return start, start
 
 
 def with_headings(markup: str, entries: list[tuple[int, str, str | None]]) -> tuple[str, int]:
     """Markup with a heading for each entry (depth from 1, label, anchor), and how many; entries of one place keep their order."""
-    edits = sorted((*place_of(markup, anchor, title.strip()), i, f"<h{min(HIGHEST, max(1, depth))}>{html.escape(title.strip(), quote=False)}</h{min(HIGHEST, max(1, depth))}>") for i, (depth, title, anchor) in enumerate(entries) if title.strip())
+    page = Page(markup)
+    edits = sorted((*page.place_of(anchor, title.strip()), i, f"<h{min(HIGHEST, max(1, depth))}>{html.escape(title.strip(), quote=False)}</h{min(HIGHEST, max(1, depth))}>") for i, (depth, title, anchor) in enumerate(entries) if title.strip())
     parts, at = [], 0
     for start, end, _, heading in edits:
         parts += [markup[at : max(at, start)], heading]

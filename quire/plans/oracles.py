@@ -175,8 +175,19 @@ SELECT book_id, page_pdf, two_columns, md5(text) AS text_md5 FROM (SELECT * FROM
     "table_grids": r"""WITH c AS (SELECT source, doc_id, r, '| ' || string_agg('c' || r || k || '\|' || doc_id || CASE WHEN r = 2 AND k = 1 THEN ' more ' || doc_id ELSE '' END, ' | ' ORDER BY k) || ' |' AS line FROM documents, range(3) a(r), range(4) b(k) GROUP BY ALL),
 g AS (SELECT source, doc_id, string_agg(line, chr(10) ORDER BY r) AS body FROM c GROUP BY ALL)
 SELECT source AS book_id, doc_id AS page_pdf, CAST(100 AS DOUBLE) AS start_y, CAST(200 AS DOUBLE) AS end_y, '**TABLE ' || (doc_id % 9 + 1) || CASE WHEN doc_id % 2 = 0 THEN ' — Figures of the year' ELSE '' END || '**' || chr(10) || chr(10) || regexp_replace(body, '\n', chr(10) || '|---|---|---|---|' || chr(10)) AS markdown FROM g""",
-    "nav_page_entries": "SELECT doc_id, 0 AS ord, 1 AS depth, 'Part & ' || doc_id AS label, 'd' || doc_id || '.xhtml' AS doc, 'a' AS anchor FROM documents UNION ALL SELECT doc_id, 1, 2, 'Inner one', 'OEBPS/e ' || doc_id || '.xhtml', NULL FROM documents",
-    "planned_headings": "SELECT source AS book_id, 'd' || doc_id AS name, 2 AS n_injected, 'nav' AS heading_source, md5('<body><h1>title ' || doc_id || '</h1><p>' || replace(replace(text, '&', ''), '<', '') || '</p><h2>End ' || doc_id || '</h2><p><a id=\"b\"/>end</p></body>') AS markup_md5 FROM documents",
+    "nav_page_entries": r"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS x, unnest(range(len(string_split(text, chr(10))))) AS i FROM documents),
+k AS (SELECT *, regexp_extract(x, '[A-Za-z]+') AS a, regexp_extract(x, '^[A-Za-z]+ ([A-Za-z]+)', 1) AS b FROM l WHERE regexp_matches(x, '[A-Za-z]')),
+s AS (SELECT *, sum(CASE WHEN i % 3 = 1 THEN 1 ELSE 0 END) OVER w AS opened, coalesce(sum(CASE WHEN i % 3 = 2 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS closed FROM k WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+d AS (SELECT *, opened - closed + 1 AS total, least(0, min(opened - closed + 1 - CASE WHEN i % 3 = 1 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i)) AS low FROM s)
+SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS ord, greatest(1, total - low) AS depth, trim(a || ' & ' || b) AS label,
+CASE WHEN i % 2 = 0 THEN 'd' || doc_id || '.xhtml' ELSE 'OEBPS/e ' || doc_id || '.xhtml' END AS doc, CASE WHEN i % 2 = 0 THEN 'l' || i END AS anchor FROM d""",
+    "planned_headings": r"""WITH l AS (SELECT source, doc_id, unnest(string_split(text, chr(10))) AS x, unnest(range(len(string_split(text, chr(10))))) AS i FROM documents),
+c AS (SELECT *, trim(regexp_replace(x, '[^A-Za-z0-9 ]+', '', 'g')) AS own, regexp_replace(x, '[&<>]', '', 'g') AS plain, min(CASE WHEN i % 2 = 1 THEN 2 + (i // 2) % 2 END) OVER (PARTITION BY source) AS least FROM l),
+h AS (SELECT *, i % 4 = 1 OR (i % 4 = 3 AND own <> '') AS headed, 'h' || (3 + (i // 2) % 2 - least) AS tag FROM c),
+p AS (SELECT *, '<p id="l' || i || '">' || CASE i % 4 WHEN 3 THEN own WHEN 1 THEN '<a id="a' || i || '"/>' || plain ELSE plain END || '</p>' AS para FROM h),
+m AS (SELECT source, doc_id, count(*) FILTER (WHERE headed) AS n, string_agg(CASE WHEN headed AND i % 4 = 3 THEN '<' || tag || '>' || upper(own) || '</' || tag || '>' WHEN headed THEN '<' || tag || '>Part ' || i || '</' || tag || '>' || para ELSE para END, '' ORDER BY i) AS body FROM p GROUP BY source, doc_id),
+s AS (SELECT source FROM m GROUP BY source HAVING sum(n) > 0)
+SELECT m.source AS book_id, 'd' || doc_id AS name, n AS n_injected, CASE WHEN s.source IS NULL THEN NULL ELSE 'nav' END AS heading_source, md5('<body>' || body || '</body>') AS markup_md5 FROM m LEFT JOIN s ON m.source = s.source""",
     "text_gates": rf"""WITH d AS (SELECT source, CASE WHEN coalesce(try_cast(substr(source, 4) AS INT), 0) % 5 = 0 AND doc_id % 20 <> 0 THEN '' ELSE text END AS text FROM documents),
 p AS (SELECT source, text, regexp_replace(regexp_replace(text, '(?s)<!--.*?-->|[#*_`|]+', ' ', 'g'), '(?m)^-{{3,}}$', ' ', 'g') AS b FROM d),
 s AS (SELECT source, count(*) AS total, count(*) FILTER (WHERE regexp_matches(text, '\S')) AS with_text, min(CASE WHEN length(b) < 500 THEN 1.0 ELSE greatest(0.0, 1 - (len(regexp_extract_all(b, '(?i)[a-z][0-9][a-z]')) + len(regexp_extract_all(b, '(?i)[a-z]vv[a-z]'))) * 10000.0::DOUBLE / length(b) / 2) END) AS score FROM p GROUP BY source)

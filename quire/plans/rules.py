@@ -113,8 +113,13 @@ def table_grids(spark, sf_dir):
     return layout.tables(cells, sizes(cells)).select("book_id", "page_pdf", "start_y", "end_y", "markdown")
 
 
-NAV_PAGES = "concat('<nav epub:type=\"landmarks\"><ol><li><a href=\"x.xhtml\">no</a></li></ol></nav><nav epub:type=\"toc\"><ol><li><a href=\"../d', cast(doc_id as string), '.xhtml#a\">Part &amp; ', cast(doc_id as string), '</a><ol><li><a href=\"e%20', cast(doc_id as string), '.xhtml\"><b>Inner</b> one</a></li></ol></li></ol></nav>')"
-SPINE = "concat('<body><p id=\"a\" class=\"x\">Title <i>', cast(doc_id as string), '</i></p><p>', replace(replace(text, '&', ''), '<', ''), '</p><p><a id=\"b\"/>end</p></body>')"
+#: A navigation page: an entry for each line of a text, of two levels, named by the line's first words; lines without a word name nothing.
+NAV_ENTRY = """concat(case when i % 3 = 1 then '<ol>' else '' end, '<li><a href="', case when i % 2 = 0 then concat('../d', cast(doc_id as string), '.xhtml#l', cast(i as string)) else concat('e%20', cast(doc_id as string), '.xhtml') end,
+ '"><b>', regexp_extract(x, '[A-Za-z]+', 0), '</b> &amp; ', regexp_extract(x, '^[A-Za-z]+ ([A-Za-z]+)', 1), '</a></li>', case when i % 3 = 2 then '</ol>' else '' end)"""
+NAV_PAGES = f"""concat('<nav epub:type="landmarks"><ol><li><a href="x.xhtml">no</a></li></ol></nav><nav epub:type="toc"><ol>', array_join(transform(split(text, '\n'), (x, i) -> case when x rlike '[A-Za-z]' then {NAV_ENTRY} else '' end), ''), '</ol></nav>')"""
+#: A page of an e-book: each line of a text is a paragraph with an id; every fourth is a heading's words alone, or stands below an anchor in a line.
+SPINE_LINE = """concat('<p id="l', cast(i as string), '">', case i % 4 when 3 then trim(regexp_replace(x, '[^A-Za-z0-9 ]+', '')) when 1 then concat('<a id="a', cast(i as string), '"/>', regexp_replace(x, '[&<>]', '')) else regexp_replace(x, '[&<>]', '') end, '</p>')"""
+SPINE = f"concat('<body>', array_join(transform(split(text, '\n'), (x, i) -> {SPINE_LINE}), ''), '</body>')"
 
 
 def nav_page_entries(spark, sf_dir):
@@ -123,9 +128,12 @@ def nav_page_entries(spark, sf_dir):
 
 
 def planned_headings(spark, sf_dir):
+    """Of the lines of a page every fourth is its own heading, and every fourth gets one before it."""
     docs = documents(spark, sf_dir, SPINE).selectExpr("source as book_id", "cast(doc_id as int) as ord", "concat('d', cast(doc_id as string)) as name", "text as markup")
-    both = table(spark, sf_dir, "documents").selectExpr("source as book_id", "doc_id", "explode(array(0, 1)) as k")
-    nav = both.selectExpr("book_id", "cast(doc_id * 2 + k as int) as ord", "2 + k as depth", "concat(case when k = 0 then 'title ' else 'End ' end, cast(doc_id as string)) as label", "concat('d', cast(doc_id as string)) as doc", "case when k = 0 then 'a' else 'b' end as anchor")
+    lines = table(spark, sf_dir, "documents").selectExpr("source as book_id", "doc_id", "posexplode(split(text, '\n')) as (i, x)").where("i % 2 = 1")
+    label = "case when i % 4 = 3 then upper(trim(regexp_replace(x, '[^A-Za-z0-9 ]+', ''))) else concat('Part ', cast(i as string)) end"
+    anchor = "concat(case when i % 4 = 3 then 'l' else 'a' end, cast(i as string))"
+    nav = lines.selectExpr("book_id", "cast(doc_id * 100000000 + i as long) as ord", "cast(2 + i div 2 % 2 as int) as depth", f"{label} as label", "concat('d', cast(doc_id as string)) as doc", f"{anchor} as anchor")
     return headings.plan_headings(docs, nav).select("book_id", "name", "n_injected", "heading_source", F.md5("markup").alias("markup_md5"))
 
 
