@@ -172,9 +172,14 @@ co AS (SELECT book_id, page_pdf, side, string_agg(line, chr(10) ORDER BY row) AS
 two AS (SELECT book_id, page_pdf, true AS two_columns, string_agg(text, chr(10) || chr(10) ORDER BY side) || chr(10) AS text FROM co GROUP BY book_id, page_pdf),
 one AS (SELECT r.book_id, r.page_pdf, false AS two_columns, string_agg(text, chr(10) ORDER BY round_even(y, 0), x0, text) || chr(10) AS text FROM r JOIN gt USING (book_id, page_pdf) WHERE gutter IS NULL GROUP BY r.book_id, r.page_pdf)
 SELECT book_id, page_pdf, two_columns, md5(text) AS text_md5 FROM (SELECT * FROM two UNION ALL SELECT * FROM one)""",
-    "table_grids": r"""WITH c AS (SELECT source, doc_id, r, '| ' || string_agg('c' || r || k || '\|' || doc_id || CASE WHEN r = 2 AND k = 1 THEN ' more ' || doc_id ELSE '' END, ' | ' ORDER BY k) || ' |' AS line FROM documents, range(3) a(r), range(4) b(k) GROUP BY ALL),
-g AS (SELECT source, doc_id, string_agg(line, chr(10) ORDER BY r) AS body FROM c GROUP BY ALL)
-SELECT source AS book_id, doc_id AS page_pdf, CAST(100 AS DOUBLE) AS start_y, CAST(200 AS DOUBLE) AS end_y, '**TABLE ' || (doc_id % 9 + 1) || CASE WHEN doc_id % 2 = 0 THEN ' — Figures of the year' ELSE '' END || '**' || chr(10) || chr(10) || regexp_replace(body, '\n', chr(10) || '|---|---|---|---|' || chr(10)) AS markdown FROM g""",
+    "table_grids": r"""WITH t AS (SELECT source, doc_id, regexp_extract_all(text, '[^ \t\n\r\f]+') AS w FROM documents),
+k AS (SELECT source, doc_id, w, unnest(range(0, CAST(ceil(len(w) / 52.0) * 52 AS BIGINT))) AS k FROM t),
+x AS (SELECT source AS book_id, doc_id * 1000001 + k // 52 AS page_pdf, k % 52 // 13 AS g, k % 13 AS m, 'c' || replace(coalesce(w[k + 1], ''), '|', '\|') AS t FROM k),
+y AS (SELECT book_id, page_pdf, g, least(m // 4, 2) AS r, CASE WHEN m = 12 THEN 1 ELSE m % 4 END AS c, string_agg(t, ' ' ORDER BY m) AS t FROM x GROUP BY ALL),
+l AS (SELECT book_id, page_pdf, g * 3 + r AS r, '| ' || string_agg(t, ' | ' ORDER BY c) || ' |' AS line FROM y GROUP BY ALL),
+b AS (SELECT book_id, page_pdf, string_agg(CASE WHEN r = 0 THEN line || chr(10) || '|---|---|---|---|' ELSE line END, chr(10) ORDER BY r) AS body FROM l GROUP BY ALL)
+SELECT book_id, page_pdf, CAST(100 AS DOUBLE) AS start_y, CAST(354 AS DOUBLE) AS end_y,
+'**TABLE ' || (page_pdf % 9 + 1) || CASE WHEN page_pdf % 2 = 0 THEN ' — Figures of the year' ELSE '' END || '**' || chr(10) || chr(10) || body AS markdown FROM b""",
     "nav_page_entries": r"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS x, unnest(range(len(string_split(text, chr(10))))) AS i FROM documents),
 k AS (SELECT *, regexp_extract(x, '[A-Za-z]+') AS a, regexp_extract(x, '^[A-Za-z]+ ([A-Za-z]+)', 1) AS b FROM l WHERE regexp_matches(x, '[A-Za-z]')),
 s AS (SELECT *, sum(CASE WHEN i % 3 = 1 THEN 1 ELSE 0 END) OVER w AS opened, coalesce(sum(CASE WHEN i % 3 = 2 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS closed FROM k WINDOW w AS (PARTITION BY doc_id ORDER BY i)),

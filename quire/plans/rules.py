@@ -96,20 +96,23 @@ def column_pages(spark, sf_dir):
     return layout.page_texts(w, cells, blocks, pages).select("book_id", "page_pdf", "two_columns", F.md5("text").alias("text_md5"))
 
 
-TABLE_CELLS = """
-select source as book_id, doc_id as page_pdf, y, x, t as text from (
-  select source, doc_id, 100.0 as y, 72.0 as x, concat('TABLE ', cast(doc_id % 9 + 1 as string)) as t from documents
-  union all select source, doc_id, 112.0, 72.0, 'Figures of the year' from documents where doc_id % 2 = 0
-  union all select source, doc_id, 130.0 + 14 * r, 72.0 + 110 * c + (r % 2) * 3, concat('c', cast(r as string), cast(c as string), '|', cast(doc_id as string)) from documents, (select 0 as r union all select 1 union all select 2), (select 0 as c union all select 1 union all select 2 union all select 3)
-  union all select source, doc_id, 130.0 + 14 * 3, 182.0, concat('more ', cast(doc_id as string)) from documents
-  union all select source, doc_id, 200.0, 72.0, concat('the following paragraph holds several longer words of prose and then ends here ', cast(doc_id as string)) from documents
-) s
-"""
+#: The words of a text in tables of four columns, 52 a page: three rows of four, then a row of one that goes on in the second column.
+TABLE_WORDS = "explode(transform(sequence(0, cast(ceil(size(w) / 52) as int) * 52 - 1), k -> struct(k div 52 as p, k % 52 div 13 as g, k % 13 as m, concat('c', coalesce(get(w, k), '')) as t)))"
+
+
+def table_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").selectExpr("source as book_id", "doc_id", "regexp_extract_all(text, '[^ \\\\t\\\\n\\\\r\\\\f]+', 0) as w").where("size(w) > 0")
+    words = docs.selectExpr("book_id", "doc_id", f"{TABLE_WORDS} as x").selectExpr("book_id", "doc_id * 1000001 + x.p as page_pdf", "x.g * 4 + x.m div 4 as r", "case when x.m = 12 then 1 else x.m % 4 end as c", "x.t as text")
+    cells = words.selectExpr("book_id", "page_pdf", "cast(130 + 14 * r as double) as y", "cast(72 + 110 * c + r % 2 * 3 as double) as x", "text")
+    pages = docs.selectExpr("book_id", "explode(sequence(doc_id * 1000001, doc_id * 1000001 + cast(ceil(size(w) / 52) as long) - 1)) as page_pdf")
+    around = pages.selectExpr("book_id", "page_pdf", """inline(array(struct(100.0D as y, 72.0D as x, concat('TABLE ', cast(page_pdf % 9 + 1 as string)) as text),
+      struct(112.0D as y, 72.0D as x, case when page_pdf % 2 = 0 then 'Figures of the year' else '' end as text),
+      struct(354.0D as y, 72.0D as x, 'the following paragraph holds several longer words of prose and then ends here' as text)))""")
+    return cells.unionByName(around)
 
 
 def table_grids(spark, sf_dir):
-    table(spark, sf_dir, "documents").createOrReplaceTempView("quire_table_documents")
-    cells = spark.sql(TABLE_CELLS.replace("from documents", "from quire_table_documents"))
+    cells = table_cells(spark, sf_dir)
     return layout.tables(cells, sizes(cells)).select("book_id", "page_pdf", "start_y", "end_y", "markdown")
 
 
