@@ -81,3 +81,16 @@ def test_entry_names_every_oracle():
     import __spark_entry__ as e
 
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_headings_of_a_page_are_placed_by_one_index():
+    """As many entries as a long page has, in time that follows its length; first ids count, anchors in a line stand for their block."""
+    from quire.operators.headings import with_headings
+
+    markup = '<body><p id="a">One, two</p><P>x <a id=\'b\'/>y</P><div id="a">late</div><h2 id="c">Own</h2></body>'
+    got, n = with_headings(markup, [(1, "one two", "a"), (2, "B & C", "b"), (9, "Own", "c"), (1, "top", "none"), (1, " ", "b")])
+    assert n == 4 and got == "<body><h1>top</h1><h1>one two</h1><h2>B &amp; C</h2><P>x <a id='b'/>y</P><div id=\"a\">late</div><h6>Own</h6></body>"
+    assert with_headings("", [(1, "t", "x")]) == ("<h1>t</h1>", 1) and with_headings("plain", []) == ("plain", 0)
+    long = "".join(f'<p id="p{i}">line {i}</p>' for i in range(20_000))
+    whole, n = with_headings(long, [(1, f"line {i}", f"p{i}") for i in range(20_000)])
+    assert n == 20_000 and whole == "".join(f"<h1>line {i}</h1>" for i in range(20_000))
