@@ -81,7 +81,7 @@ def page_locators(spark, sf_dir):
 
 
 def offset_consensus(spark, sf_dir):
-    return locators.consensus(furniture.strip_furniture(page_stream(spark, sf_dir)).where("page_printed is not null"))
+    return locators.consensus(furniture.strip_furniture(page_stream(spark, sf_dir), LONG_BOOKS).where("page_printed is not null"))
 
 
 def paginated_split(spark, sf_dir):
