@@ -14,11 +14,14 @@ that the shorter one has are all among the shorter one's. The likeness of two
 fingerprints is the share of the longer one's times at which both stand on the
 same.
 
-Near texts meet in bands, keys of BAND_SAMPLES further bytes at times that all
-walks of at least a power of two share; walks shortly above a power have the
-bands of the one below too. A band's members are verified against one of them,
-chosen by a hash, in ROUNDS rounds with other choices for those that are not in
-one class yet.
+Near texts meet in bands, and none that are alike are missed. Sampled times are
+dealt to one more band than there may be differences, and a time that takes
+another's place as walks grow takes its band too: a band in which the longer
+walk has only times of the shorter one is the same band of both, and of two
+like walks one such band has no difference. A band's members are verified
+against one of them, chosen by a hash, in ROUNDS rounds with other choices for
+those that are not in one class yet; then all members of a band that still has
+several classes are compared, class against class.
 
 The next document comes by a sort: each task pairs neighbours in its range and
 gives its first and last document, which are paired afterwards.
@@ -27,6 +30,7 @@ gives its first and last document, which are paired afterwards.
 from __future__ import annotations
 
 import hashlib
+import heapq
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -40,9 +44,11 @@ from .common import Scratch, mix64, small_side, text_bytes
 from .jaccard import components
 
 SAMPLES, GRAM, LONGEST_STAY = 128, 4, 15
-BANDS, BAND_SAMPLES, NEAR_A_POWER, ROUNDS, LIKE = 12, 4, 1.12, 2, 0.8
+ROUNDS, LIKE = 2, 0.8
+#: Members of a band from which pairs are found in cells of two blocks, and members of a block.
+MANY, BLOCK = 64, 1024
 BYTES_A_PART, AT_ONCE = 48 << 20, 1 << 16
-COINS, PRIORITY, BAND_SEED = np.uint64(0x5EED0001), np.uint64(0x5EED0002), 0x5EED0003
+COINS, PRIORITY, BAND_SEED = np.uint64(0x5EED0001), np.uint64(0x5EED0002), np.uint64(0x5EED0003)
 EVEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -99,22 +105,74 @@ def sample_times(length: int, wanted: int = SAMPLES) -> np.ndarray:
     return np.sort(times[times < length][:wanted])
 
 
-@lru_cache(64)
-def band_times(power: int) -> np.ndarray:
-    """BANDS times BAND_SAMPLES times under 2**power."""
-    return np.random.default_rng(BAND_SEED + power).integers(0, 1 << power, BANDS * BAND_SAMPLES)
+def differences(times: int) -> int:
+    """At how many of so many times two walks that are alike may differ."""
+    return max(k for k in range(times + 1) if (times - k) / times >= LIKE)
+
+
+BANDS = differences(SAMPLES) + 1
+
+
+class Dealt:
+    """The bands of all times that walks under a power of two have as samples: a time has the band of the one whose place it took."""
+
+    def __init__(self) -> None:
+        self.upto = SAMPLES
+        self.band = {t: t % BANDS for t in range(SAMPLES)}
+        first = mix64(np.arange(SAMPLES, dtype=np.uint64) * EVEN + PRIORITY).tolist()
+        self.held = [(-p, t) for t, p in enumerate(first)]
+        heapq.heapify(self.held)
+
+    def grow(self, length: int) -> None:
+        while self.upto < length:
+            t = np.arange(self.upto, min(2 * self.upto, self.upto + (1 << 20)), dtype=np.uint64)
+            p = mix64(t * EVEN + PRIORITY)
+            low = p < np.uint64(-self.held[0][0])
+            for time, priority in zip(t[low].tolist(), p[low].tolist()):
+                if priority < -self.held[0][0]:
+                    _, gone = heapq.heapreplace(self.held, (-priority, time))
+                    self.band[time] = self.band[gone]
+            self.upto += len(t)
+
+
+DEALT = Dealt()
+
 
+@lru_cache(4096)
+def layouts(length: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Ways to deal the sampled times of a walk to bands, each as the times' order by band, where bands begin, and the times' hashes.
 
-def powers(length: int) -> list[int]:
-    """The powers of two in whose bands a walk of this length is."""
-    top = length.bit_length() - 1
-    return [p for p in (top, top - 1) if p >= 0 and (p == top or length < NEAR_A_POWER * (1 << top))] if length else []
+    Walks of fewer than 64 times have fewer bands, by their power of two; where
+    a longer one that may be alike has the next power, theirs too.
+    """
+    times, out = sample_times(length), []
+    powers = {length.bit_length(), int(length / LIKE + 1).bit_length()} if length < 64 else {7}
+    for salt in sorted({differences((1 << min(p, 7)) - 1) + 1 for p in powers}):
+        if salt == BANDS:
+            DEALT.grow(length)
+            bands = np.array([DEALT.band[t] for t in times.tolist()])
+        else:
+            bands = times % salt
+        order = np.argsort(bands, kind="stable")
+        starts = np.flatnonzero(np.r_[True, np.diff(bands[order]) != 0])
+        seeds = mix64((times[order].astype(np.uint64) * EVEN + BAND_SEED) ^ np.uint64(salt))
+        out.append((order, starts, seeds))
+    return out
+
+
+def band_keys(packed: bytes) -> list[int]:
+    """The keys of a fingerprint's bands; two that are alike share one."""
+    length, values, out = int.from_bytes(packed[:6], "big"), np.frombuffer(packed, np.uint8, offset=6), []
+    for order, starts, seeds in layouts(length) if length else []:
+        tokens = mix64(seeds + (values[order].astype(np.uint64) + np.uint64(1)) * EVEN)
+        out += mix64(np.add.reduceat(tokens, starts)).view(np.int64).tolist()
+    return out
 
 
 class Print:
     """A text's walk, seen at a few times."""
 
-    def __init__(self, codes: np.ndarray, left: bytes, bands: bool) -> None:
+    def __init__(self, codes: np.ndarray, left: bytes) -> None:
         self.codes, self.left = codes, left
         times = np.frombuffer(left, np.uint8)
         ends, total = [], 0
@@ -124,19 +182,7 @@ class Print:
             ends.append((i, total, stays))
             total += int(stays.sum())
         self.length = total
-        wanted = [sample_times(total)]
-        self.powers = powers(total) if bands else []
-        wanted += [band_times(p) for p in self.powers]
-        seen = self.seen(np.concatenate(wanted), ends)
-        self.samples = (seen[: len(wanted[0])] & np.uint64(255)).astype(np.uint8)
-        self.bands = []
-        for i, p in enumerate(self.powers):
-            at = len(wanted[0]) + i * BANDS * BAND_SAMPLES
-            keys = seen[at : at + BANDS * BAND_SAMPLES].reshape(BANDS, BAND_SAMPLES)
-            h = np.full(BANDS, p, np.uint64) * np.uint64(64) + np.arange(BANDS, dtype=np.uint64)
-            for k in range(BAND_SAMPLES):
-                h = mix64(h * EVEN + keys[:, k])
-            self.bands += h.view(np.int64).tolist()
+        self.samples = (self.seen(sample_times(total), ends) & np.uint64(255)).astype(np.uint8)
 
     def seen(self, times: np.ndarray, ends: list) -> np.ndarray:
         """Hashes of the characters from where the walk stands at these times."""
@@ -179,9 +225,9 @@ def edited(text: str, after: str) -> str:
 
 
 class Document:
-    def __init__(self, text: str, bands: bool = True) -> None:
+    def __init__(self, text: str) -> None:
         self.text, self.codes = text, codes_of(text)
-        self.print = Print(self.codes, walk(self.codes), bands)
+        self.print = Print(self.codes, walk(self.codes))
         self.packed = self.print.packed()
 
     def edited(self, after: str) -> tuple[str, bytes]:
@@ -191,10 +237,10 @@ class Document:
         more = codes_of(after[: len(self.text) // 3])
         left = self.print.left[:same]
         left += walk(more, left[-1] if left else 0)
-        return hashlib.sha256(text.encode()).hexdigest(), Print(codes_of(text), left, False).packed()
+        return hashlib.sha256(text.encode()).hexdigest(), Print(codes_of(text), left).packed()
 
 
-PRINTS = "kind string, part long, doc_id long, n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double, bands array<long>, text string"
+PRINTS = "kind string, part long, doc_id long, n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double, text string"
 ARROW = {"string": pa.string(), "long": pa.int64(), "double": pa.float64(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64())}
 
 
@@ -205,7 +251,7 @@ def batch_of(schema: str, rows: list[dict]) -> pa.RecordBatch:
 
 def result(doc_id, mine: Document, after: str, next_packed: bytes) -> dict:
     sha, packed = mine.edited(after)
-    return {"kind": "done", "doc_id": doc_id, "n_chars": len(mine.text), "edited_sha256": sha, "fingerprint": mine.packed, "edited_fingerprint": packed, "near_edited": likeness(mine.packed, packed), "near_next": likeness(mine.packed, next_packed), "bands": mine.print.bands}
+    return {"kind": "done", "doc_id": doc_id, "n_chars": len(mine.text), "edited_sha256": sha, "fingerprint": mine.packed, "edited_fingerprint": packed, "near_edited": likeness(mine.packed, packed), "near_next": likeness(mine.packed, next_packed)}
 
 
 def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,13 +305,73 @@ def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(like))
 
 
+def with_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keys = [band_keys(x) for x in batch.column("print").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("print"), pa.array(keys, pa.list_(pa.int64()))], names=["node", "print", "bands"])
+
+
+def links_of_cell(cell: pa.Table) -> pa.Table:
+    """Links that join the classes of a cell's members (node, print, block, component), those of its two blocks compared with each other.
+
+    Two fingerprints agree at as many times as they have (time, byte) in
+    common; members that a link has joined are compared no more.
+    """
+    nodes, blocks = cell.column("node").to_numpy(), cell.column("block").to_numpy()
+    _, label = np.unique(cell.column("component").to_numpy(), return_inverse=True)
+    prints = cell.column("print").to_pylist()
+    lengths = np.array([int.from_bytes(x[:6], "big") for x in prints])
+    tokens = np.full((len(prints), SAMPLES), -1, np.int64)
+    for i, x in enumerate(prints):
+        times = sample_times(int(lengths[i]))
+        tokens[i, : len(times)] = times * 256 + np.frombuffer(x, np.uint8, offset=6)
+    known, ids = np.unique(tokens, return_inverse=True)
+    ids, sizes, out = ids.reshape(tokens.shape), np.minimum(lengths, SAMPLES), []
+    one = len(set(blocks.tolist())) == 1
+    for i in range(len(nodes)):
+        others = np.flatnonzero((label != label[i]) & (one | (blocks != blocks[i])))
+        others = others[others > i]
+        if not len(others):
+            continue
+        mine = np.zeros(len(known), bool)
+        mine[ids[i]] = True
+        mine[0] &= known[0] >= 0  # no time
+        longer = np.where(lengths[others] > lengths[i], sizes[others], sizes[i])
+        for j in others[mine[ids[others]].sum(1) / longer >= LIKE].tolist():
+            if label[j] != label[i]:
+                out.append((nodes[i], nodes[j]))
+                label[label == label[j]] = label[i]
+    return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
+
+
+def rest_of_links(grouped: DataFrame, joined: DataFrame, nodes: DataFrame, scratch: Scratch) -> DataFrame:
+    """(a, b) that join the classes which still meet in a band: all members of such bands, class against class."""
+    side = lambda c, p: nodes.select(F.col("node").alias(c), F.col("print").alias(p))
+    now = grouped.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = now.groupBy("band").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("band", "n")
+    left = scratch.keep("left", now.join(mixed, "band"))
+    few, many = left.where(F.col("n") <= MANY), left.where(F.col("n") > MANY)
+    # the members of a small band as one row, so that pairs need no join
+    ends = F.array_sort(F.collect_list(F.struct("node", "component")))
+    pairs = few.groupBy("band").agg(ends.alias("m")).select(F.explode("m").alias("x"), "m").select("x", F.explode(F.filter("m", lambda y: (y.node > F.col("x.node")) & (y.component != F.col("x.component")))).alias("y"))
+    pairs = pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    found = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").mapInArrow(verified, "a long, b long")
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    dealt = many.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    cells = dealt.select("band", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "node", "block", "component").join(nodes.select("node", "print"), "node")
+    return found.unionByName(cells.groupBy("band", "low", "high").applyInArrow(links_of_cell, "a long, b long"))
+
+
 def classes(prints: DataFrame, scratch: Scratch) -> DataFrame:
-    """(node, component) of prints (fingerprint, bands) that are like another one; a node is a fingerprint's hash.
+    """(node, component) of prints (fingerprint) that are like another one; a node is a fingerprint's hash.
 
     Equal fingerprints are one node, so copies never meet each other.
     """
-    nodes = scratch.keep("nodes", prints.where(F.size("bands") > 0).groupBy(F.xxhash64("fingerprint").alias("node")).agg(F.first("fingerprint").alias("print"), F.first("bands").alias("bands")))
+    full = prints.where(F.octet_length("fingerprint") > 6).groupBy(F.xxhash64("fingerprint").alias("node")).agg(F.first("fingerprint").alias("print"))
+    nodes = scratch.keep("nodes", full.mapInArrow(with_keys, "node long, print binary, bands array<long>"))
     grouped, links, joined = nodes.select("node", F.explode("bands").alias("band")), None, None
+    shared = grouped.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
+    grouped = scratch.keep("shared", grouped.join(shared, "band"))
     side = lambda c, p: nodes.select(F.col("node").alias(c), F.col("print").alias(p))
     for k in range(ROUNDS):
         now = grouped.withColumn("component", F.col("node")) if joined is None else grouped.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -275,7 +381,8 @@ def classes(prints: DataFrame, scratch: Scratch) -> DataFrame:
         found = scratch.keep(f"links_{k}", pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").mapInArrow(verified, "a long, b long"))
         links = found if links is None else links.unionByName(found)
         joined = components(links, scratch, f"classes_{k}")
-    return joined
+    links = links.unionByName(scratch.keep("links_rest", rest_of_links(grouped, joined, nodes, scratch)))
+    return components(links, scratch, "classes_all")
 
 
 def near_classes(docs: DataFrame) -> DataFrame:
@@ -287,12 +394,12 @@ def near_classes(docs: DataFrame) -> DataFrame:
     scratch = Scratch(docs.sparkSession, "walks")
     prints = fingerprints(docs, scratch)
     joined = classes(prints, scratch)
-    keyed = prints.where(F.size("bands") > 0).groupBy(F.xxhash64("fingerprint").alias("node")).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
+    keyed = prints.where(F.octet_length("fingerprint") > 6).groupBy(F.xxhash64("fingerprint").alias("node")).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
     named = scratch.keep("named", keyed.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node")))
     least = named.groupBy("component").agg(F.min("doc_id").alias("class_id"), F.sum("n").alias("n")).where("n > 1").select("component", "class_id")
     several = scratch.keep("several", named.select("node", "component").join(small_side(least), "component").select("node", "class_id"))
     scratch.forget()
-    return prints.withColumn("node", F.when(F.size("bands") > 0, F.xxhash64("fingerprint"))).join(small_side(several), "node", "left").withColumn("class_id", F.coalesce("class_id", "doc_id")).drop("node", "bands")
+    return prints.withColumn("node", F.when(F.octet_length("fingerprint") > 6, F.xxhash64("fingerprint"))).join(small_side(several), "node", "left").withColumn("class_id", F.coalesce("class_id", "doc_id")).drop("node")
 
 
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -97,3 +97,63 @@ def test_no_documents_and_one(spark):
     assert walks.near_classes(none).count() == 0
     (one,) = walks.near_classes(spark.createDataFrame([(3, "abcdef", 1, "n")], SCHEMA)).collect()
     assert one["edited_sha256"] == hashlib.sha256(b"abcdab").hexdigest() and one["near_next"] == 1.0 and one["class_id"] == 3
+
+
+def like_ones(rng, n):
+    """Fingerprints in chains of near ones, of lengths that differ, many about as like as classes need."""
+    out = []
+    for _ in range(n):
+        length = int(rng.choice([3, 9, 20, 31, 62, 100, 127, 128, 140, 900, 5000, 70_000]))
+        byte = dict(zip(walks.sample_times(2 * length).tolist(), rng.integers(0, 256, 2 * length).tolist()))
+        for _ in range(6):
+            now = int(length * rng.uniform(1, 1.2))
+            fresh = {t: byte.setdefault(t, int(rng.integers(0, 256))) for t in walks.sample_times(now).tolist()}
+            share = rng.uniform(0, 0.25)
+            samples = [v if rng.random() > share else int(rng.integers(0, 256)) for v in fresh.values()]
+            out.append(now.to_bytes(6, "big") + bytes(samples))
+    return out
+
+
+def test_like_fingerprints_share_a_band():
+    assert walks.BANDS == walks.differences(walks.SAMPLES) + 1
+    prints = like_ones(np.random.default_rng(4), 150)
+    keys, met = [set(walks.band_keys(x)) for x in prints], 0
+    for i in range(0, len(prints), 6):
+        for a in range(i, i + 6):
+            for b in range(a + 1, i + 6):
+                if walks.likeness(prints[a], prints[b]) >= walks.LIKE:
+                    met += 1
+                    assert keys[a] & keys[b]
+    assert met > 100
+
+
+@pytest.mark.parametrize("many", [64, 3])
+def test_classes_are_those_of_all_pairs(spark, many, monkeypatch):
+    monkeypatch.setattr(walks, "MANY", many)
+    monkeypatch.setattr(walks, "BLOCK", 1024 if many > 3 else 4)
+    rng = np.random.default_rng(8)
+    prints = like_ones(rng, 40)
+    base = rng.integers(0, 256, 128)
+    for _ in range(60):  # many that share bands, few of them alike
+        mine = base.copy()
+        at = rng.random(128) < rng.choice([0.12, 0.5])
+        mine[at] = rng.integers(0, 256, int(at.sum()))
+        prints.append((4096).to_bytes(6, "big") + bytes(mine.tolist()))
+    prints = sorted(set(prints))
+    root = list(range(len(prints)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, x in enumerate(prints):
+        for j in range(i):
+            if walks.likeness(x, prints[j]) >= walks.LIKE:
+                root[find(i)] = find(j)
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(prints)], "doc_id long, fingerprint binary")
+    named = df.selectExpr("doc_id", "xxhash64(fingerprint) as node").collect()
+    joined = dict(walks.classes(df, walks.Scratch(spark, "test")).collect())
+    mine = [joined.get(r["node"], r["node"]) for r in sorted(named)]
+    together = lambda c: {frozenset(i for i in range(len(c)) if c[i] == k) for k in set(c)}
+    assert together(mine) == together([find(i) for i in range(len(prints))])
