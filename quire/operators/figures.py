@@ -144,21 +144,56 @@ def match_captions(regions: DataFrame, lines: DataFrame, keys: tuple[str, ...] =
     return regions.join(best, [*keys, region], "left")
 
 
+def base_and_folder() -> tuple[Column, Column]:
+    """Of path: the last part, and the one before it or nothing."""
+    return F.element_at(F.split("path", "/"), -1), F.coalesce(F.get(F.reverse(F.split("path", "/")), F.lit(1)), F.lit(""))
+
+
 def harvest_names(files: DataFrame, key: str = "doc_id") -> DataFrame:
     """files(key, path) with name: the base name, and for further files of that name the folder's name before it, then a number.
 
     Files are taken in the order of their paths. A made name that a file has of
-    its own, or that an earlier file has got, goes to the next number too.
+    its own, or that an earlier file has got, goes to the next number too. A
+    null path is no file, a path that comes twice is one; a null key is a key.
+
+    A made name joins folder, number and base name by dashes. Where none of a
+    key's folders and base names has a dash of its own, it can be read in one
+    way only and is no base name, so that no two files ask for the same: a place
+    in the order says all. Only keys with such a dash need rounds of asking.
+    """
+    given = files.where("path is not null").select(key, "path")
+    base, folder = base_and_folder()
+    dashed = settled(given.where(base.contains("-") | folder.contains("-")).select(F.struct(key).alias("k")).distinct())
+    if dashed.isEmpty():
+        return names_in_order(given, key)
+    keyed = given.withColumn("k", F.struct(key))
+    plain, others = keyed.join(dashed, "k", "left_anti").select(key, "path"), keyed.join(dashed, "k", "left_semi").select(key, "path")
+    return names_in_order(plain, key).unionByName(names_by_rounds(others, key))
+
+
+def names_in_order(given: DataFrame, key: str) -> DataFrame:
+    """harvest_names of given(key, path) of keys where no two files ask for one name. The paths of a key and base name are sorted by one task."""
+    base, folder = base_and_folder()
+    together = given.repartition(key, base).withColumns({"__base": base, "__folder": folder})
+    order = Window.partitionBy(key, "__base").orderBy("path")
+    once = together.withColumns({"__n": F.row_number().over(order), "__before": F.lag("path").over(order)}).where("__before is null or __before <> path")
+    once = once.withColumn("__first", F.col("__n") == 1)
+    r = F.row_number().over(Window.partitionBy(key, "__base", "__folder", "__first").orderBy("path"))
+    name = F.when(F.col("__first"), F.col("__base")).when(F.col("__r") == 1, F.concat_ws("-", "__folder", "__base")).otherwise(F.concat_ws("-", "__folder", F.col("__r").cast("string"), "__base"))
+    return once.withColumn("__r", r).select(key, "path", name.alias("name"))
+
+
+def names_by_rounds(files: DataFrame, key: str) -> DataFrame:
+    """harvest_names of any files(key, path).
 
     All files ask for a name at once. Who asks for a base name that there is,
     or for a name that an earlier path also asks for, asks for the next; files
     of one folder and base name keep their order, so that whoever stands behind
     moves on as well. Numbers only grow, and none passes what taking the files
-    one by one would give, so the rounds end, and end there. A null path is no
-    file, a path that comes twice is one; a null key is a key.
+    one by one would give, so the rounds end, and end there.
     """
-    base, folder = F.element_at(F.split("path", "/"), -1), F.coalesce(F.get(F.reverse(F.split("path", "/")), F.lit(1)), F.lit(""))
-    given = files.where("path is not null").select(F.struct(key).alias("k"), "path").distinct().withColumns({"base": base, "folder": folder})
+    base, folder = base_and_folder()
+    given = files.select(F.struct(key).alias("k"), "path").distinct().withColumns({"base": base, "folder": folder})
     bases = settled(given.groupBy("k", "base").agg(F.min("path").alias("path")))
     further = given.join(bases, ["k", "base", "path"], "left_anti")
     asked = number_rows(further, ["k", "folder", "base"], ["path"], "r").withColumn("n", F.col("r"))

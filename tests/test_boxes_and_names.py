@@ -93,3 +93,19 @@ def test_names_against_taking_them_one_by_one(spark):
     got = figures.harvest_names(given).collect()
     assert {(r["doc_id"], r["path"]): r["name"] for r in got} == want and len(got) == len(want)
     assert figures.harvest_names(given.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("parts", (["a", "b", "2", "3", "ab", ""], ["a", "2", "a-2"]))
+def test_names_without_rounds(spark, monkeypatch, parts):
+    """Keys without dashes of their own need no rounds, beside keys that do."""
+    rng = random.Random(8)
+    rows = [(doc, "/".join(rng.choice(parts[:5]) for _ in range(rng.randint(1, 4))) or "a") for doc in [*range(30), None] for _ in range(60)]
+    rows = [(doc, p) for doc, p in rows if "-" not in p or doc == 7]
+    if "" in parts:
+        monkeypatch.setattr(figures, "names_by_rounds", None)
+    paths = defaultdict(set)
+    for doc, path in rows:
+        paths[doc].add(path)
+    want = {(doc, p): n for doc, mine in paths.items() for p, n in one_by_one(mine).items()}
+    got = figures.harvest_names(spark.createDataFrame(rows, "doc_id int, path string").repartition(3)).collect()
+    assert {(r["doc_id"], r["path"]): r["name"] for r in got} == want and len(got) == len(want)
