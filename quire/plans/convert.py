@@ -34,7 +34,7 @@ def page_markdown(pages: DataFrame, bookmarks: DataFrame | None = None) -> DataF
     contents come from bookmarks; printed contents there are left out, and so
     are pages that end up blank.
     """
-    texts = pages.select(*PAGE, F.coalesce("body", F.lit("")).alias("text"))
+    texts = pages.select(*PAGE, F.coalesce("body", F.lit("")).alias("text")).repartition(*PAGE)  # rules are costly, and pages come dealt by book
     outline = contents.render_contents(bookmarks).select("book_id") if bookmarks is not None else None
     if outline is None:
         front = texts.withColumn("front", F.lit(False))
