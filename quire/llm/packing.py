@@ -106,8 +106,8 @@ def cut_documents(vocabulary: str, end_id: int, capacity: int):
         end, seen = np.uint16(end_id).tobytes(), np.zeros(capacity + 1, np.int64)
         for batch in batches:
             docs, pieces, starts, lengths, crcs = [], [], [], [], []
-            for doc, text in zip(batch.column(0).to_pylist(), utf8(batch, "text")):
-                ids = np.frombuffer(enc.text(text) + end, "<u2").astype("<u4")
+            for doc, coded in zip(batch.column(0).to_pylist(), enc.encode(utf8(batch, "text"))):
+                ids = np.frombuffer(coded + end, "<u2").astype("<u4")
                 cuts = [0, *range(len(ids) % capacity or capacity, len(ids) + 1, capacity)]
                 for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
                     docs.append(doc)
