@@ -169,9 +169,9 @@ def encode_partition(vocabulary: str, end_id: int, shard_tokens: int):
             return pa.RecordBatch.from_pylist([row], schema=pa.schema(schema))
 
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), utf8(batch, "text")):
+            for doc, coded in zip(batch.column(0).to_pylist(), enc.encode(utf8(batch, "text"))):
                 ids.append(doc)
-                held.append(enc.text(text))
+                held.append(coded)
                 tokens += len(held[-1]) // 2 + 1
                 if tokens >= shard_tokens:
                     yield flush()
