@@ -35,10 +35,10 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,28 +57,40 @@ UNITS = frozenset("mm cm m km in ft yd mi mg g kg t lb oz ml l s ms min h hr hrs
 WORD, SLOT, UNIT, NAME = 0, 1, 2, 4
 ENDS, EMPTY = 8, 16
 BASE = np.uint64(0x9E3779B97F4A7C15)
+BASE_POWERS = np.r_[np.uint64(1), np.full(63, BASE)].cumprod(dtype=np.uint64)
 
 
 def token_hash(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text)
 
 
+NAMED, NUMBERED = token_hash("<name>"), token_hash("<number>")
+#: Stops that a word of letters may have one of after it, or nothing.
+STOPS = frozenset(".,;:!?")
+
+
 def describe(raw: bytes) -> tuple[int, int, int]:
     """Hash as a word, hash as a template token, flags."""
     text = raw.decode("utf-8", "replace")
+    letters = text[:-1] if text[-1:] in STOPS else text
+    if letters.isalpha() and (low := letters.lower()) not in UNITS:  # most words; the rules below say the same of them
+        plain, flags = token_hash(low), ENDS if text[-1] in ".!?:" else 0
+        if len(letters) > 1 and letters[0].isupper() and letters[1:].islower():
+            return plain, NAMED, NAME | flags
+        return plain, plain, WORD | flags
     flags = ENDS if text.rstrip("\"')]»”")[-1:] in ".!?:" else 0
     word = EDGES.sub("", text)
     if not word:
         return 0, 0, EMPTY | flags
     plain = token_hash(word.lower())
     if NUMBER.match(word):
-        return plain, token_hash("<number>"), SLOT | flags
+        return plain, NUMBERED, SLOT | flags
     if MEASURE.match(word):
-        return plain, token_hash("<number>"), SLOT | flags
+        return plain, NUMBERED, SLOT | flags
     if word.lower() in UNITS:
-        return plain, token_hash("<number>"), UNIT | flags
+        return plain, NUMBERED, UNIT | flags
     if word[0].isupper() and word[1:].islower() and len(word) > 1:
-        return plain, token_hash("<name>"), NAME | flags
+        return plain, NAMED, NAME | flags
     return plain, plain, WORD | flags
 
 
@@ -142,11 +154,11 @@ class Reader:
     def read(self, text: bytes) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray, np.ndarray]], list[bytes]]:
         """Word hashes; for either form the template hashes, whether a token is a slot and at which word it begins; the words."""
         raw = text.split()
-        plain, forms, _, full = self.read_all(raw, np.zeros(len(raw), np.int64))
+        plain, forms, _, full = self.read_all(self.places(raw), np.zeros(len(raw), np.int64))
         return plain, forms, raw if full.all() else [w for w, f in zip(raw, full.tolist()) if f]
 
-    def read_all(self, raw: list[bytes], owner: np.ndarray) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray, np.ndarray]], np.ndarray, np.ndarray]:
-        """The same for the words of several texts; the texts that words belong to, and which words are more than punctuation."""
+    def places(self, raw: list[bytes]) -> np.ndarray:
+        """Where words are described; until the next call."""
         at = list(map(self.known.get, raw))
         if None in at:
             new = list({w for w, i in zip(raw, at) if i is None})
@@ -159,7 +171,10 @@ class Reader:
                 self.plain[i], self.template[i], self.flags[i] = describe(w)
                 self.known[w] = i
             at = list(map(self.known.__getitem__, raw))
-        at = np.array(at, np.int64)
+        return np.array(at, np.int64)
+
+    def read_all(self, at: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray, np.ndarray]], np.ndarray, np.ndarray]:
+        """The same for the words of several texts by their places; the texts that words belong to, and which words are more than punctuation."""
         plain, template, flags = self.plain[at], self.template[at], self.flags[at]
         begins = np.r_[True, (flags[:-1] & ENDS) > 0] if len(at) else np.zeros(0, bool)
         full = (flags & EMPTY) == 0
@@ -183,10 +198,15 @@ def windows(hashes: np.ndarray, size: int) -> np.ndarray:
     n = len(hashes) - size + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    out = np.zeros(n, np.uint64)
-    for k in range(size):
-        out = out * BASE + hashes[k : k + n]
-    return mix64(out)
+    out, done = None, 0
+    run, length = hashes, 1  # the sums of runs of 1, 2, 4 ... tokens make up those of size
+    while True:
+        if size & length:
+            out = run[size - length :] if out is None else run[size - done - length :][:n] * BASE_POWERS[done] + out
+            done += length
+        if 2 * length > size:
+            return mix64(out)
+        run, length = run[:-length] * BASE_POWERS[length] + run[length:], 2 * length
 
 
 def tagged(hashes: np.ndarray, kind: int, size: int) -> np.ndarray:
@@ -308,16 +328,21 @@ def look_up(shared, sizes: list[tuple[int, int]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hit, reader = np.unpackbits(np.frombuffer(shared.value, np.uint8)).view(bool), Reader()
         for batch in batches:
-            docs, ts, texts = batch.column(0), batch.column("t"), utf8(batch, "text")
+            docs, ts = batch.column(0), batch.column("t")
+            texts = pc.fill_null(batch.column("text").cast(pa.large_string()), "")
+            sizes_of = pc.binary_length(texts).to_pylist()
+            cut = pc.ascii_split_whitespace(texts)
+            words, ends = cut.flatten().dictionary_encode(), cut.offsets.to_numpy()
+            # distinct words are looked up; an empty one, at a text's ends, counts as punctuation
+            placed = reader.places(words.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist())[words.indices.to_numpy()]
             begin = 0
             while begin < len(texts):
                 stop, size = begin, 0
                 while stop < len(texts) and size < READ_AT_ONCE:
-                    size += len(texts[stop])
+                    size += sizes_of[stop]
                     stop += 1
-                words = [x.split() for x in texts[begin:stop]]
-                lengths = list(map(len, words))
-                plain, forms, owner, _ = reader.read_all(list(chain.from_iterable(words)), np.repeat(np.arange(begin, stop), lengths))
+                owner = np.repeat(np.arange(begin, stop), np.diff(ends[begin : stop + 1]))
+                plain, forms, owner, _ = reader.read_all(placed[ends[begin] : ends[stop]], owner)
                 found, owners = [], []
                 for kind, n in sizes:
                     tokens, of = (plain, owner) if kind == 0 else (forms[kind - 1][0], owner[forms[kind - 1][2]])
