@@ -160,11 +160,16 @@ def digit_runs(text: str) -> list[Edit]:
 TREES = "doc_id long, text string, counts binary"
 
 
+def leaves_of(enc: Encoder, texts: list[bytes]) -> list[np.ndarray]:
+    """Tokens of each segment of each text: texts that are cut at every space are looked up together."""
+    cut = [bool(enc.spaced and x and not x.startswith(b" ") and not x.endswith(b" ") and not any(s in x for s in enc.specials) and not double_space(x)) for x in texts]
+    together = iter(enc.counts([x for x, c in zip(texts, cut) if c]) if any(cut) else ())
+    return [next(together) if c else np.array([len(enc.text(y.encode())) // 2 for y in segments(x.decode())]) for x, c in zip(texts, cut)]
+
+
 def count_leaves(enc: Encoder, raw: bytes) -> list[int]:
     """Tokens of each segment of a text."""
-    if raw and not raw.startswith(b" ") and not raw.endswith(b" ") and (found := enc.chunks(raw)) is not None:
-        return [len(x) // 2 for x in found]
-    return [len(enc.text(x.encode())) // 2 for x in segments(raw.decode())]
+    return leaves_of(enc, [raw])[0].tolist()
 
 
 def build_trees(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", extra: tuple[str, ...] = ()) -> DataFrame:
@@ -179,7 +184,7 @@ def build_trees(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", extra: t
         enc = encoder(vocabulary)
         for batch in batches:
             texts = utf8(batch, "text")
-            counts = [np.array(count_leaves(enc, x), "<u4").tobytes() for x in texts]
+            counts = [x.astype("<u4").tobytes() for x in leaves_of(enc, texts)]
             columns = [batch.column(0), pa.array([x.decode() for x in texts]), pa.array(counts, pa.binary())]
             yield pa.RecordBatch.from_arrays([*columns, *batch.columns[2:]], names=["doc_id", "text", "counts", *extra])
 
