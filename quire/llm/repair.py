@@ -41,21 +41,22 @@ SHARD_TOKENS = 1 << 20
 RULES_A_ROUND, LEAST_COUNT, LEAST_ROOM = 8192, 8, 256
 SHARDS = "part int, shard int, n_docs int, n_tokens long, base int, doc_ids binary, null_ids binary, doc_lens binary, rules binary, lengths binary, symbols binary"
 RESULT = "doc_id long, start long, n_tokens long, ids_crc32 long"
-SLOT_BITS, NONE = 20, np.int32(1 << 30)
+SLOT_BITS, NONE = 17, np.int32(1 << 30)
 
 
 def slots(keys: np.ndarray) -> np.ndarray:
     return (keys * np.uint32(0x9E3779B1)) >> np.uint32(32 - SLOT_BITS)
 
 
-def frequent_pairs(keys: np.ndarray, slot: np.ndarray, least: int, most: int) -> np.ndarray:
-    """The pairs that occur at least so often, most frequent first; only pairs whose slot is met so often are sorted."""
-    ordered = np.sort(keys[np.bincount(slot, minlength=1 << SLOT_BITS)[slot] >= least])
-    first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]]) if len(ordered) else np.zeros(0, np.int64)
-    counts = np.diff(np.r_[first, len(ordered)])
+def frequent_pairs(keys: np.ndarray, least: int, most: int) -> np.ndarray:
+    """The pairs that occur at least so often, most frequent first, equals by a hash: were these in order, a repeated passage whose symbols ascend would give one rule a round. A sort of 32-bit keys is cheaper than a table of all pairs."""
+    ordered = np.sort(keys)
+    ends = np.r_[np.flatnonzero(ordered[1:] != ordered[:-1]) + 1, len(ordered)] if len(ordered) else np.zeros(0, np.int64)
+    counts = np.diff(ends, prepend=0)
     often = counts >= least
-    first, counts = first[often], counts[often]
-    return ordered[first[np.argsort(-counts, kind="stable")[:most]]]
+    found, counts = ordered[ends[often] - 1], counts[often]
+    mixed = (found ^ found >> np.uint32(15)) * np.uint32(0x85EBCA6B)
+    return found[np.lexsort((mixed ^ mixed >> np.uint32(13), -counts))[:most]]
 
 
 def ranks_of(keys: np.ndarray, slot: np.ndarray, chosen: np.ndarray) -> np.ndarray:
@@ -76,6 +77,17 @@ def ranks_of(keys: np.ndarray, slot: np.ndarray, chosen: np.ndarray) -> np.ndarr
         at = table[slot[where]]
 
 
+def in_runs(ranks: np.ndarray, before: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """Of the places in a run of one pair (as of a symbol that is repeated), every other one after the run's first; the first is taken or not by what stands before it."""
+    at = np.flatnonzero((ranks == before) & (ranks != NONE))
+    if not len(at):
+        return at
+    first = np.flatnonzero(np.diff(at, prepend=-2) != 1)
+    offset = np.arange(len(at)) - np.repeat(first, np.diff(first, append=len(at))) + 1
+    start = at - offset
+    return at[(offset % 2 == np.where(ranks[start] < before[start], 0, 1)) & (ranks[at] <= after[at])]
+
+
 def compress(symbols: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Symbols (16 bits, END after each document) to compressed symbols, rules and the rules' expansion lengths.
 
@@ -88,13 +100,14 @@ def compress(symbols: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np
     while (room := END - base - made) > LEAST_ROOM and len(symbols) > 1:
         keys = symbols[:-1].astype(np.uint32) << np.uint32(16) | symbols[1:]
         free = (symbols[:-1] != END) & (symbols[1:] != END)
-        slot = slots(keys)
-        chosen = frequent_pairs(keys[free], slot[free], LEAST_COUNT, min(room, RULES_A_ROUND))
+        chosen = frequent_pairs(keys[free], LEAST_COUNT, min(room, RULES_A_ROUND))
         if not len(chosen):
             break
-        ranks = ranks_of(keys, slot, chosen)
+        ranks = ranks_of(keys, slots(keys), chosen)
         before, after = np.r_[NONE, ranks[:-1]], np.r_[ranks[1:], NONE]
         taken = np.flatnonzero((ranks < before) & (ranks <= after))
+        if len(more := in_runs(ranks, before, after)):
+            taken = np.sort(np.r_[taken, more])
         used = np.flatnonzero(np.bincount(ranks[taken], minlength=len(chosen)))
         new = np.zeros(len(chosen), np.int64)
         new[used] = np.arange(len(used))
