@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .furniture import beside
+
 LEAST_SAMPLES, AGREEMENT, DISSENT_SAMPLES, RUN_GAP = 3, 0.85, 8, 2
 
 
@@ -33,17 +35,17 @@ def consensus(samples: DataFrame) -> DataFrame:
 def locate(pages_clean: DataFrame) -> DataFrame:
     """pages_clean that are not blank with page_printed after outliers are dropped and gaps inside the sampled span filled; captured marks read numbers."""
     agreed = consensus(pages_clean.where("page_printed is not null")).select("book_id", "page_offset", "consistent")
-    p = pages_clean.join(agreed, "book_id", "left")
+    p = beside(pages_clean.withColumn("shows", F.col("body").rlike(r"\S")), agreed, "left")  # bodies that are not asked for are not moved
     arabic = F.col("page_printed").rlike("^[0-9]+$")
     off = F.when(arabic, F.col("page_printed").cast("int") - F.col("page_pdf"))
     misread = F.coalesce(arabic & F.col("consistent") & (off != F.col("page_offset")), F.lit(False))
     p = p.withColumn("misread", misread).withColumn("read", F.when(~F.col("misread"), F.col("page_printed")))
     sampled = F.when(F.col("read").rlike("^[0-9]+$"), F.col("page_pdf"))
     span = p.groupBy("book_id").agg(F.min(sampled).alias("lo"), F.max(sampled).alias("hi"))
-    p = p.join(span, "book_id")
+    p = beside(p, span)
     value = F.col("page_pdf") + F.col("page_offset")
     filled = F.when(F.coalesce(F.col("consistent"), F.lit(False)) & F.col("page_pdf").between(F.col("lo"), F.col("hi")) & (value >= 1), value.cast("string"))
-    return p.where(F.col("body").rlike(r"\S")).select("book_id", "page_pdf", F.coalesce("read", filled).alias("page_printed"), F.col("read").isNotNull().alias("captured"), "misread", "body")
+    return p.where("shows").select("book_id", "page_pdf", F.coalesce("read", filled).alias("page_printed"), F.col("read").isNotNull().alias("captured"), "misread", "body")
 
 
 def book_report(pages: DataFrame, pages_clean: DataFrame) -> DataFrame:
